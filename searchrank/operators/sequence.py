@@ -33,12 +33,13 @@ def _as_cols(xs) -> list[Column]:
     return [F.col(x) if isinstance(x, str) else x for x in xs]
 
 
-def _local_numbering(keys: list[str]):
-    """mapInPandas body: 1-based position inside each key, carried over batches."""
+def _local_running(keys: list[str], weight: str | None):
+    """mapInPandas body: running count (or running sum of ``weight``) inside
+    each key, in arrival order, carried over the batches of a partition."""
 
     def run(batches):
         last_key = None
-        last_n = 0
+        last_total = 0
         for pdf in batches:
             n = len(pdf)
             if n == 0:
@@ -54,29 +55,39 @@ def _local_numbering(keys: list[str]):
             carry = 0
             if last_key is not None and first == last_key:
                 new[0] = False
-                carry = last_n
+                carry = last_total
+            w = (np.ones(n, dtype=np.int64) if weight is None
+                 else pdf[weight].fillna(0).to_numpy().astype(np.int64))
+            csum = np.cumsum(w)
             idx = np.arange(n, dtype=np.int64)
             starts = np.maximum.accumulate(np.where(new, idx, 0))
-            local = idx - starts + 1
+            base = csum[starts] - w[starts]
+            local = csum - base
             if carry:
                 local[starts == 0] += carry
             last_key = tuple(a[-1] for a in arrs)
-            last_n = int(local[-1])
+            last_total = int(local[-1])
             yield pdf.assign(**{_LOCAL: local})
 
     return run
 
 
-def row_number_within(df: DataFrame, keys: str | Sequence[str], order: Sequence,
-                      out: str = "rank", num_partitions: int | None = None) -> DataFrame:
-    """Add ``out`` = 1-based position of each row inside its key under ``order``.
+def running_within(df: DataFrame, keys: str | Sequence[str], order: Sequence,
+                   out: str = "running", weight: str | None = None,
+                   num_partitions: int | None = None) -> DataFrame:
+    """Add ``out`` = running count (or running sum of integer ``weight``),
+    inclusive, of each row inside its key under ``order``.
 
-    ``order`` is a list of column names or sort expressions (``F.desc(...)``)
-    and should be a total order inside a key; rows tied on all of them get
-    consecutive numbers in an unspecified order.  Only the columns of ``df``
-    travel, so project first.  Key columns must be non-null.
+    With a total ``order`` and no weight this is ``row_number``.  ``keys``
+    may be empty for a running total over the whole frame.  Only the
+    columns of ``df`` travel through the sort, so project first.  Key
+    columns must be non-null.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
+    drop_const = False
+    if not keys:
+        df = df.withColumn("_sr_all", F.lit(0))
+        keys, drop_const = ["_sr_all"], True
     sort_cols = _as_cols(keys) + _as_cols(order)
     if num_partitions:
         ranged = df.repartitionByRange(num_partitions, *sort_cols)
@@ -85,10 +96,10 @@ def row_number_within(df: DataFrame, keys: str | Sequence[str], order: Sequence,
     ranged = ranged.sortWithinPartitions(*sort_cols).withColumn(_PID, F.spark_partition_id())
 
     schema = T.StructType(ranged.schema.fields + [T.StructField(_LOCAL, T.LongType(), False)])
-    local = ranged.mapInPandas(_local_numbering(keys), schema)
+    local = ranged.mapInPandas(_local_running(keys, weight), schema)
 
-    # One row per partition: its first key, its last key and how many rows
-    # the last key has in it.
+    # One row per partition: its first key, its last key and the running
+    # total the last key reached in it.
     kstruct = F.struct(*[F.col(k) for k in keys])
     bounds = local.groupBy(_PID).agg(
         F.min(kstruct).alias("_first"),
@@ -98,7 +109,7 @@ def row_number_within(df: DataFrame, keys: str | Sequence[str], order: Sequence,
     b = bounds.select(F.col(_PID).alias("_q"), F.col("_last.k").alias("_lk"),
                       F.col("_last.n").alias("_ln"))
     # A key that starts partition p but was also the last key of earlier
-    # partitions q < p continues their count (keys are sorted, so only the
+    # partitions q < p continues their totals (keys are sorted, so only the
     # contiguous run of partitions before p can end with it).
     offsets = (a.join(b, (a["_first"] == b["_lk"]) & (b["_q"] < a[_PID]))
                 .groupBy(_PID, "_first").agg(F.sum("_ln").alias("_off"))
@@ -106,8 +117,20 @@ def row_number_within(df: DataFrame, keys: str | Sequence[str], order: Sequence,
                         F.col("_off")))
     # bounded by the number of partitions -> safe to broadcast
     joined = local.join(F.broadcast(offsets), [_PID] + keys, "left")
-    return (joined.withColumn(out, F.col(_LOCAL) + F.coalesce(F.col("_off"), F.lit(0)))
-                  .drop(_PID, _LOCAL, "_off"))
+    res = (joined.withColumn(out, F.col(_LOCAL) + F.coalesce(F.col("_off"), F.lit(0)))
+                 .drop(_PID, _LOCAL, "_off"))
+    return res.drop("_sr_all") if drop_const else res
+
+
+def row_number_within(df: DataFrame, keys: str | Sequence[str], order: Sequence,
+                      out: str = "rank", num_partitions: int | None = None) -> DataFrame:
+    """Add ``out`` = 1-based position of each row inside its key under ``order``.
+
+    ``order`` is a list of column names or sort expressions (``F.desc(...)``)
+    and should be a total order inside a key; rows tied on all of them get
+    consecutive numbers in an unspecified order.
+    """
+    return running_within(df, keys, order, out=out, num_partitions=num_partitions)
 
 
 def dense_rank_within(df: DataFrame, keys: str | Sequence[str], col: str,
