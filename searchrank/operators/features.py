@@ -200,13 +200,16 @@ def fit_stats(df: DataFrame, method: str = "nearest") -> FeatureStats:
 
 
 def build(df: DataFrame, fitted: FeatureStats | None = None, method: str = "nearest",
-          materialize: bool = False, by: str = "srch_id") -> DataFrame:
+          materialize: bool = True, by: str = "srch_id") -> DataFrame:
     """Raw log -> engineered table (F1-F16).
 
     Without ``fitted`` every statistic is fitted on ``df`` itself.
-    ``materialize`` checkpoints the frame ahead of the global min/max into
-    the session's checkpoint folder (reliable, survives executor loss).
+    ``materialize`` writes the frame to parquet under the session's
+    checkpoint folder twice -- before the rank joins and before the global
+    min/max -- so the plan stays small, the upstream is not recomputed for
+    the min/max pass, and a lost executor only redoes the last stage.
     """
+    from searchrank.sources.io import materialize as _write
     out = has_history(df)
     if fitted is None:
         _, dropped = clean.drop_sparse(out, SPARSE_THRESHOLD, SPARSE_KEEP)
@@ -220,9 +223,11 @@ def build(df: DataFrame, fitted: FeatureStats | None = None, method: str = "near
     out = search_statistics(out, by, ZSCORE_COLUMNS, "promotion_flag", ZSCORE_EPS)
     out = weighted_sum(out, QUALITY_WEIGHTS, "hotel_quality")
     out = price_features(out)
+    if materialize:
+        out = _write(out, "features-pre-rank")
     out = rank_features(out, by)
     if materialize:
-        out = out.checkpoint(eager=True)
+        out = _write(out, "features-ranked")
     out = minmax(out, "hotel_quality", "normalized_hotel_quality",
                  bounds=fitted.bounds if fitted is not None else None)
     return final_projection(out)

@@ -29,12 +29,14 @@ DEFAULT_CONF = {
 
 def get_session(master: str | None = None, app: str = "searchrank",
                 shuffle_partitions: int | None = None,
-                extra: dict | None = None) -> SparkSession:
+                extra: dict | None = None, driver_memory: str | None = "8g") -> SparkSession:
     """Build (or return) a session with the library's defaults."""
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
     conf = dict(DEFAULT_CONF)
+    if driver_memory:
+        conf["spark.driver.memory"] = driver_memory
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
