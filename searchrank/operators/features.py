@@ -170,10 +170,30 @@ def price_features(df: DataFrame) -> DataFrame:
     )
 
 
-def rank_features(df: DataFrame, by: str = "srch_id") -> DataFrame:
-    """price_rank (cheapest = 1) and star_rank (most stars = 1), dense."""
-    r = dense_rank_within(df, by, "price_usd", descending=False, out="price_rank")
-    return dense_rank_within(r, by, "prop_starrating", descending=True, out="star_rank")
+def rank_features(df: DataFrame, by: str = "srch_id", stage: bool = True) -> DataFrame:
+    """price_rank (cheapest = 1) and star_rank (most stars = 1), dense.
+
+    Both ranks come from ONE global range sort: the distinct (search, value)
+    pairs of the two columns are stacked (stars negated, so ascending order
+    serves both), numbered per (search, column), and joined back per column.
+    ``stage`` writes that narrow rank table once (shared checkpoint folder)
+    so the two joins read it instead of sorting twice.
+    """
+    from searchrank.operators.sequence import row_number_within
+    price = (df.select(by, F.col("price_usd").alias("_v")).where(F.col("_v").isNotNull())
+               .distinct().withColumn("_c", F.lit(0)))
+    star = (df.select(by, (-F.col("prop_starrating")).alias("_v")).where(F.col("_v").isNotNull())
+              .distinct().withColumn("_c", F.lit(1)))
+    ranked = row_number_within(price.unionByName(star), [by, "_c"], [F.col("_v").asc()], out="_r")
+    if stage:
+        from searchrank.sources.io import materialize
+        ranked = materialize(ranked, "dense-ranks")
+    pr = ranked.where(F.col("_c") == 0).select(by, F.col("_v").alias("price_usd"),
+                                               F.col("_r").alias("price_rank"))
+    sr = ranked.where(F.col("_c") == 1).select(by, (-F.col("_v")).alias("prop_starrating"),
+                                               F.col("_r").alias("star_rank"))
+    return (df.join(pr, [by, "price_usd"], "left").join(sr, [by, "prop_starrating"], "left")
+              .select(*df.columns, "price_rank", "star_rank"))
 
 
 def final_projection(df: DataFrame) -> DataFrame:
@@ -204,19 +224,33 @@ def build(df: DataFrame, fitted: FeatureStats | None = None, method: str = "near
     """Raw log -> engineered table (F1-F16).
 
     Without ``fitted`` every statistic is fitted on ``df`` itself.
-    ``materialize`` writes the frame to parquet under the session's
-    checkpoint folder twice -- before the rank joins and before the global
-    min/max -- so the plan stays small, the upstream is not recomputed for
-    the min/max pass, and a lost executor only redoes the last stage.
+
+    Jobs: (1) quantiles + per-search statistics + price features, written
+    to parquet under the checkpoint folder; the raw null counts that decide
+    the sparse-column drop are *observed* during that same write (no extra
+    pass over the log).  (2) the two dense ranks (one range sort), written
+    again.  The global min/max and the final projection stay lazy.  Each
+    write bounds the plan and means a lost executor only redoes one stage.
+    With ``materialize=False`` everything stays lazy and the drop list costs
+    one aggregate.
     """
+    from pyspark.sql import Observation
+
     from searchrank.sources.io import materialize as _write
+
+    raw_cols = list(df.columns)
     out = has_history(df)
-    if fitted is None:
+    raw_cols += ["has_hist_starrating", "has_hist_adr_usd"]
+    if fitted is not None:
+        dropped, quant = fitted.dropped, fitted.quantiles
+    elif not materialize:
         _, dropped = clean.drop_sparse(out, SPARSE_THRESHOLD, SPARSE_KEEP)
         quant = None
     else:
-        dropped, quant = fitted.dropped, fitted.quantiles
-    out = out.drop(*dropped)
+        dropped, quant = None, None
+    # remember which values were null before imputation / zero fill
+    touched = [c for c in (*IMPUTE_COLUMNS, *ZSCORE_COLUMNS) if c in out.columns]
+    out = out.select("*", *[F.col(c).isNull().alias(f"_rawnull_{c}") for c in touched])
     out = impute_group_quantile(out, IMPUTE_COLUMNS, IMPUTE_BY, IMPUTE_Q, method, table=quant)
     out = location_ratio(out)
     out = zero_fill(out, ZSCORE_COLUMNS)
@@ -224,10 +258,31 @@ def build(df: DataFrame, fitted: FeatureStats | None = None, method: str = "near
     out = weighted_sum(out, QUALITY_WEIGHTS, "hotel_quality")
     out = price_features(out)
     if materialize:
-        out = _write(out, "features-pre-rank")
-    out = rank_features(out, by)
+        obs = None
+        if dropped is None:
+            obs = Observation("raw_nulls")
+            nulls = [F.count_if(F.col(f"_rawnull_{c}") if c in touched else F.col(c).isNull())
+                     .alias(c) for c in raw_cols]
+            out = out.observe(obs, F.count(F.lit(1)).alias("_rows"), *nulls)
+        out = _write(out, "features-stage1")
+        if obs is not None:
+            got = obs.get
+            limit = SPARSE_THRESHOLD * got["_rows"]
+            dropped = [c for c in raw_cols if got[c] > limit and c not in SPARSE_KEEP]
+    out = out.drop(*[f"_rawnull_{c}" for c in touched]).drop(*dropped)
+    out = rank_features(out, by, stage=materialize)
+    bounds = fitted.bounds if fitted is not None else None
     if materialize:
-        out = _write(out, "features-ranked")
-    out = minmax(out, "hotel_quality", "normalized_hotel_quality",
-                 bounds=fitted.bounds if fitted is not None else None)
+        obs = None
+        if bounds is None:
+            # the global min/max ride along with the write instead of a scan
+            obs = Observation("quality_bounds")
+            out = out.observe(obs, F.min("hotel_quality").alias("_min"),
+                              F.max("hotel_quality").alias("_max"))
+        out = _write(out, "features-stage2")
+        if obs is not None:
+            got = obs.get
+            bounds = out.sparkSession.createDataFrame(
+                [(got["_min"], got["_max"])], "_min double, _max double")
+    out = minmax(out, "hotel_quality", "normalized_hotel_quality", bounds=bounds)
     return final_projection(out)

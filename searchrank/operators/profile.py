@@ -184,32 +184,25 @@ def correlation(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def null_correlation(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """Correlation of null indicators between columns that are partly null.
 
-    For 0/1 indicators the coefficient follows from counts alone:
-    (n*n11 - n1*n2) / sqrt(n1*(n-n1) * n2*(n-n2)).  Pairs col_a < col_b.
+    The indicators form one vector per row and MLlib's ``Correlation``
+    reduces them in a single distributed pass (tree aggregation of the
+    Gramian); only the k x k matrix -- sized by the schema, not the data --
+    reaches the driver.  Columns never or always null have no variance and
+    are left out.  Pairs col_a < col_b in input order.
     """
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.stat import Correlation
+
     cols = list(cols or df.columns)
-    counts = df.agg(F.count(F.lit(1)).alias("_n"),
-                    *[F.count_if(F.col(c).isNull()).alias(c) for c in cols]).collect()[0]
-    n = counts["_n"]
-    part = [c for c in cols if 0 < counts[c] < n]  # one row of metadata on the driver
-    if len(part) < 2:
-        return df.sparkSession.createDataFrame([], "col_a string, col_b string, corr double")
-    pairs = list(combinations(part, 2))
-    aggs = [F.count(F.lit(1)).alias("_n")] + [F.count_if(F.col(c).isNull()).alias(f"n_{i}")
-                                              for i, c in enumerate(part)]
-    idx = {c: i for i, c in enumerate(part)}
-    aggs += [F.count_if(F.col(a).isNull() & F.col(b).isNull()).alias(f"p{k}")
-             for k, (a, b) in enumerate(pairs)]
-    wide = df.agg(*aggs)
-    nn = F.col("_n").cast("double")
-    structs = []
-    for k, (a, b) in enumerate(pairs):
-        n1, n2 = F.col(f"n_{idx[a]}").cast("double"), F.col(f"n_{idx[b]}").cast("double")
-        num = nn * F.col(f"p{k}") - n1 * n2
-        den = F.sqrt(n1 * (nn - n1) * n2 * (nn - n2))
-        structs.append(F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"),
-                                (num / den).alias("corr")))
-    return wide.select(F.explode(F.array(*structs)).alias("_kv")).select("_kv.*")
+    ind = df.select(*[F.col(c).isNull().cast("double").alias(f"_n{i}") for i, c in enumerate(cols)])
+    vec = VectorAssembler(inputCols=[f"_n{i}" for i in range(len(cols))], outputCol="_v")
+    mat = Correlation.corr(vec.transform(ind).select("_v"), "_v").collect()[0][0].toArray()
+    rows = []
+    for a, b in combinations(range(len(cols)), 2):
+        v = float(mat[a, b])
+        if v == v and mat[a, a] == mat[a, a] and mat[b, b] == mat[b, b]:  # NaN = constant column
+            rows.append((cols[a], cols[b], v))
+    return df.sparkSession.createDataFrame(rows, "col_a string, col_b string, corr double")
 
 
 def all_null(df: DataFrame, cols: Sequence[str]) -> Column:

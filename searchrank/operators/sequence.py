@@ -89,25 +89,23 @@ def running_within(df: DataFrame, keys: str | Sequence[str], order: Sequence,
         df = df.withColumn("_sr_all", F.lit(0))
         keys, drop_const = ["_sr_all"], True
     sort_cols = _as_cols(keys) + _as_cols(order)
-    if num_partitions:
-        ranged = df.repartitionByRange(num_partitions, *sort_cols)
-    else:
-        ranged = df.repartitionByRange(*sort_cols)
-    ranged = ranged.sortWithinPartitions(*sort_cols).withColumn(_PID, F.spark_partition_id())
-
-    schema = T.StructType(ranged.schema.fields + [T.StructField(_LOCAL, T.LongType(), False)])
-    local = ranged.mapInPandas(_local_running(keys, weight), schema)
-
-    # One row per partition: its first key, its last key and the running
-    # total the last key reached in it.
+    # An explicit partition count makes this a "repartition by number"
+    # exchange, which AQE never coalesces: every branch reading it sees the
+    # same partitions, so spark_partition_id() is a stable address.
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(n, *sort_cols).withColumn(_PID, F.spark_partition_id())
+
+    # Per-partition boundary facts, computed on the JVM from the unsorted
+    # partitions (min/max/sum need no order): first key, last key, and the
+    # total weight of the last key inside the partition.
     kstruct = F.struct(*[F.col(k) for k in keys])
-    bounds = local.groupBy(_PID).agg(
-        F.min(kstruct).alias("_first"),
-        F.max(F.struct(kstruct.alias("k"), F.col(_LOCAL).alias("n"))).alias("_last"),
-    )
-    a = bounds.select(F.col(_PID), F.col("_first"))
-    b = bounds.select(F.col(_PID).alias("_q"), F.col("_last.k").alias("_lk"),
-                      F.col("_last.n").alias("_ln"))
+    w = F.col(weight) if weight else F.lit(1)
+    ends = ranged.groupBy(_PID).agg(F.min(kstruct).alias("_first"), F.max(kstruct).alias("_lk"))
+    last = (ranged.join(F.broadcast(ends.select(_PID, "_lk")), _PID)
+                  .where(kstruct == F.col("_lk"))
+                  .groupBy(_PID, "_lk").agg(F.sum(w).cast("long").alias("_ln")))
+    a = ends.select(F.col(_PID), F.col("_first"))
+    b = last.select(F.col(_PID).alias("_q"), F.col("_lk"), F.col("_ln"))
     # A key that starts partition p but was also the last key of earlier
     # partitions q < p continues their totals (keys are sorted, so only the
     # contiguous run of partitions before p can end with it).
@@ -115,6 +113,10 @@ def running_within(df: DataFrame, keys: str | Sequence[str], order: Sequence,
                 .groupBy(_PID, "_first").agg(F.sum("_ln").alias("_off"))
                 .select(F.col(_PID), *[F.col(f"_first.{k}").alias(k) for k in keys],
                         F.col("_off")))
+
+    local_in = ranged.sortWithinPartitions(*sort_cols)
+    schema = T.StructType(local_in.schema.fields + [T.StructField(_LOCAL, T.LongType(), False)])
+    local = local_in.mapInPandas(_local_running(keys, weight), schema)
     # bounded by the number of partitions -> safe to broadcast
     joined = local.join(F.broadcast(offsets), [_PID] + keys, "left")
     res = (joined.withColumn(out, F.col(_LOCAL) + F.coalesce(F.col("_off"), F.lit(0)))
