@@ -138,3 +138,9 @@ def drop_sparse(df: DataFrame, threshold: float = 0.9, keep: Sequence[str] = ())
     rep = sparse_report(df, threshold, keep).where("dropped").select("column").collect()
     names = [r["column"] for r in rep]
     return df.drop(*names), names
+
+
+def cap_filter(df: DataFrame, col: str = "price_usd", upper: float = 2000.0) -> DataFrame:
+    """Keep rows with ``col < upper`` (optional outlier rule, P14); a
+    pushed-down predicate when ``df`` is a scan."""
+    return df.where(F.col(col) < upper)

@@ -10,6 +10,9 @@ columns involved), and keys that continue across a partition boundary are
 shifted by the row counts of the earlier partitions.  That correction table
 has at most one row per partition, which bounds the broadcast.
 
+The locally numbered pass is written once to the shared checkpoint folder,
+so the boundary table and the final join read the same partitions.
+
 Top-k per group (``row_number() <= k``) does not need this: Catalyst's
 WindowGroupLimit keeps at most k rows per group and map partition *before*
 the shuffle, so a hot group shrinks to k rows per map task.
@@ -89,23 +92,28 @@ def running_within(df: DataFrame, keys: str | Sequence[str], order: Sequence,
         df = df.withColumn("_sr_all", F.lit(0))
         keys, drop_const = ["_sr_all"], True
     sort_cols = _as_cols(keys) + _as_cols(order)
-    # An explicit partition count makes this a "repartition by number"
-    # exchange, which AQE never coalesces: every branch reading it sees the
-    # same partitions, so spark_partition_id() is a stable address.
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *sort_cols).withColumn(_PID, F.spark_partition_id())
-
-    # Per-partition boundary facts, computed on the JVM from the unsorted
-    # partitions (min/max/sum need no order): first key, last key, and the
-    # total weight of the last key inside the partition.
+    ranged = (df.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols)
+                .withColumn(_PID, F.spark_partition_id()))
+    schema = T.StructType(ranged.schema.fields + [T.StructField(_LOCAL, T.LongType(), False)])
+    local = ranged.mapInPandas(_local_running(keys, weight), schema)
+    # The local pass is written once to the shared checkpoint folder.  The
+    # partition id is then part of the data, so the boundary table and the
+    # final join see exactly the same partitions (two separately planned
+    # range exchanges could sample different bounds), the sort and the
+    # Python pass run once, and a lost executor does not redo them.
+    from searchrank.sources.io import materialize
+    local = materialize(local, "running-local")
+
+    # One row per partition: its first key, its last key and the running
+    # total the last key reached in it.
     kstruct = F.struct(*[F.col(k) for k in keys])
-    w = F.col(weight) if weight else F.lit(1)
-    ends = ranged.groupBy(_PID).agg(F.min(kstruct).alias("_first"), F.max(kstruct).alias("_lk"))
-    last = (ranged.join(F.broadcast(ends.select(_PID, "_lk")), _PID)
-                  .where(kstruct == F.col("_lk"))
-                  .groupBy(_PID, "_lk").agg(F.sum(w).cast("long").alias("_ln")))
-    a = ends.select(F.col(_PID), F.col("_first"))
-    b = last.select(F.col(_PID).alias("_q"), F.col("_lk"), F.col("_ln"))
+    bounds = local.groupBy(_PID).agg(
+        F.min(kstruct).alias("_first"),
+        F.max(F.struct(kstruct.alias("k"), F.col(_LOCAL).alias("n"))).alias("_last"))
+    a = bounds.select(F.col(_PID), F.col("_first"))
+    b = bounds.select(F.col(_PID).alias("_q"), F.col("_last.k").alias("_lk"),
+                      F.col("_last.n").alias("_ln"))
     # A key that starts partition p but was also the last key of earlier
     # partitions q < p continues their totals (keys are sorted, so only the
     # contiguous run of partitions before p can end with it).
@@ -113,10 +121,6 @@ def running_within(df: DataFrame, keys: str | Sequence[str], order: Sequence,
                 .groupBy(_PID, "_first").agg(F.sum("_ln").alias("_off"))
                 .select(F.col(_PID), *[F.col(f"_first.{k}").alias(k) for k in keys],
                         F.col("_off")))
-
-    local_in = ranged.sortWithinPartitions(*sort_cols)
-    schema = T.StructType(local_in.schema.fields + [T.StructField(_LOCAL, T.LongType(), False)])
-    local = local_in.mapInPandas(_local_running(keys, weight), schema)
     # bounded by the number of partitions -> safe to broadcast
     joined = local.join(F.broadcast(offsets), [_PID] + keys, "left")
     res = (joined.withColumn(out, F.col(_LOCAL) + F.coalesce(F.col("_off"), F.lit(0)))
@@ -162,3 +166,41 @@ def top_k_within(df: DataFrame, keys: str | Sequence[str], order: Sequence, k: i
     keys = [keys] if isinstance(keys, str) else list(keys)
     w = Window.partitionBy(*keys).orderBy(*_as_cols(order))
     return df.withColumn(out, F.row_number().over(w)).where(F.col(out) <= k)
+
+
+
+def fill_within(df: DataFrame, keys: str | Sequence[str], order: Sequence[str],
+                cols: Sequence[str], direction: str = "forward", suffix: str = "") -> DataFrame:
+    """Fill nulls of ``cols`` from the nearest earlier (``forward``) or later
+    (``backward``) non-null value of the same key, rows ordered by the
+    columns ``order`` ascending (W7).
+
+    A running count of non-null values cuts each key into segments that
+    start at a non-null row; the fill value is that row's value, read with a
+    grouped ``max`` per (key, segment) -- a partial aggregation -- and joined
+    back on (key, order columns), which must identify a row.  No window
+    spans a whole key, so a hot key is never one task.
+    """
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    order = list(order)
+    if direction not in ("forward", "backward"):
+        raise ValueError("direction must be 'forward' or 'backward'")
+    sort = [F.col(c).asc() if direction == "forward" else F.col(c).desc() for c in order]
+    ident = keys + order
+    out = df
+    for c in cols:
+        src = df.select(*ident, F.col(c).alias("_sr_v"),
+                        F.col(c).isNotNull().cast("long").alias("_sr_nn"))
+        seg = running_within(src, keys, sort, out="_sr_seg", weight="_sr_nn")
+        vals = seg.groupBy(*keys, "_sr_seg").agg(F.max("_sr_v").alias("_sr_fill"))
+        # rows equal on (keys, order, value) always get the same fill, so one
+        # entry per such identity keeps the join back one-to-one per row
+        filled = (seg.join(vals, keys + ["_sr_seg"], "left")
+                     .select(*[F.col(k).alias(f"_sr_k_{k}") for k in ident], "_sr_v", "_sr_fill")
+                     .distinct())
+        cond = [F.col(k) == F.col(f"_sr_k_{k}") for k in ident] + \
+               [F.col(c).eqNullSafe(F.col("_sr_v"))]
+        out = (out.join(filled, cond, "left")
+                  .withColumn(f"{c}{suffix}", F.coalesce(F.col(c), F.col("_sr_fill")))
+                  .drop("_sr_fill", "_sr_v", *[f"_sr_k_{k}" for k in ident]))
+    return out

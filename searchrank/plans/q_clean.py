@@ -118,3 +118,37 @@ def q_drop(spark, sf):
     # the list names one column the log does not have; it must be ignored
     d = log.drop("price_usd", "room_count", "promotion_flag")
     return d.agg(F.count(F.lit(1)).alias("n_rows"), F.count("visitor_hist_adr_usd").alias("n_hist"))
+
+
+@register("fill_within_search", with_log("""
+SELECT srch_id, position,
+       last_value(price_usd IGNORE NULLS) OVER (PARTITION BY srch_id
+           ORDER BY position, prop_id, supp_id
+           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS price_usd_ffill,
+       first_value(price_usd IGNORE NULLS) OVER (PARTITION BY srch_id
+           ORDER BY position, prop_id, supp_id
+           ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS price_usd_bfill
+FROM log"""))
+def q_fill_within(spark, sf):
+    from searchrank.operators.sequence import fill_within
+    log = fixture.search_log(spark, sf).select("srch_id", "position", "prop_id", "supp_id",
+                                               "price_usd")
+    order = ["position", "prop_id", "supp_id"]
+    f = fill_within(log, "srch_id", order, ["price_usd"], "forward", "_ffill")
+    f = fill_within(f, "srch_id", order, ["price_usd"], "backward", "_bfill")
+    return f.select("srch_id", "position", "price_usd_ffill", "price_usd_bfill")
+
+
+@register("price_cap_filter", with_log("""
+SELECT count(*) AS n_rows, count(DISTINCT srch_id) AS n_searches FROM log WHERE price_usd < 20000"""))
+def q_cap(spark, sf):
+    d = clean.cap_filter(fixture.search_log(spark, sf), "price_usd", 20000.0)
+    return d.agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("srch_id").alias("n_searches"))
+
+
+@register("sample_searches")
+def q_sample(spark, sf):
+    """Reproducible 10 % sample of whole searches (hash of key and seed)."""
+    from searchrank.operators import split
+    s = split.sample(fixture.search_log(spark, sf), 0.1, seed=7, key="srch_id")
+    return s.agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("srch_id").alias("n_searches"))

@@ -54,3 +54,17 @@ def test_top_k_uses_group_limit(spark):
     assert top.count() == pdf.groupby("k").size().clip(upper=3).sum()
     plan = top._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_running_after_shuffle_matches_window(spark):
+    """Input arriving from a shuffle (row order not reproducible) with a
+    descending order: compare with a plain window."""
+    from pyspark.sql import Window
+    df, _ = _frame(spark, n=4000, seed=9)
+    df = df.repartition(7).withColumn("nn", F.col("v").isNotNull().cast("long"))
+    order = [F.col("v").desc_nulls_last(), F.col("id").desc()]
+    got = running_within(df, "k", order, out="r", weight="nn", num_partitions=11)
+    w = Window.partitionBy("k").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    ref = df.withColumn("e", F.sum("nn").over(w)).select("id", "e")
+    assert got.join(ref, "id").where("r != e").count() == 0
+    assert got.count() == 4000
