@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The workload reads whole search logs from files and writes ranked
+outputs; it has no streams, watermarks or stateful operators, so no
+streaming operator is provided.  The batch operators accept any DataFrame,
+including one built inside a ``foreachBatch`` of a Structured Streaming
+query, if logs ever arrive incrementally.
+"""
