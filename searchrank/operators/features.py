@@ -170,14 +170,14 @@ def price_features(df: DataFrame) -> DataFrame:
     )
 
 
-def rank_features(df: DataFrame, by: str = "srch_id", stage: bool = True) -> DataFrame:
+def rank_features(df: DataFrame, by: str = "srch_id") -> DataFrame:
     """price_rank (cheapest = 1) and star_rank (most stars = 1), dense.
 
     Both ranks come from ONE global range sort: the distinct (search, value)
     pairs of the two columns are stacked (stars negated, so ascending order
     serves both), numbered per (search, column), and joined back per column.
-    ``stage`` writes that narrow rank table once (shared checkpoint folder)
-    so the two joins read it instead of sorting twice.
+    The numbering pass is staged once by ``row_number_within``, so the two
+    joins read the same written ranks instead of sorting twice.
     """
     from searchrank.operators.sequence import row_number_within
     price = (df.select(by, F.col("price_usd").alias("_v")).where(F.col("_v").isNotNull())
@@ -185,9 +185,6 @@ def rank_features(df: DataFrame, by: str = "srch_id", stage: bool = True) -> Dat
     star = (df.select(by, (-F.col("prop_starrating")).alias("_v")).where(F.col("_v").isNotNull())
               .distinct().withColumn("_c", F.lit(1)))
     ranked = row_number_within(price.unionByName(star), [by, "_c"], [F.col("_v").asc()], out="_r")
-    if stage:
-        from searchrank.sources.io import materialize
-        ranked = materialize(ranked, "dense-ranks")
     pr = ranked.where(F.col("_c") == 0).select(by, F.col("_v").alias("price_usd"),
                                                F.col("_r").alias("price_rank"))
     sr = ranked.where(F.col("_c") == 1).select(by, (-F.col("_v")).alias("prop_starrating"),
@@ -270,7 +267,7 @@ def build(df: DataFrame, fitted: FeatureStats | None = None, method: str = "near
             limit = SPARSE_THRESHOLD * got["_rows"]
             dropped = [c for c in raw_cols if got[c] > limit and c not in SPARSE_KEEP]
     out = out.drop(*[f"_rawnull_{c}" for c in touched]).drop(*dropped)
-    out = rank_features(out, by, stage=materialize)
+    out = rank_features(out, by)
     bounds = fitted.bounds if fitted is not None else None
     if materialize:
         obs = None

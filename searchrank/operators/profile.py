@@ -59,33 +59,37 @@ def describe(df: DataFrame, cols: Sequence[str] | None = None, method: str = "ne
              ) -> DataFrame:
     """Per column: count, null_count, mean, std, min, q25, q50, q75, max.
 
-    Moments come from one wide aggregate; quartiles from the exact
-    order-statistic path (``method`` as in ``stats.quantiles_long``).
+    One pass over the data builds the (column, value, count) table; every
+    statistic -- moments (two-pass mean/deviation), extremes and exact
+    quartiles (``method`` as in ``stats.quantiles_long``) -- is then read
+    from that table, which is sized by distinct values, not rows.
     """
+    from searchrank.operators.stats import quantiles_from_counts, value_counts_long
     cols = list(cols or numeric_columns(df))
-    aggs = [F.count(F.lit(1)).alias("_rows")]
-    for c in cols:
-        x = F.col(c).cast("double")
-        aggs += [F.count(x).alias(f"{c}__n"), F.avg(x).alias(f"{c}__mean"),
-                 F.stddev_samp(x).alias(f"{c}__std"), F.min(x).alias(f"{c}__min"),
-                 F.max(x).alias(f"{c}__max")]
-    wide = df.agg(*aggs)
-    kv = F.explode(F.array(*[F.struct(F.lit(c).alias("column"),
-                                      F.col(f"{c}__n").alias("count"),
-                                      F.col(f"{c}__mean").alias("mean"),
-                                      F.col(f"{c}__std").alias("std"),
-                                      F.col(f"{c}__min").alias("min"),
-                                      F.col(f"{c}__max").alias("max")) for c in cols]))
-    mom = wide.select("_rows", kv.alias("_m")).select(
-        "_m.column", "_m.count", (F.col("_rows") - F.col("_m.count")).alias("null_count"),
-        "_m.mean", "_m.std", "_m.min", "_m.max")
-    q = quantiles_long(df, [], cols, [0.25, 0.5, 0.75], method)
+    counts = value_counts_long(df, [], cols)
+    rows = df.agg(F.count(F.lit(1)).alias("_rows"))
+    per = counts.groupBy("_name").agg(
+        F.sum("_n").alias("count"), (F.sum(F.col("_value") * F.col("_n")) / F.sum("_n")).alias("mean"),
+        F.min("_value").alias("min"), F.max("_value").alias("max"))
+    dev = counts.join(per.select("_name", "mean", "count"), "_name").groupBy("_name").agg(
+        F.sqrt(F.try_divide(F.sum(F.col("_n") * (F.col("_value") - F.col("mean")) ** 2),
+                            F.first("count") - 1)).alias("std"))
+    mom = per.join(dev, "_name").crossJoin(F.broadcast(rows)).select(
+        F.col("_name").alias("column"), "count", (F.col("_rows") - F.col("count")).alias("null_count"),
+        "mean", "std", "min", "max")
+    q = (quantiles_long(df, [], cols, [0.25, 0.5, 0.75], "approx") if method == "approx"
+         else quantiles_from_counts(counts, [], [0.25, 0.5, 0.75], method))
     qw = (q.groupBy("column").agg(
         F.max(F.when(F.col("q") == 0.25, F.col("value"))).alias("q25"),
         F.max(F.when(F.col("q") == 0.5, F.col("value"))).alias("q50"),
         F.max(F.when(F.col("q") == 0.75, F.col("value"))).alias("q75")))
-    return mom.join(qw, "column", "left").select(
-        "column", "count", "null_count", "mean", "std", "min", "q25", "q50", "q75", "max")
+    # columns without any value still get a row (count 0)
+    allc = df.sparkSession.createDataFrame([(c,) for c in cols], "column string")
+    out = allc.join(mom.drop("null_count"), "column", "left").join(qw, "column", "left") \
+              .crossJoin(F.broadcast(rows))  # one row
+    cnt = F.coalesce(F.col("count"), F.lit(0))
+    return out.select("column", cnt.alias("count"), (F.col("_rows") - cnt).alias("null_count"),
+                      "mean", "std", "min", "q25", "q50", "q75", "max")
 
 
 def histogram(df: DataFrame, col: str, bins: int = DEFAULT_BINS,

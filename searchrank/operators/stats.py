@@ -58,7 +58,27 @@ def quantiles_long(df: DataFrame, by: Sequence[str], cols: Sequence[str],
                   .select(*by, "column", "_z.q", "_z.value")
 
     keys = by + ["_name"]
-    counts = long.groupBy(*keys, "_value").agg(F.count(F.lit(1)).alias("_n"))
+    counts = value_counts_long(df, by, cols)
+    return quantiles_from_counts(counts, by, qs, method)
+
+
+def value_counts_long(df: DataFrame, by: Sequence[str], cols: Sequence[str]) -> DataFrame:
+    """(by..., _name, _value, _n): rows per distinct non-null value of every
+    column, written once to the checkpoint folder.  A partial aggregation:
+    repeated values collapse inside each map task before the shuffle."""
+    from searchrank.sources.io import materialize
+    by = list(by)
+    counts = _long(df, by, cols).groupBy(*by, "_name", "_value").agg(
+        F.count(F.lit(1)).alias("_n"))
+    # feeds the range sampling, the numbering pass and the totals
+    return materialize(counts, "value-counts")
+
+
+def quantiles_from_counts(counts: DataFrame, by: Sequence[str], qs: Sequence[float],
+                          method: str = "nearest") -> DataFrame:
+    """Exact quantiles from a ``value_counts_long`` table."""
+    by = list(by)
+    keys = by + ["_name"]
     run = running_within(counts, keys, [F.col("_value").asc()], out="_cum", weight="_n")
     totals = counts.groupBy(*keys).agg(F.sum("_n").alias("_total"))
     qdf = F.explode(F.array(*[F.lit(float(q)) for q in qs])).alias("q")
