@@ -14,9 +14,10 @@ Plan shape at scale
   (the stats side has one row per search).
 * Dense ranks come from the distinct (search, value) pairs, ranked by a
   global range sort (``sequence.dense_rank_within``).
-* The global min/max of ``hotel_quality`` is a one-row aggregate joined
-  to every row (a broadcast of one row).  ``build(materialize=True)``
-  checkpoints the frame first, so the upstream plan is not run twice.
+* ``build`` writes one staging table to the checkpoint folder and reads
+  the sparse-column null counts and the global min/max of
+  ``hotel_quality`` as observed metrics of that write, so neither costs a
+  pass; the min-max scaling is then a one-row broadcast.
 """
 
 from __future__ import annotations
@@ -223,13 +224,13 @@ def build(df: DataFrame, fitted: FeatureStats | None = None, method: str = "near
     Without ``fitted`` every statistic is fitted on ``df`` itself.
 
     Jobs: (1) quantiles + per-search statistics + price features, written
-    to parquet under the checkpoint folder; the raw null counts that decide
-    the sparse-column drop are *observed* during that same write (no extra
-    pass over the log).  (2) the two dense ranks (one range sort), written
-    again.  The global min/max and the final projection stay lazy.  Each
-    write bounds the plan and means a lost executor only redoes one stage.
-    With ``materialize=False`` everything stays lazy and the drop list costs
-    one aggregate.
+    once to parquet under the checkpoint folder; the raw null counts that
+    decide the sparse-column drop and the min/max of hotel_quality are
+    *observed* during that same write (no extra pass).  (2) the two dense
+    ranks (one range sort, its numbering pass staged).  The rank joins, the
+    normalisation with the observed bounds and the final projection stay
+    lazy.  With ``materialize=False`` everything stays lazy; the drop list
+    then costs one aggregate and the bounds a one-row aggregate.
     """
     from pyspark.sql import Observation
 
@@ -254,32 +255,26 @@ def build(df: DataFrame, fitted: FeatureStats | None = None, method: str = "near
     out = search_statistics(out, by, ZSCORE_COLUMNS, "promotion_flag", ZSCORE_EPS)
     out = weighted_sum(out, QUALITY_WEIGHTS, "hotel_quality")
     out = price_features(out)
+    bounds = fitted.bounds if fitted is not None else None
     if materialize:
-        obs = None
+        # Observed during the single staging write: the raw null counts that
+        # decide the sparse-column drop and the global min/max of
+        # hotel_quality (complete at this point; ranks do not change it).
+        obs = Observation("stage1")
+        metrics = [F.count(F.lit(1)).alias("_rows"),
+                   F.min("hotel_quality").alias("_min"), F.max("hotel_quality").alias("_max")]
+        if dropped is None:
+            metrics += [F.count_if(F.col(f"_rawnull_{c}") if c in touched else F.col(c).isNull())
+                        .alias(c) for c in raw_cols]
+        out = _write(out.observe(obs, *metrics), "features-stage1")
+        got = obs.get
         if dropped is None:
-            obs = Observation("raw_nulls")
-            nulls = [F.count_if(F.col(f"_rawnull_{c}") if c in touched else F.col(c).isNull())
-                     .alias(c) for c in raw_cols]
-            out = out.observe(obs, F.count(F.lit(1)).alias("_rows"), *nulls)
-        out = _write(out, "features-stage1")
-        if obs is not None:
-            got = obs.get
             limit = SPARSE_THRESHOLD * got["_rows"]
             dropped = [c for c in raw_cols if got[c] > limit and c not in SPARSE_KEEP]
-    out = out.drop(*[f"_rawnull_{c}" for c in touched]).drop(*dropped)
-    out = rank_features(out, by)
-    bounds = fitted.bounds if fitted is not None else None
-    if materialize:
-        obs = None
         if bounds is None:
-            # the global min/max ride along with the write instead of a scan
-            obs = Observation("quality_bounds")
-            out = out.observe(obs, F.min("hotel_quality").alias("_min"),
-                              F.max("hotel_quality").alias("_max"))
-        out = _write(out, "features-stage2")
-        if obs is not None:
-            got = obs.get
             bounds = out.sparkSession.createDataFrame(
                 [(got["_min"], got["_max"])], "_min double, _max double")
+    out = out.drop(*[f"_rawnull_{c}" for c in touched]).drop(*dropped)
+    out = rank_features(out, by)
     out = minmax(out, "hotel_quality", "normalized_hotel_quality", bounds=bounds)
     return final_projection(out)
