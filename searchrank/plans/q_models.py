@@ -29,7 +29,11 @@ SMALL = {"max_iter": 8, "max_depth": 4}
 
 
 def _engineered(spark, sf):
-    return labels.relevance_grade(FE.build(fixture.search_log(spark, sf)))
+    # models read their input many times (null counts, imputer, boosting
+    # iterations, scoring): stage the engineered table once
+    from searchrank.sources.io import materialize
+    return materialize(labels.relevance_grade(FE.build(fixture.search_log(spark, sf))),
+                       "engineered")
 
 
 def _result(df, name):
