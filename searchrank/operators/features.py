@@ -17,7 +17,7 @@ Plan shape at scale
 * ``build`` writes one staging table to the checkpoint folder and reads
   the sparse-column null counts and the global min/max of
   ``hotel_quality`` as observed metrics of that write, so neither costs a
-  pass; the min-max scaling is then a one-row broadcast.
+  pass; the min-max scaling then uses them as literals.
 """
 
 from __future__ import annotations
@@ -146,13 +146,19 @@ def weighted_sum(df: DataFrame, weights: dict[str, float] = QUALITY_WEIGHTS,
 
 
 def minmax(df: DataFrame, col: str = "hotel_quality", out: str | None = None,
-           bounds: DataFrame | None = None) -> DataFrame:
-    """(x - min) / (max - min) over the whole frame; null when max == min."""
+           bounds: tuple[float, float] | None = None) -> DataFrame:
+    """(x - min) / (max - min) over the whole frame; null when max == min.
+
+    ``bounds`` are known (min, max) values; otherwise they come from a
+    one-row aggregate used as scalar subqueries.
+    """
     out = out or f"normalized_{col}"
-    b = bounds if bounds is not None else df.agg(F.min(col).alias("_min"), F.max(col).alias("_max"))
-    j = df.crossJoin(F.broadcast(b))  # one row
-    return (j.withColumn(out, F.try_divide(F.col(col) - F.col("_min"), F.col("_max") - F.col("_min")))
-             .drop("_min", "_max"))
+    if bounds is not None:
+        lo, hi = F.lit(bounds[0]).cast("double"), F.lit(bounds[1]).cast("double")
+    else:
+        lo = df.agg(F.min(col)).scalar()
+        hi = df.agg(F.max(col)).scalar()
+    return df.withColumn(out, F.try_divide(F.col(col) - lo, hi - lo))
 
 
 def price_features(df: DataFrame) -> DataFrame:
@@ -206,7 +212,7 @@ class FeatureStats:
     """Statistics fitted on one set and optionally reused on another."""
     dropped: list[str] = field(default_factory=list)
     quantiles: DataFrame | None = None
-    bounds: DataFrame | None = None
+    bounds: tuple[float, float] | None = None
 
 
 def fit_stats(df: DataFrame, method: str = "nearest") -> FeatureStats:
@@ -272,8 +278,7 @@ def build(df: DataFrame, fitted: FeatureStats | None = None, method: str = "near
             limit = SPARSE_THRESHOLD * got["_rows"]
             dropped = [c for c in raw_cols if got[c] > limit and c not in SPARSE_KEEP]
         if bounds is None:
-            bounds = out.sparkSession.createDataFrame(
-                [(got["_min"], got["_max"])], "_min double, _max double")
+            bounds = (got["_min"], got["_max"])
     out = out.drop(*[f"_rawnull_{c}" for c in touched]).drop(*dropped)
     out = rank_features(out, by)
     out = minmax(out, "hotel_quality", "normalized_hotel_quality", bounds=bounds)

@@ -67,16 +67,15 @@ def describe(df: DataFrame, cols: Sequence[str] | None = None, method: str = "ne
     from searchrank.operators.stats import quantiles_from_counts, value_counts_long
     cols = list(cols or numeric_columns(df))
     counts = value_counts_long(df, [], cols)
-    rows = df.agg(F.count(F.lit(1)).alias("_rows"))
+    rows = df.agg(F.count(F.lit(1))).scalar()   # scalar subquery
     per = counts.groupBy("_name").agg(
         F.sum("_n").alias("count"), (F.sum(F.col("_value") * F.col("_n")) / F.sum("_n")).alias("mean"),
         F.min("_value").alias("min"), F.max("_value").alias("max"))
     dev = counts.join(per.select("_name", "mean", "count"), "_name").groupBy("_name").agg(
         F.sqrt(F.try_divide(F.sum(F.col("_n") * (F.col("_value") - F.col("mean")) ** 2),
                             F.first("count") - 1)).alias("std"))
-    mom = per.join(dev, "_name").crossJoin(F.broadcast(rows)).select(
-        F.col("_name").alias("column"), "count", (F.col("_rows") - F.col("count")).alias("null_count"),
-        "mean", "std", "min", "max")
+    mom = per.join(dev, "_name").select(
+        F.col("_name").alias("column"), "count", "mean", "std", "min", "max")
     q = (quantiles_long(df, [], cols, [0.25, 0.5, 0.75], "approx") if method == "approx"
          else quantiles_from_counts(counts, [], [0.25, 0.5, 0.75], method))
     qw = (q.groupBy("column").agg(
@@ -85,10 +84,9 @@ def describe(df: DataFrame, cols: Sequence[str] | None = None, method: str = "ne
         F.max(F.when(F.col("q") == 0.75, F.col("value"))).alias("q75")))
     # columns without any value still get a row (count 0)
     allc = df.sparkSession.createDataFrame([(c,) for c in cols], "column string")
-    out = allc.join(mom.drop("null_count"), "column", "left").join(qw, "column", "left") \
-              .crossJoin(F.broadcast(rows))  # one row
+    out = allc.join(mom, "column", "left").join(qw, "column", "left")
     cnt = F.coalesce(F.col("count"), F.lit(0))
-    return out.select("column", cnt.alias("count"), (F.col("_rows") - cnt).alias("null_count"),
+    return out.select("column", cnt.alias("count"), (rows - cnt).alias("null_count"),
                       "mean", "std", "min", "q25", "q50", "q75", "max")
 
 
@@ -104,34 +102,35 @@ def histogram(df: DataFrame, col: str, bins: int = DEFAULT_BINS,
     x = F.col(col).cast("double")
     vals = df.select(x.alias("x")).where(F.col("x").isNotNull() & ~F.isnan("x"))
     if range_ is not None:
-        lo, hi = float(range_[0]), float(range_[1])
-        vals = vals.where((F.col("x") >= lo) & (F.col("x") <= hi))
-        bounds = vals.sparkSession.range(1).select(F.lit(lo).alias("lo"), F.lit(hi).alias("hi"))
+        lo_v, hi_v = float(range_[0]), float(range_[1])
+        vals = vals.where((F.col("x") >= lo_v) & (F.col("x") <= hi_v))
+        bounds = vals.sparkSession.range(1).select(F.lit(lo_v).alias("lo"), F.lit(hi_v).alias("hi"))
     else:
         mm = vals.agg(F.min("x").alias("lo"), F.max("x").alias("hi")).where(F.col("lo").isNotNull())
         bounds = mm.select(F.when(F.col("lo") == F.col("hi"), F.col("lo") - 0.5)
                             .otherwise(F.col("lo")).alias("lo"),
                            F.when(F.col("lo") == F.col("hi"), F.col("hi") + 0.5)
                             .otherwise(F.col("hi")).alias("hi"))
-    step = (F.col("hi") - F.col("lo")) / bins
-    norm = F.lit(float(bins)) / (F.col("hi") - F.col("lo"))
-
-    def edge(i):
-        return i.cast("double") * step + F.col("lo")
-
-    j = vals.crossJoin(F.broadcast(bounds))  # one row
-    i0 = F.least(F.floor((F.col("x") - F.col("lo")) * norm).cast("int"), F.lit(bins - 1))
-    j = j.withColumn("_i", i0)
-    j = j.withColumn("_i", F.when(F.col("x") < edge(F.col("_i")), F.col("_i") - 1)
-                            .when((F.col("x") >= edge(F.col("_i") + 1)) & (F.col("_i") != bins - 1),
-                                  F.col("_i") + 1)
+
+    def edge(i, lo, hi):
+        return i.cast("double") * ((hi - lo) / bins) + lo
+
+    # the bounds enter the row pass as scalar subqueries (one row)
+    lo_s, hi_s = bounds.select("lo").scalar(), bounds.select("hi").scalar()
+    i0 = F.least(F.floor((F.col("x") - lo_s) * (F.lit(float(bins)) / (hi_s - lo_s))).cast("int"),
+                 F.lit(bins - 1))
+    j = vals.withColumn("_i", i0)
+    j = j.withColumn("_i", F.when(F.col("x") < edge(F.col("_i"), lo_s, hi_s), F.col("_i") - 1)
+                            .when((F.col("x") >= edge(F.col("_i") + 1, lo_s, hi_s)) &
+                                  (F.col("_i") != bins - 1), F.col("_i") + 1)
                             .otherwise(F.col("_i")))
     counts = j.groupBy("_i").agg(F.count(F.lit(1)).alias("count"))
     allb = bounds.select("lo", "hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     out = allb.join(counts, allb["bin"] == counts["_i"], "left")
-    hi_edge = F.when(F.col("bin") == bins - 1, F.col("hi")).otherwise(edge(F.col("bin") + 1))
-    return out.select(F.col("bin"), edge(F.col("bin")).alias("bin_lo"), hi_edge.alias("bin_hi"),
-                      F.coalesce(F.col("count"), F.lit(0)).alias("count"))
+    lo, hi = F.col("lo"), F.col("hi")
+    hi_edge = F.when(F.col("bin") == bins - 1, hi).otherwise(edge(F.col("bin") + 1, lo, hi))
+    return out.select(F.col("bin"), edge(F.col("bin"), lo, hi).alias("bin_lo"),
+                      hi_edge.alias("bin_hi"), F.coalesce(F.col("count"), F.lit(0)).alias("count"))
 
 
 def box_stats(df: DataFrame, col: str, whisker: float = WHISKER) -> DataFrame:
@@ -146,19 +145,19 @@ def box_stats(df: DataFrame, col: str, whisker: float = WHISKER) -> DataFrame:
     qrow = q.agg(F.max(F.when(F.col("q") == 0.25, F.col("value"))).alias("q1"),
                  F.max(F.when(F.col("q") == 0.5, F.col("value"))).alias("median"),
                  F.max(F.when(F.col("q") == 0.75, F.col("value"))).alias("q3"))
-    qrow = qrow.withColumn("iqr", F.col("q3") - F.col("q1"))
-    j = vals.crossJoin(F.broadcast(qrow))  # one row
-    lo_fence = F.col("q1") - whisker * F.col("iqr")
-    hi_fence = F.col("q3") + whisker * F.col("iqr")
-    agg = j.groupBy("q1", "median", "q3", "iqr").agg(
-        F.count(F.lit(1)).alias("n"), F.avg("x").alias("mean"),
-        F.min(F.when(F.col("x") >= lo_fence, F.col("x"))).alias("_wlo"),
-        F.max(F.when(F.col("x") <= hi_fence, F.col("x"))).alias("_whi"))
-    agg = agg.withColumn("whislo", F.coalesce("_wlo", "q1")).withColumn("whishi", F.coalesce("_whi", "q3"))
-    fl = j.crossJoin(F.broadcast(agg.select("whislo", "whishi"))).agg(
-        F.count_if(F.col("x") < F.col("whislo")).alias("n_fliers_low"),
-        F.count_if(F.col("x") > F.col("whishi")).alias("n_fliers_high"))
-    return agg.select("n", "mean", "q1", "median", "q3", "iqr", "whislo", "whishi").crossJoin(fl)
+    q1, med, q3 = (qrow.select(c).scalar() for c in ("q1", "median", "q3"))  # scalar subqueries
+    iqr = q3 - q1
+    lo_fence, hi_fence = q1 - whisker * iqr, q3 + whisker * iqr
+    agg = vals.agg(F.count(F.lit(1)).alias("n"), F.avg("x").alias("mean"),
+                   F.coalesce(F.min(F.when(F.col("x") >= lo_fence, F.col("x"))), q1).alias("whislo"),
+                   F.coalesce(F.max(F.when(F.col("x") <= hi_fence, F.col("x"))), q3).alias("whishi"))
+    wlo, whi = agg.select("whislo").scalar(), agg.select("whishi").scalar()
+    fl = vals.agg(F.count_if(F.col("x") < wlo).alias("n_fliers_low"),
+                  F.count_if(F.col("x") > whi).alias("n_fliers_high"))
+    return agg.select("n", "mean", q1.alias("q1"), med.alias("median"), q3.alias("q3"),
+                      iqr.alias("iqr"), "whislo", "whishi",
+                      fl.select("n_fliers_low").scalar().alias("n_fliers_low"),
+                      fl.select("n_fliers_high").scalar().alias("n_fliers_high"))
 
 
 def correlation(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -245,6 +244,8 @@ def key_overlap(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
         F.count(F.lit(1)).alias("rows_a"), F.count_if(F.col("_b").isNull()).alias("rows_a_only"))
     rb = b.select(key).join(ka, key, "left").agg(
         F.count(F.lit(1)).alias("rows_b"), F.count_if(F.col("_a").isNull()).alias("rows_b_only"))
-    out = k.crossJoin(ra).crossJoin(rb)
+    out = k.select("*", *[d.select(c).scalar().alias(c)          # one-row aggregates
+                          for d, cs in ((ra, ("rows_a", "rows_a_only")), (rb, ("rows_b", "rows_b_only")))
+                          for c in cs])
     return out.withColumn("share_a_only", F.col("rows_a_only") / F.col("rows_a")) \
               .withColumn("share_b_only", F.col("rows_b_only") / F.col("rows_b"))

@@ -60,9 +60,11 @@ def check(source: DataFrame, output: DataFrame, by: str = "srch_id",
     bad_rank = per.agg(F.count(F.when((F.col("_lo") != 1) | (F.col("_hi") != F.col("_n")) |
                                       (F.col("_d") != F.col("_n")), 1)).alias("bad_rank_searches"))
     rows_in = source.agg(F.count(F.lit(1)).alias("rows_in"))
-    rows_out = output.agg(F.count(F.lit(1)).alias("rows_out"))
-    return (rows_in.crossJoin(rows_out).crossJoin(missing).crossJoin(extra)
-                   .crossJoin(bad_rank))
+    # every part is a one-row aggregate: combine them as scalar subqueries
+    return rows_in.select(
+        "rows_in", output.agg(F.count(F.lit(1))).scalar().alias("rows_out"),
+        missing.scalar().alias("missing_pairs"), extra.scalar().alias("extra_pairs"),
+        bad_rank.scalar().alias("bad_rank_searches"))
 
 
 def write_submission(df: DataFrame, path: str, by: str = "srch_id", fmt: str = "csv",

@@ -76,7 +76,7 @@ def q_fill(spark, sf):
     d = clean.fill_null(d, {"prop_review_score": 0.0})
     out = d.agg(F.count(F.lit(1)).alias("n_rows"), F.round(F.sum("price_usd"), 4).alias("price_filled"),
                 F.round(F.sum("prop_review_score"), 4).alias("review_filled"))
-    return out.crossJoin(kept)
+    return out.select("*", kept.scalar().alias("review_non_null"))
 
 
 @register("csv_roundtrip_null_tokens", _original_sql())
