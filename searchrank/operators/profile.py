@@ -138,26 +138,32 @@ def box_stats(df: DataFrame, col: str, whisker: float = WHISKER) -> DataFrame:
 
     Quartiles are linearly interpolated; whiskers reach the last value
     inside q1 - w*IQR / q3 + w*IQR; values beyond the whiskers are fliers.
+    One pass over the data builds the (value, count) table; quartiles,
+    whiskers and flier counts are all read from it.
     """
-    x = F.col(col).cast("double")
-    vals = df.select(x.alias("x")).where(F.col("x").isNotNull() & ~F.isnan("x"))
-    q = quantiles_long(vals, [], ["x"], [0.25, 0.5, 0.75], "linear")
-    qrow = q.agg(F.max(F.when(F.col("q") == 0.25, F.col("value"))).alias("q1"),
-                 F.max(F.when(F.col("q") == 0.5, F.col("value"))).alias("median"),
-                 F.max(F.when(F.col("q") == 0.75, F.col("value"))).alias("q3"))
-    q1, med, q3 = (qrow.select(c).scalar() for c in ("q1", "median", "q3"))  # scalar subqueries
-    iqr = q3 - q1
-    lo_fence, hi_fence = q1 - whisker * iqr, q3 + whisker * iqr
-    agg = vals.agg(F.count(F.lit(1)).alias("n"), F.avg("x").alias("mean"),
-                   F.coalesce(F.min(F.when(F.col("x") >= lo_fence, F.col("x"))), q1).alias("whislo"),
-                   F.coalesce(F.max(F.when(F.col("x") <= hi_fence, F.col("x"))), q3).alias("whishi"))
-    wlo, whi = agg.select("whislo").scalar(), agg.select("whishi").scalar()
-    fl = vals.agg(F.count_if(F.col("x") < wlo).alias("n_fliers_low"),
-                  F.count_if(F.col("x") > whi).alias("n_fliers_high"))
-    return agg.select("n", "mean", q1.alias("q1"), med.alias("median"), q3.alias("q3"),
-                      iqr.alias("iqr"), "whislo", "whishi",
-                      fl.select("n_fliers_low").scalar().alias("n_fliers_low"),
-                      fl.select("n_fliers_high").scalar().alias("n_fliers_high"))
+    from searchrank.operators.stats import quantiles_from_counts, value_counts_long
+    counts = value_counts_long(df, [], [col])
+    # three quartiles and two whiskers are the only values carried between
+    # the small jobs over the (value, count) table
+    qv = {r["q"]: r["value"] for r in
+          quantiles_from_counts(counts, [], [0.25, 0.5, 0.75], "linear").collect()}
+    q1v, medv, q3v = qv.get(0.25), qv.get(0.5), qv.get(0.75)
+    if q1v is None:
+        return df.sparkSession.createDataFrame(
+            [], "n long, mean double, q1 double, median double, q3 double, iqr double, "
+                "whislo double, whishi double, n_fliers_low long, n_fliers_high long")
+    iqrv = q3v - q1v
+    v, n = F.col("_value"), F.col("_n")
+    lo_fence, hi_fence = q1v - whisker * iqrv, q3v + whisker * iqrv
+    w = counts.agg(F.coalesce(F.min(F.when(v >= lo_fence, v)), F.lit(q1v)).alias("lo"),
+                   F.coalesce(F.max(F.when(v <= hi_fence, v)), F.lit(q3v)).alias("hi")).first()
+    lit = F.lit
+    return counts.agg(
+        F.sum(n).alias("n"), (F.sum(v * n) / F.sum(n)).alias("mean"),
+        lit(q1v).alias("q1"), lit(medv).alias("median"), lit(q3v).alias("q3"),
+        lit(iqrv).alias("iqr"), lit(w["lo"]).alias("whislo"), lit(w["hi"]).alias("whishi"),
+        F.sum(F.when(v < w["lo"], n).otherwise(0)).alias("n_fliers_low"),
+        F.sum(F.when(v > w["hi"], n).otherwise(0)).alias("n_fliers_high"))
 
 
 def correlation(df: DataFrame, cols: Sequence[str]) -> DataFrame:
