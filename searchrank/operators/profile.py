@@ -237,8 +237,13 @@ def key_overlap(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
     n_a, n_b, n_both (intersection), n_union, n_a_only, n_b_only, and the
     rows of each set whose key is absent from the other (count and share).
     """
-    ka = a.select(key).distinct().withColumn("_a", F.lit(1))
-    kb = b.select(key).distinct().withColumn("_b", F.lit(1))
+    from searchrank.sources.io import materialize
+    # one pass over each input: the key column is staged, every count below
+    # reads the narrow staged copy
+    a = materialize(a.select(key), "overlap-a")
+    b = materialize(b.select(key), "overlap-b")
+    ka = a.distinct().withColumn("_a", F.lit(1))
+    kb = b.distinct().withColumn("_b", F.lit(1))
     keys = ka.join(kb, key, "full")
     k = keys.agg(F.count_if(F.col("_a").isNotNull()).alias("n_a"),
                  F.count_if(F.col("_b").isNotNull()).alias("n_b"),
