@@ -68,3 +68,18 @@ def test_running_after_shuffle_matches_window(spark):
     ref = df.withColumn("e", F.sum("nn").over(w)).select("id", "e")
     assert got.join(ref, "id").where("r != e").count() == 0
     assert got.count() == 4000
+
+
+def test_fill_within_forward_backward(spark):
+    from searchrank.operators.sequence import fill_within
+    df, pdf = _frame(spark, n=2500, seed=13)
+    out = fill_within(df.select("k", "id", "v"), "k", ["id"], ["v"], "forward", "_f")
+    out = fill_within(out, "k", ["id"], ["v"], "backward", "_b").toPandas().set_index("id")
+    exp = pdf.sort_values(["k", "id"]).copy()
+    exp["f"] = exp.groupby("k")["v"].ffill()
+    exp["b"] = exp.groupby("k")["v"].bfill()
+    exp = exp.set_index("id")
+    for col, ref in (("v_f", "f"), ("v_b", "b")):
+        got, want = out[col].sort_index(), exp[ref].sort_index()
+        assert got.isna().equals(want.isna())
+        assert (got.dropna() == want.dropna()).all()
