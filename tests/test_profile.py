@@ -83,3 +83,15 @@ def test_key_overlap(spark):
     r = profile.key_overlap(a, b, "k").collect()[0]
     assert (r.n_a, r.n_b, r.n_both, r.n_union, r.n_a_only, r.n_b_only) == (3, 3, 2, 4, 1, 1)
     assert (r.rows_a_only, r.rows_b_only) == (1, 3)
+
+
+def test_all_null_column_edges(spark):
+    df = spark.createDataFrame([(1, None), (2, None), (3, None)], "id long, x double")
+    assert profile.histogram(df, "x", 5).count() == 0            # no values: no bins
+    d = profile.describe(df, ["id", "x"]).toPandas().set_index("column")
+    assert d.loc["x", "count"] == 0 and d.loc["x", "null_count"] == 3
+    assert d.loc["id", "q50"] == 2.0
+    assert profile.box_stats(df, "x").count() == 0
+    flat = spark.createDataFrame([(2.0,), (2.0,)], "x double")
+    h = profile.histogram(flat, "x", 4).orderBy("bin").collect()
+    assert [r["count"] for r in h] == [0, 0, 2, 0] and h[0]["bin_lo"] == 1.5   # numpy widens by 0.5
