@@ -112,7 +112,7 @@ def _forest(x: np.ndarray, y: np.ndarray | None, max_bits: int) -> Iterator[tupl
         diff = nodes[to] ^ nodes[i]
         shared = (diff.view(np.uint8).reshape(-1, 8) == 0).sum(axis=1)  # tally of positional bytes
         to, diff = to[shared >= need], diff[shared >= need]
-        for j in to[np.bitwise_count(diff) <= max_bits].tolist():
+        for j in to[np.bitwise_count(diff.view(np.uint64)) <= max_bits].tolist():
             if part[i] != part[j]:
                 part[part == part[j]] = part[i]
                 yield int(nodes[i]), int(nodes[j])

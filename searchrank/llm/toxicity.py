@@ -1,8 +1,8 @@
 """Toxicity by non-negative positive-unlabelled learning.
 
 Confirmed toxic documents are the positives; every other text is unlabelled
-and may be of either kind.  A linear classifier over the words of
-a text (present or not) minimises, in numpy, the class-prior-corrected risk
+and may be of either kind.  A linear classifier over the distinct words of
+a text and their stems minimises, in numpy, the class-prior-corrected risk
 
     prior * E_pos[loss(+)] + max(0, E_unl[loss(-)] - prior * E_pos[loss(-)])
 
@@ -26,6 +26,8 @@ ignored; an empty table gives no rows.
 from __future__ import annotations
 
 import re
+import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,48 +41,93 @@ from searchrank.llm.common import stage, text_chunks
 MAX_POSITIVE, MAX_UNLABELLED, MAX_CALIBRATION = 2500, 7500, 3000
 #: A word has to stand in so many texts of the sample.
 MIN_DOCS = 3
+#: ... and its shares among positives and unlabelled texts have to lie so many standard errors apart.
+APART = 4.0
 _WORD = re.compile(r"\w+")
+#: Lengths of the stems a word counts for besides itself.
+STEMS = (4, 5, 6)
+#: Words whose weight a task remembers before it starts afresh.
+REMEMBERED = 300_000
 
 
 def words_of(text: str | None) -> set[str]:
     return set(_WORD.findall(text.lower())) if text else set()
 
 
+def parts_of(word: str) -> list[str]:
+    """Features of a word: itself, and the stems it may begin with."""
+    return [word, *("^" + word[:n] for n in STEMS if len(word) > n)]
+
+
 class Model:
-    """Word weights and calibration; ``score`` takes texts."""
+    """Feature weights and calibration; ``score`` takes texts.
+
+    A text's raw score is the sum of the weights of its distinct words; a
+    word's weight is the sum over its parts (``parts_of``), remembered for up
+    to ``REMEMBERED`` words.
+    """
 
     def __init__(self, weights: dict[str, float], bias: float, scale: float = 1.0, shift: float = 0.0):
         self.weights, self.bias, self.scale, self.shift = weights, bias, scale, shift
+        self.words: dict[str, float] = {}
 
     def raw(self, texts: list[str | None]) -> np.ndarray:
-        w = self.weights
-        known = w.keys()
-        return np.array([self.bias + sum(w[x] for x in known & words_of(t)) for t in texts], dtype=float)
+        out = np.empty(len(texts))
+        w, known = self.weights, self.words
+        for k, t in enumerate(texts):
+            ws = words_of(t)
+            if len(known) > REMEMBERED:
+                known.clear()
+            for x in ws - known.keys():
+                known[x] = sum(w.get(p, 0.0) for p in parts_of(x))
+            out[k] = self.bias + sum(map(known.__getitem__, sorted(ws)))
+        return out
 
     def score(self, texts: list[str | None]) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.scale * self.raw(texts) + self.shift, -30, 30)))
 
 
+def _once(docs: list[set[str]]) -> list[set[str]]:
+    """Copies and most near copies count once: texts with the same three smallest word hashes."""
+    first: dict[tuple[int, ...], set[str]] = {}
+    for d in docs:
+        first.setdefault(tuple(sorted(zlib.crc32(x.encode()) for x in d)[:3]), d)
+    return list(first.values())
+
+
 def _sum_by(values: np.ndarray, lens: np.ndarray) -> np.ndarray:
     ends = np.cumsum(lens)
     total = np.concatenate(([0.0], np.cumsum(values)))
     return total[ends] - total[ends - lens]
 
 
-def nn_pu(pos: list[set[str]], unl: list[set[str]], prior: float, rounds: int = 300, rate: float = 0.05,
+def nn_pu(pos: list[set[str]], unl: list[set[str]], prior: float, rounds: int = 800, rate: float = 0.05,
           l2: float = 1e-4, beta: float = 0.0) -> tuple[dict[str, float], float]:
-    """Word weights and bias that minimise the non-negative PU risk."""
-    n_docs: dict[str, int] = {}
-    for d in (*pos, *unl):
-        for x in d:
-            n_docs[x] = n_docs.get(x, 0) + 1
-    at = {x: i for i, x in enumerate(sorted(x for x, n in n_docs.items() if n >= MIN_DOCS))}
-    rows = [[at[x] for x in d if x in at] for d in (*pos, *unl)]
+    """Feature weights and bias that minimise the non-negative PU risk.
+
+    ``pos`` and ``unl`` are word sets; a feature's value is the number of
+    words that have it.
+    """
+    counted = [[Counter(p for x in d for p in parts_of(x)) for d in docs] for docs in (pos, unl)]
+    counts: list[dict[str, int]] = [{}, {}]
+    for side, docs in zip(counts, counted):
+        for d in docs:
+            for x in d:
+                side[x] = side.get(x, 0) + 1
+
+    def apart(x: str) -> float:
+        """Log ratio of a word's shares in the two sets, in standard errors (smoothed)."""
+        a, c = counts[0].get(x, 0) + 0.5, counts[1].get(x, 0) + 0.5
+        return abs(np.log(a / len(pos)) - np.log(c / len(unl))) / np.sqrt(1 / a + 1 / c)
+
+    at = {x: i for i, x in enumerate(sorted(x for x in counts[0].keys() | counts[1].keys()
+          if counts[0].get(x, 0) + counts[1].get(x, 0) >= MIN_DOCS and apart(x) >= APART))}
+    rows = [[at[x] for x in d.elements() if x in at] for d in (*counted[0], *counted[1])]
     lens = np.array([len(r) for r in rows])
     idx = np.fromiter((i for r in rows for i in r), dtype=np.int64, count=int(lens.sum()))
     is_pos = np.arange(len(rows)) < len(pos)
     n_pos, n_unl = max(1, len(pos)), max(1, len(unl))
-    w, b = np.zeros(len(at) + 1), None
+    w, mean = np.zeros(len(at) + 1), np.zeros(len(at) + 1)
     m1, m2 = np.zeros_like(w), np.zeros_like(w)
     for t in range(1, rounds + 1):
         z = _sum_by(w[idx], lens) + w[-1]
@@ -95,8 +142,9 @@ def nn_pu(pos: list[set[str]], unl: list[set[str]], prior: float, rounds: int =
         g[:-1] += l2 * w[:-1]
         m1, m2 = 0.9 * m1 + 0.1 * g, 0.999 * m2 + 0.001 * g * g
         w = w - rate * (m1 / (1 - 0.9 ** t)) / (np.sqrt(m2 / (1 - 0.999 ** t)) + 1e-8)
-    b = float(w[-1])
-    return {x: float(w[i]) for x, i in at.items() if abs(w[i]) > 1e-3}, b
+        if 2 * t > rounds:  # the later half is averaged: steps to and fro cancel out
+            mean += w / (rounds - rounds // 2)
+    return {x: float(mean[i]) for x, i in at.items()}, float(mean[-1])
 
 
 def _platt(z: np.ndarray, y: np.ndarray) -> tuple[float, float]:
@@ -122,7 +170,7 @@ def train(sample: DataFrame, prior: float) -> Model | None:
     sets = {k: [words_of(t) for p, t in zip(part, text) if p == k] for k in ("pos", "unl")}
     if not sets["pos"] or not sets["unl"]:
         return None
-    model = Model(*nn_pu(sets["pos"], sets["unl"], prior))
+    model = Model(*nn_pu(_once(sets["pos"]), _once(sets["unl"]), prior))
     y = np.array([x for p, x in zip(part, toxic) if p == "cal"], dtype=float)
     z = model.raw([t for p, t in zip(part, text) if p == "cal"])
     if len(y) and 0 < y.sum() < len(y):
