@@ -13,9 +13,9 @@ has at most one row per partition, which bounds the broadcast.
 The locally numbered pass is written once to the shared checkpoint folder,
 so the boundary table and the final join read the same partitions.
 
-Top-k per group (``row_number() <= k``) does not need this: Catalyst's
-WindowGroupLimit keeps at most k rows per group and map partition *before*
-the shuffle, so a hot group shrinks to k rows per map task.
+Top-k per group (``row_number() <= k``) does not need this: rows of a group
+are first limited within salted parts, so a hot group shrinks to k rows per
+part before it meets in one place.
 """
 
 from __future__ import annotations
@@ -23,7 +23,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,45 +37,64 @@ def _as_cols(xs) -> list[Column]:
     return [F.col(x) if isinstance(x, str) else x for x in xs]
 
 
+def _differs(a: pa.Array, b: pa.Array) -> np.ndarray:
+    """Element-wise null-safe inequality (null equals null, NaN equals NaN)."""
+    na, nb = (pc.is_null(x, nan_is_null=False).to_numpy(zero_copy_only=False) for x in (a, b))
+    ne = pc.fill_null(pc.not_equal(a, b), False).to_numpy(zero_copy_only=False)
+    if pa.types.is_floating(a.type):
+        ne = ne & ~(pc.fill_null(pc.is_nan(a), False).to_numpy(zero_copy_only=False)
+                    & pc.fill_null(pc.is_nan(b), False).to_numpy(zero_copy_only=False))
+    return (na != nb) | (~na & ~nb & ne)
+
+
 def _local_running(keys: list[str], weight: str | None):
-    """mapInPandas body: running count (or running sum of ``weight``) inside
-    each key, in arrival order, carried over the batches of a partition."""
+    """mapInArrow body: running count (or running sum of ``weight``) inside
+    each key, in arrival order, carried over the batches of a partition.
+
+    Columns stay Arrow columns: nothing passes through pandas, so 64-bit ids
+    beside nulls keep their exact values."""
 
     def run(batches):
-        last_key = None
+        last_key: list[pa.Array] | None = None
         last_total = 0
-        for pdf in batches:
-            n = len(pdf)
-            if n == 0:
-                yield pdf.assign(**{_LOCAL: pd.Series([], dtype="int64")})
-                continue
-            arrs = [pdf[k].to_numpy() for k in keys]
+        for b in batches:
+            n = b.num_rows
+            cols = [b.column(b.schema.get_field_index(k)) for k in keys]
             new = np.zeros(n, dtype=bool)
-            new[0] = True
-            for a in arrs:
-                if n > 1:
-                    new[1:] |= a[1:] != a[:-1]
-            first = tuple(a[0] for a in arrs)
+            for c in cols:
+                new[1:] |= _differs(c.slice(1), c.slice(0, max(n - 1, 0)))
             carry = 0
-            if last_key is not None and first == last_key:
-                new[0] = False
-                carry = last_total
-            w = (np.ones(n, dtype=np.int64) if weight is None
-                 else pdf[weight].fillna(0).to_numpy().astype(np.int64))
+            if n:
+                new[0] = last_key is None or any(_differs(c.slice(0, 1), k)[0] for c, k in zip(cols, last_key))
+                carry = 0 if new[0] else last_total
+            w = (np.ones(n, dtype=np.int64) if weight is None else
+                 pc.fill_null(b.column(b.schema.get_field_index(weight)).cast(pa.int64()), 0).to_numpy())
             csum = np.cumsum(w)
-            idx = np.arange(n, dtype=np.int64)
-            starts = np.maximum.accumulate(np.where(new, idx, 0))
-            base = csum[starts] - w[starts]
-            local = csum - base
-            if carry:
-                local[starts == 0] += carry
-            last_key = tuple(a[-1] for a in arrs)
-            last_total = int(local[-1])
-            yield pdf.assign(**{_LOCAL: local})
+            starts = np.maximum.accumulate(np.where(new, np.arange(n), 0)) if n else np.zeros(0, dtype=np.int64)
+            local = csum - (csum[starts] - w[starts])
+            if n:
+                if carry:
+                    # rows of the key carried over: before the first new key of this batch
+                    local[:int(new.argmax()) if new.any() else n] += carry
+                last_key, last_total = [c.slice(n - 1, 1) for c in cols], int(local[-1])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(local, pa.int64())],
+                                             names=[*b.schema.names, _LOCAL])
 
     return run
 
 
+def _null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Equi-join in which null keys match null keys; the left columns stay, key copies of the right go."""
+    names = {k: f"_sr_n_{i}" for i, k in enumerate(keys)}
+    renamed = right.select(*[F.col(k).alias(n) for k, n in names.items()],
+                           *[F.col(c) for c in right.columns if c not in names])
+    cond = None
+    for k, n in names.items():
+        c = left[k].eqNullSafe(renamed[n])
+        cond = c if cond is None else cond & c
+    return left.join(renamed, cond, how).drop(*names.values())
+
+
 def running_within(df: DataFrame, keys: str | Sequence[str], order: Sequence,
                    out: str = "running", weight: str | None = None,
                    num_partitions: int | None = None) -> DataFrame:
@@ -82,9 +102,9 @@ def running_within(df: DataFrame, keys: str | Sequence[str], order: Sequence,
     inclusive, of each row inside its key under ``order``.
 
     With a total ``order`` and no weight this is ``row_number``.  ``keys``
-    may be empty for a running total over the whole frame.  Only the
-    columns of ``df`` travel through the sort, so project first.  Key
-    columns must be non-null.
+    may be empty for a running total over the whole frame; null is a key
+    value like any other.  Only the columns of ``df`` travel through the
+    sort, so project first.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     drop_const = False
@@ -96,7 +116,7 @@ def running_within(df: DataFrame, keys: str | Sequence[str], order: Sequence,
     ranged = (df.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols)
                 .withColumn(_PID, F.spark_partition_id()))
     schema = T.StructType(ranged.schema.fields + [T.StructField(_LOCAL, T.LongType(), False)])
-    local = ranged.mapInPandas(_local_running(keys, weight), schema)
+    local = ranged.mapInArrow(_local_running(keys, weight), schema)
     # The local pass is written once to the shared checkpoint folder.  The
     # partition id is then part of the data, so the boundary table and the
     # final join see exactly the same partitions (two separately planned
@@ -111,18 +131,19 @@ def running_within(df: DataFrame, keys: str | Sequence[str], order: Sequence,
     bounds = local.groupBy(_PID).agg(
         F.min(kstruct).alias("_first"),
         F.max(F.struct(kstruct.alias("k"), F.col(_LOCAL).alias("n"))).alias("_last"))
-    a = bounds.select(F.col(_PID), F.col("_first"))
-    b = bounds.select(F.col(_PID).alias("_q"), F.col("_last.k").alias("_lk"),
-                      F.col("_last.n").alias("_ln"))
-    # A key that starts partition p but was also the last key of earlier
-    # partitions q < p continues their totals (keys are sorted, so only the
-    # contiguous run of partitions before p can end with it).
-    offsets = (a.join(b, (a["_first"] == b["_lk"]) & (b["_q"] < a[_PID]))
-                .groupBy(_PID, "_first").agg(F.sum("_ln").alias("_off"))
-                .select(F.col(_PID), *[F.col(f"_first.{k}").alias(k) for k in keys],
-                        F.col("_off")))
+    bounds = bounds.select(_PID, "_first", F.col("_last.k").alias("_k"), F.col("_last.n").alias("_n"))
+    # Keys are sorted, so the partitions that end with one key stand next to
+    # each other: a running sum over them is what a following partition that
+    # starts with this key adds.  These windows see one row per partition.
+    upto = F.sum("_n").over(Window.partitionBy("_k").orderBy(_PID))
+    before = Window.orderBy(_PID)
+    offsets = (bounds.withColumn("_cum", upto)
+               .select(_PID, "_first", F.lag("_k").over(before).alias("_pk"),
+                       F.lag("_cum").over(before).alias("_off"))
+               .where(F.col("_off").isNotNull() & F.col("_pk").eqNullSafe(F.col("_first")))
+               .select(_PID, *[F.col(f"_first.{k}").alias(k) for k in keys], "_off"))
     # bounded by the number of partitions -> safe to broadcast
-    joined = local.join(F.broadcast(offsets), [_PID] + keys, "left")
+    joined = _null_safe(local, F.broadcast(offsets), [_PID, *keys], "left")
     res = (joined.withColumn(out, F.col(_LOCAL) + F.coalesce(F.col("_off"), F.lit(0)))
                  .drop(_PID, _LOCAL, "_off"))
     return res.drop("_sr_all") if drop_const else res
@@ -153,19 +174,28 @@ def dense_rank_within(df: DataFrame, keys: str | Sequence[str], col: str,
     pairs = df.select(*keys, col).where(F.col(col).isNotNull()).distinct()
     order = [F.col(col).desc()] if descending else [F.col(col).asc()]
     ranked = row_number_within(pairs, keys, order, out=out, num_partitions=num_partitions)
-    return df.join(ranked, keys + [col], "left")
+    return _null_safe(df, ranked, keys + [col], "left")
 
 
 def top_k_within(df: DataFrame, keys: str | Sequence[str], order: Sequence, k: int,
                  out: str = "rank") -> DataFrame:
     """Rows with position <= k inside each key (plus their position).
 
-    Written as ``row_number() <= k`` so the optimizer adds a partial
-    per-group limit ahead of the shuffle (WindowGroupLimit).
+    Two limits: within salted parts of a key, then over the k survivors of
+    each part.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    w = Window.partitionBy(*keys).orderBy(*_as_cols(order))
-    return df.withColumn(out, F.row_number().over(w)).where(F.col(out) <= k)
+    # a hot key's rows are limited per salted part first: parts are dealt by
+    # row, so the first window never sees more than a part of a key even
+    # when the input already arrives partitioned by it
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(parts))
+    cols = _as_cols(order)
+    some = (df.withColumn("_sr_salt", salt)
+            .withColumn(out, F.row_number().over(Window.partitionBy(*keys, "_sr_salt").orderBy(*cols)))
+            .where(F.col(out) <= k).drop("_sr_salt", out))
+    w = Window.partitionBy(*keys).orderBy(*cols)
+    return some.withColumn(out, F.row_number().over(w)).where(F.col(out) <= k)
 
 
 
@@ -195,10 +225,10 @@ def fill_within(df: DataFrame, keys: str | Sequence[str], order: Sequence[str],
         vals = seg.groupBy(*keys, "_sr_seg").agg(F.max("_sr_v").alias("_sr_fill"))
         # rows equal on (keys, order, value) always get the same fill, so one
         # entry per such identity keeps the join back one-to-one per row
-        filled = (seg.join(vals, keys + ["_sr_seg"], "left")
+        filled = (_null_safe(seg, vals, keys + ["_sr_seg"], "left")
                      .select(*[F.col(k).alias(f"_sr_k_{k}") for k in ident], "_sr_v", "_sr_fill")
                      .distinct())
-        cond = [F.col(k) == F.col(f"_sr_k_{k}") for k in ident] + \
+        cond = [F.col(k).eqNullSafe(F.col(f"_sr_k_{k}")) for k in ident] + \
                [F.col(c).eqNullSafe(F.col("_sr_v"))]
         out = (out.join(filled, cond, "left")
                   .withColumn(f"{c}{suffix}", F.coalesce(F.col(c), F.col("_sr_fill")))

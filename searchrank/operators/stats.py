@@ -22,12 +22,13 @@ values x[0..n-1] with h = q * (n - 1):
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from searchrank.operators.sequence import running_within
+from searchrank.operators.sequence import _null_safe, running_within
 
 METHODS = ("nearest", "lower", "higher", "linear", "midpoint", "disc", "approx")
 
@@ -91,7 +92,7 @@ def quantiles_from_counts(counts: DataFrame, by: Sequence[str], qs: Sequence[flo
                              F.floor(h).cast("long").alias("_lo"),
                              F.ceil(h).cast("long").alias("_hi"))
     # value at 0-based index i: the row with cum - n <= i < cum
-    j = run.join(targets, keys)
+    j = _null_safe(run, targets, keys, "inner")
     start = F.col("_cum") - F.col("_n")
     has_lo = (start <= F.col("_lo")) & (F.col("_lo") < F.col("_cum"))
     has_hi = (start <= F.col("_hi")) & (F.col("_hi") < F.col("_cum"))
@@ -112,6 +113,93 @@ def quantiles_from_counts(counts: DataFrame, by: Sequence[str], qs: Sequence[flo
     return picked.select(*by, F.col("_name").alias("column"), "q", value.alias("value"))
 
 
+#: Rank error of the sketch that brackets a quantile (one part in so many rows).
+BRACKET = 10_000
+
+
+def _positions(q: float, n: int, method: str) -> tuple[float, int, int]:
+    """(h, lower index, upper index) of a quantile among n sorted values."""
+    h = float(max(math.ceil(q * n) - 1, 0)) if method == "disc" else q * (n - 1)
+    return h, math.floor(h), math.ceil(h)
+
+
+def _between(h: float, lo: float, hi: float, method: str) -> float:
+    frac = h - math.floor(h)
+    return {"lower": lo, "disc": lo, "higher": hi, "nearest": hi if frac >= 0.5 else lo,
+            "linear": lo + frac * (hi - lo), "midpoint": (lo + hi) / 2.0}[method]
+
+
+def quantiles_wide(df: DataFrame, cols: Sequence[str], qs: Sequence[float], method: str = "nearest",
+                   extra: dict | None = None) -> tuple[dict, dict]:
+    """Exact quantiles of whole columns without a value list of all rows.
+
+    Pass 1, one wide aggregate: the count and, per quantile, a bracket from
+    ``percentile_approx`` (bounded sketches), together with the aggregates
+    ``extra`` ({key: Column}).  Pass 2 counts the rows below each bracket and
+    the rows per value inside it; a bracket holds about one part in
+    ``BRACKET / 8`` of the rows, and repeated values collapse before the
+    shuffle.  The wanted positions are read off the ordered counts.  Should
+    a bracket miss a position, it is widened to the whole range.
+
+    Returns ({key: value of extra}, {(column, q): value or None}); both are
+    sized by columns times quantiles.
+    """
+    cols, qs = list(cols), [float(q) for q in qs]
+    x = {c: F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")) for c in cols}
+    extra = extra or {}
+    aggs = [v.alias(f"e{i}") for i, v in enumerate(extra.values())]
+    edges = [min(max(q + d * 4.0 / BRACKET, 0.0), 1.0) for q in qs for d in (-1, 1)]
+    for i, c in enumerate(cols):
+        aggs += [F.count(x[c]).alias(f"n{i}"), F.percentile_approx(x[c], edges, BRACKET).alias(f"p{i}"),
+                 F.min(x[c]).alias(f"lo{i}"), F.max(x[c]).alias(f"hi{i}")]
+    one = df.agg(*aggs).first()
+    got = {k: one[f"e{i}"] for i, k in enumerate(extra)}
+    if method == "approx":
+        return got, {(c, q): None if not one[f"n{i}"] else _middle(one[f"p{i}"], k)
+                     for i, c in enumerate(cols) for k, q in enumerate(qs)}
+    out: dict = {(c, q): None for c in cols for q in qs}
+    todo = {(i, k): (one[f"p{i}"][2 * k], one[f"p{i}"][2 * k + 1])
+            for i in range(len(cols)) if one[f"n{i}"] for k in range(len(qs))}
+    while todo:
+        slots = list(todo)
+        below = df.agg(*[F.count_if(x[cols[i]] < F.lit(todo[i, k][0])).alias(f"b{s}")
+                         for s, (i, k) in enumerate(slots)]).first()
+        inside = F.array(*[F.when(x[cols[i]].between(*todo[i, k]), F.struct(
+            F.lit(s).alias("s"), x[cols[i]].alias("v"))) for s, (i, k) in enumerate(slots)])
+        counts = (df.select(F.explode(F.filter(inside, lambda e: e.isNotNull())).alias("e"))
+                  .groupBy("e.s", "e.v").agg(F.count(F.lit(1)).alias("n")))
+        run = running_within(counts, "s", [F.col("v").asc()], out="cum", weight="n")
+        want = {}
+        for s, (i, k) in enumerate(slots):
+            want[s] = _positions(qs[k], one[f"n{i}"], method)
+        start = F.col("cum") - F.col("n")
+
+        def holds(which: int):
+            at = F.create_map(*[z for s, w in want.items() for z in (F.lit(s), F.lit(w[which] - below[f"b{s}"]))])
+            return (start <= at[F.col("s")]) & (at[F.col("s")] < F.col("cum"))
+
+        # two values per slot at most
+        hit = run.groupBy("s").agg(F.max(F.when(holds(1), F.col("v"))).alias("lo"),
+                                   F.max(F.when(holds(2), F.col("v"))).alias("hi")).collect()
+        found = {r["s"]: (r["lo"], r["hi"]) for r in hit}
+        again = {}
+        for s, (i, k) in enumerate(slots):
+            lo, hi = found.get(s, (None, None))
+            if lo is None or hi is None:
+                whole = (one[f"lo{i}"], one[f"hi{i}"])
+                if todo[i, k] == whole:
+                    raise RuntimeError("a quantile position lies outside the column's range")
+                again[i, k] = whole
+            else:
+                out[cols[i], qs[k]] = _between(want[s][0], lo, hi, method)
+        todo = again
+    return got, out
+
+
+def _middle(edges: Sequence[float], k: int) -> float:
+    return (edges[2 * k] + edges[2 * k + 1]) / 2.0
+
+
 def group_quantile(df: DataFrame, by: str | Sequence[str], cols: Sequence[str], q: float = 0.25,
                    method: str = "nearest", suffix: str = "_q") -> DataFrame:
     """One row per group: ``<col><suffix>`` = quantile ``q`` of each column."""

@@ -50,21 +50,30 @@ def check(source: DataFrame, output: DataFrame, by: str = "srch_id",
     rows_in/rows_out must match, every (search, item) pair must survive
     (as a multiset), and ranks must be 1..n inside each search.
     """
-    a = source.select(by, item)
-    b = output.select(by, item)
-    missing = a.exceptAll(b).agg(F.count(F.lit(1)).alias("missing_pairs"))
-    extra = b.exceptAll(a).agg(F.count(F.lit(1)).alias("extra_pairs"))
-    per = output.groupBy(by).agg(F.count(F.lit(1)).alias("_n"), F.min("rank").alias("_lo"),
-                                 F.max("rank").alias("_hi"),
-                                 F.countDistinct("rank").alias("_d"))
-    bad_rank = per.agg(F.count(F.when((F.col("_lo") != 1) | (F.col("_hi") != F.col("_n")) |
-                                      (F.col("_d") != F.col("_n")), 1)).alias("bad_rank_searches"))
-    rows_in = source.agg(F.count(F.lit(1)).alias("rows_in"))
-    # every part is a one-row aggregate: combine them as scalar subqueries
-    return rows_in.select(
-        "rows_in", output.agg(F.count(F.lit(1))).scalar().alias("rows_out"),
-        missing.scalar().alias("missing_pairs"), extra.scalar().alias("extra_pairs"),
-        bad_rank.scalar().alias("bad_rank_searches"))
+    a = source.groupBy(by, item).agg(F.count(F.lit(1)).alias("_in"))
+    b = output.groupBy(by, item).agg(
+        F.count(F.lit(1)).alias("_out"), F.min("rank").alias("_lo"), F.max("rank").alias("_hi"),
+        F.count("rank").alias("_ranked"))
+    pairs = a.alias("a").join(b.alias("b"), F.col(f"a.{by}").eqNullSafe(F.col(f"b.{by}"))
+                              & F.col(f"a.{item}").eqNullSafe(F.col(f"b.{item}")), "full")
+    n_in, n_out = F.coalesce("_in", F.lit(0)), F.coalesce("_out", F.lit(0))
+    per = pairs.groupBy(F.coalesce(f"a.{by}", f"b.{by}").alias("_by")).agg(
+        F.sum(n_in).alias("rows_in"), F.sum(n_out).alias("n"),
+        F.sum(F.greatest(n_in - n_out, F.lit(0))).alias("missing"),
+        F.sum(F.greatest(n_out - n_in, F.lit(0))).alias("extra"), F.sum("_ranked").alias("ranked"),
+        F.min("_lo").alias("lo"), F.max("_hi").alias("hi"))
+    # ranks 1..n: as many as rows, from 1 to n, none twice
+    good = (F.col("lo") == 1) & (F.col("hi") == F.col("n")) & (F.col("ranked") == F.col("n"))
+    double = output.groupBy(by, "rank").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(by).distinct()
+    per = per.join(double.select(F.col(by).alias("_dup"), F.lit(True).alias("_double")),
+                   F.col("_by").eqNullSafe(F.col("_dup")), "left")
+    bad = (F.col("n") > 0) & (~F.coalesce(good, F.lit(False)) | F.col("_double").isNotNull())
+    zero = F.lit(0).cast("long")
+    return per.agg(F.coalesce(F.sum("rows_in"), zero).alias("rows_in"),
+                   F.coalesce(F.sum("n"), zero).alias("rows_out"),
+                   F.coalesce(F.sum("missing"), zero).alias("missing_pairs"),
+                   F.coalesce(F.sum("extra"), zero).alias("extra_pairs"),
+                   F.count_if(bad).alias("bad_rank_searches"))
 
 
 def write_submission(df: DataFrame, path: str, by: str = "srch_id", fmt: str = "csv",

@@ -83,3 +83,49 @@ def test_fill_within_forward_backward(spark):
         got, want = out[col].sort_index(), exp[ref].sort_index()
         assert got.isna().equals(want.isna())
         assert (got.dropna() == want.dropna()).all()
+
+
+BIG = 2 ** 53
+
+
+def _big_frame(spark):
+    rows = [(BIG + i % 2, BIG + 1 + 2 * i, i) for i in range(40)] + [(None, BIG + 1, 100 + i) for i in range(9)]
+    rows += [(7, None, 200 + i) for i in range(30)]
+    return spark.createDataFrame(rows, "k long, payload long, id long"), rows
+
+
+def test_64_bit_ids_beside_nulls(spark):
+    df, rows = _big_frame(spark)
+    for parts in (1, 2, 7):
+        got = {r["id"]: r for r in row_number_within(df, "k", ["id"], out="rn", num_partitions=parts).collect()}
+        assert len(got) == len(rows)
+        seen = {}
+        for k, payload, i in sorted(rows, key=lambda r: r[2]):
+            seen[k] = seen.get(k, 0) + 1
+            assert (got[i]["k"], got[i]["payload"], got[i]["rn"]) == (k, payload, seen[k])
+
+
+def test_null_and_nan_keys_are_groups(spark):
+    df = spark.createDataFrame([(None, 1.0, i) for i in range(5)] + [(1, float("nan"), i) for i in range(5)]
+                               + [(1, None, i) for i in range(5)], "a long, b double, i long")
+    got = row_number_within(df, ["a", "b"], ["i"], out="rn", num_partitions=4).collect()
+    assert all(r["rn"] == r["i"] + 1 for r in got)
+
+
+def test_dense_rank_of_a_null_search(spark):
+    df = spark.createDataFrame([(None, 1.0), (None, 2.0), (BIG + 1, 5.0), (BIG, 5.0), (BIG, 6.0)], "k long, v double")
+    got = sorted(map(tuple, dense_rank_within(df, "k", "v", out="r").collect()), key=str)
+    assert got == sorted([(None, 1.0, 1), (None, 2.0, 2), (BIG + 1, 5.0, 1), (BIG, 5.0, 1), (BIG, 6.0, 2)], key=str)
+
+
+def test_one_key_over_many_partitions(spark):
+    df = spark.range(2000).select(F.lit(5).alias("k"), "id", F.lit(2).cast("long").alias("w"))
+    out = running_within(df, "k", ["id"], out="s", weight="w", num_partitions=37)
+    assert out.where("s <> 2 * (id + 1)").count() == 0
+
+
+def test_top_k_with_a_hot_key(spark):
+    df, pdf = _frame(spark, seed=5)
+    got = top_k_within(df.repartition("k"), "k", [F.col("v").desc_nulls_last(), F.col("id")], 4)
+    exp = pdf.sort_values(["k", "v", "id"], ascending=[True, False, True], na_position="last").groupby("k").head(4)
+    assert {(r["k"], r["id"]) for r in got.collect()} == set(zip(exp.k, exp.id))
