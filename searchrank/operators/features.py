@@ -8,16 +8,18 @@ Plan shape at scale
   broadcast once it has measured the table.
 * Every per-search statistic (three means and standard deviations, the
   promotion sum and max) comes from ONE ``groupBy(srch_id)`` with partial
-  aggregation and ONE join back.  The log leaves its last join
-  hash-partitioned by ``srch_id``, so neither needs another exchange; a
-  search holding a third of all rows is split by AQE's skew-join handling
-  (the stats side has one row per search).
+  aggregation and ONE join back (the stats side has one row per search).
+  ``build`` aggregates from the written row-level table: nothing above the
+  join ties its rows to a partitioning by search, so AQE can split a search
+  that holds a third of all rows.  On a log that already arrives
+  hash-partitioned by search (as from a join on it) the join would reuse
+  that partitioning and could not be split, hence the write.
 * Dense ranks come from the distinct (search, value) pairs, ranked by a
   global range sort (``sequence.dense_rank_within``).
-* ``build`` writes one staging table to the checkpoint folder and reads
-  the sparse-column null counts and the global min/max of
-  ``hotel_quality`` as observed metrics of that write, so neither costs a
-  pass; the min-max scaling then uses them as literals.
+* ``build`` writes the row-level table once and reads the sparse-column
+  null counts as observed metrics of that write; the min/max of
+  ``hotel_quality`` is one pass over five narrow columns and enters the
+  scaling as literals.
 """
 
 from __future__ import annotations
@@ -215,12 +217,37 @@ class FeatureStats:
     bounds: tuple[float, float] | None = None
 
 
-def fit_stats(df: DataFrame, method: str = "nearest") -> FeatureStats:
-    """Sparse-column drop list and country quartiles of a raw log."""
+def _row_features(df: DataFrame, quant: DataFrame | None, method: str) -> DataFrame:
+    """Every step that needs no statistic of the search: imputation, ratio, zero fill, prices."""
+    out = impute_group_quantile(df, IMPUTE_COLUMNS, IMPUTE_BY, IMPUTE_Q, method, table=quant)
+    return price_features(zero_fill(location_ratio(out), ZSCORE_COLUMNS))
+
+
+def _quality(df: DataFrame, st: DataFrame, by: str) -> DataFrame:
+    """Per-search statistics joined to the rows, z-scores and the weighted quality."""
+    j = df.join(st, by, "inner")
+    extra = _zscore_cols(ZSCORE_COLUMNS, ZSCORE_EPS) + [F.col("promotion_count"), F.col("promotion_any")]
+    return weighted_sum(j.select(*[F.col(c) for c in df.columns], *extra), QUALITY_WEIGHTS, "hotel_quality")
+
+
+def _search_table(rows: DataFrame, by: str) -> DataFrame:
+    return rows.groupBy(by).agg(*_search_stat_exprs(ZSCORE_COLUMNS, "promotion_flag"))
+
+
+def fit_stats(df: DataFrame, method: str = "nearest", by: str = "srch_id") -> FeatureStats:
+    """Sparse-column drop list, country quartiles and quality min/max of a raw log.
+
+    A test set built with them shares columns, imputation and scaling with
+    the set they were fitted on.
+    """
+    from searchrank.sources.io import materialize as _write
     base = has_history(df)
     _, dropped = clean.drop_sparse(base, SPARSE_THRESHOLD, SPARSE_KEEP)
-    q = country_quantiles(base, IMPUTE_COLUMNS, IMPUTE_BY, IMPUTE_Q, method)
-    return FeatureStats(dropped=dropped, quantiles=q)
+    q = _write(country_quantiles(base, IMPUTE_COLUMNS, IMPUTE_BY, IMPUTE_Q, method), "country-quantiles")
+    rows = _row_features(base, q, method).select(by, "promotion_flag", *ZSCORE_COLUMNS)
+    lo, hi = _quality(rows, _search_table(rows, by), by).agg(
+        F.min("hotel_quality"), F.max("hotel_quality")).first()
+    return FeatureStats(dropped=dropped, quantiles=q, bounds=(lo, hi))
 
 
 def build(df: DataFrame, fitted: FeatureStats | None = None, method: str = "nearest",
@@ -229,57 +256,54 @@ def build(df: DataFrame, fitted: FeatureStats | None = None, method: str = "near
 
     Without ``fitted`` every statistic is fitted on ``df`` itself.
 
-    Jobs: (1) quantiles + per-search statistics + price features, written
-    once to parquet under the checkpoint folder; the raw null counts that
-    decide the sparse-column drop and the min/max of hotel_quality are
-    *observed* during that same write (no extra pass).  (2) the two dense
-    ranks (one range sort, its numbering pass staged).  The rank joins, the
-    normalisation with the observed bounds and the final projection stay
-    lazy.  With ``materialize=False`` everything stays lazy; the drop list
-    then costs one aggregate and the bounds a one-row aggregate.
+    Jobs: (1) the row-level features are written once, projected to the
+    columns that are still needed; the raw null counts that decide the
+    sparse-column drop are *observed* during that write.  (2) the per-search
+    statistics, one row per search, from the written files (partial
+    aggregation; nothing above ties the rows to a partitioning by search,
+    so the join back can be split where a search is hot).  (3) the min/max of
+    hotel_quality, from the few columns it needs, unless fitted.  (4) the two
+    dense ranks (one range sort, its numbering pass staged).  The joins, the
+    normalisation and the final projection stay lazy.  With
+    ``materialize=False`` nothing is written here.
     """
     from pyspark.sql import Observation
 
     from searchrank.sources.io import materialize as _write
 
-    raw_cols = list(df.columns)
     out = has_history(df)
-    raw_cols += ["has_hist_starrating", "has_hist_adr_usd"]
-    if fitted is not None:
-        dropped, quant = fitted.dropped, fitted.quantiles
-    elif not materialize:
+    raw_cols = list(out.columns)
+    dropped, quant, bounds = ((fitted.dropped, fitted.quantiles, fitted.bounds) if fitted is not None
+                              else (None, None, None))
+    if dropped is None and not materialize:
         _, dropped = clean.drop_sparse(out, SPARSE_THRESHOLD, SPARSE_KEEP)
-        quant = None
-    else:
-        dropped, quant = None, None
     # remember which values were null before imputation / zero fill
     touched = [c for c in (*IMPUTE_COLUMNS, *ZSCORE_COLUMNS) if c in out.columns]
     out = out.select("*", *[F.col(c).isNull().alias(f"_rawnull_{c}") for c in touched])
-    out = impute_group_quantile(out, IMPUTE_COLUMNS, IMPUTE_BY, IMPUTE_Q, method, table=quant)
-    out = location_ratio(out)
-    out = zero_fill(out, ZSCORE_COLUMNS)
-    out = search_statistics(out, by, ZSCORE_COLUMNS, "promotion_flag", ZSCORE_EPS)
-    out = weighted_sum(out, QUALITY_WEIGHTS, "hotel_quality")
-    out = price_features(out)
-    bounds = fitted.bounds if fitted is not None else None
+    out = _row_features(out, quant, method)
+    flags = [f"_rawnull_{c}" for c in touched]
+    needed = {"price_usd", "prop_starrating", "prop_review_score", "promotion_flag"}
+    gone = [c for c in SOURCE_DROP if c not in needed] + flags
     if materialize:
-        # Observed during the single staging write: the raw null counts that
-        # decide the sparse-column drop and the global min/max of
-        # hotel_quality (complete at this point; ranks do not change it).
-        obs = Observation("stage1")
-        metrics = [F.count(F.lit(1)).alias("_rows"),
-                   F.min("hotel_quality").alias("_min"), F.max("hotel_quality").alias("_max")]
+        obs = Observation("row-features")
+        metrics = [F.count(F.lit(1)).alias("_rows")]
         if dropped is None:
             metrics += [F.count_if(F.col(f"_rawnull_{c}") if c in touched else F.col(c).isNull())
                         .alias(c) for c in raw_cols]
-        out = _write(out.observe(obs, *metrics), "features-stage1")
+        out = _write(clean.drop_matching(out.observe(obs, *metrics).drop(*gone)), "features-rows")
         got = obs.get
         if dropped is None:
             limit = SPARSE_THRESHOLD * got["_rows"]
             dropped = [c for c in raw_cols if got[c] > limit and c not in SPARSE_KEEP]
-        if bounds is None:
-            bounds = (got["_min"], got["_max"])
-    out = out.drop(*[f"_rawnull_{c}" for c in touched]).drop(*dropped)
+        st = _write(_search_table(out, by), "features-searches")
+    else:
+        out = out.drop(*gone)
+        st = _search_table(out, by)
+    if bounds is None and materialize:
+        few = out.select(by, "promotion_flag", *ZSCORE_COLUMNS)
+        lo, hi = _quality(few, st, by).agg(F.min("hotel_quality"), F.max("hotel_quality")).first()
+        bounds = (lo, hi)
+    out = _quality(out, st, by).drop(*[c for c in dropped if c not in needed])
     out = rank_features(out, by)
     out = minmax(out, "hotel_quality", "normalized_hotel_quality", bounds=bounds)
-    return final_projection(out)
+    return final_projection(out.drop(*dropped))

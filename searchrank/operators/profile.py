@@ -16,7 +16,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from searchrank.functions.clean import numeric_columns
-from searchrank.operators.stats import quantiles_long
 
 # Box whiskers reach 1.5 IQR; default histogram bin count.
 WHISKER = 1.5
@@ -59,35 +58,24 @@ def describe(df: DataFrame, cols: Sequence[str] | None = None, method: str = "ne
              ) -> DataFrame:
     """Per column: count, null_count, mean, std, min, q25, q50, q75, max.
 
-    One pass over the data builds the (column, value, count) table; every
-    statistic -- moments (two-pass mean/deviation), extremes and exact
-    quartiles (``method`` as in ``stats.quantiles_long``) -- is then read
-    from that table, which is sized by distinct values, not rows.
+    One wide aggregate gives counts, moments, extremes and a bracket around
+    every quartile (a sketch of bounded size); a second pass counts exactly
+    below the brackets and selects among the few values inside them
+    (``stats.quantiles_wide``).  No value list of all rows is built.
     """
-    from searchrank.operators.stats import quantiles_from_counts, value_counts_long
+    from searchrank.operators.stats import quantiles_wide
     cols = list(cols or numeric_columns(df))
-    counts = value_counts_long(df, [], cols)
-    rows = df.agg(F.count(F.lit(1))).scalar()   # scalar subquery
-    per = counts.groupBy("_name").agg(
-        F.sum("_n").alias("count"), (F.sum(F.col("_value") * F.col("_n")) / F.sum("_n")).alias("mean"),
-        F.min("_value").alias("min"), F.max("_value").alias("max"))
-    dev = counts.join(per.select("_name", "mean", "count"), "_name").groupBy("_name").agg(
-        F.sqrt(F.try_divide(F.sum(F.col("_n") * (F.col("_value") - F.col("mean")) ** 2),
-                            F.first("count") - 1)).alias("std"))
-    mom = per.join(dev, "_name").select(
-        F.col("_name").alias("column"), "count", "mean", "std", "min", "max")
-    q = (quantiles_long(df, [], cols, [0.25, 0.5, 0.75], "approx") if method == "approx"
-         else quantiles_from_counts(counts, [], [0.25, 0.5, 0.75], method))
-    qw = (q.groupBy("column").agg(
-        F.max(F.when(F.col("q") == 0.25, F.col("value"))).alias("q25"),
-        F.max(F.when(F.col("q") == 0.5, F.col("value"))).alias("q50"),
-        F.max(F.when(F.col("q") == 0.75, F.col("value"))).alias("q75")))
-    # columns without any value still get a row (count 0)
-    allc = df.sparkSession.createDataFrame([(c,) for c in cols], "column string")
-    out = allc.join(mom, "column", "left").join(qw, "column", "left")
-    cnt = F.coalesce(F.col("count"), F.lit(0))
-    return out.select("column", cnt.alias("count"), (rows - cnt).alias("null_count"),
-                      "mean", "std", "min", "q25", "q50", "q75", "max")
+    qs = [0.25, 0.5, 0.75]
+    v = {c: F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")) for c in cols}
+    moments = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
+    got, quart = quantiles_wide(df, cols, qs, method, {
+        (c, name): fn(v[c]) for c in cols for name, fn in moments.items()} | {("", "rows"): F.count(F.lit(1))})
+    rows = [(c, got[c, "count"], got["", "rows"] - got[c, "count"], got[c, "mean"], got[c, "std"], got[c, "min"],
+             *(quart[c, q] for q in qs), got[c, "max"]) for c in cols]
+    # one row per column of the schema
+    return df.sparkSession.createDataFrame(
+        rows, "column string, count long, null_count long, mean double, std double, min double, q25 double, "
+              "q50 double, q75 double, max double")
 
 
 def histogram(df: DataFrame, col: str, bins: int = DEFAULT_BINS,
@@ -141,29 +129,28 @@ def box_stats(df: DataFrame, col: str, whisker: float = WHISKER) -> DataFrame:
     One pass over the data builds the (value, count) table; quartiles,
     whiskers and flier counts are all read from it.
     """
-    from searchrank.operators.stats import quantiles_from_counts, value_counts_long
-    counts = value_counts_long(df, [], [col])
-    # three quartiles and two whiskers are the only values carried between
-    # the small jobs over the (value, count) table
-    qv = {r["q"]: r["value"] for r in
-          quantiles_from_counts(counts, [], [0.25, 0.5, 0.75], "linear").collect()}
-    q1v, medv, q3v = qv.get(0.25), qv.get(0.5), qv.get(0.75)
+    from searchrank.operators.stats import quantiles_wide
+    x = F.col(col).cast("double")
+    x = F.when(~F.isnan(x), x)
+    got, quart = quantiles_wide(df, [col], [0.25, 0.5, 0.75], "linear",
+                                {(col, "n"): F.count(x), (col, "mean"): F.avg(x)})
+    q1v, medv, q3v = (quart[col, q] for q in (0.25, 0.5, 0.75))
     if q1v is None:
         return df.sparkSession.createDataFrame(
             [], "n long, mean double, q1 double, median double, q3 double, iqr double, "
                 "whislo double, whishi double, n_fliers_low long, n_fliers_high long")
     iqrv = q3v - q1v
-    v, n = F.col("_value"), F.col("_n")
+    v = F.col("_value")
+    vals = df.select(x.alias("_value"))
     lo_fence, hi_fence = q1v - whisker * iqrv, q3v + whisker * iqrv
-    w = counts.agg(F.coalesce(F.min(F.when(v >= lo_fence, v)), F.lit(q1v)).alias("lo"),
-                   F.coalesce(F.max(F.when(v <= hi_fence, v)), F.lit(q3v)).alias("hi")).first()
+    # whiskers are the last values inside the fences, so what lies beyond a fence lies beyond its whisker
     lit = F.lit
-    return counts.agg(
-        F.sum(n).alias("n"), (F.sum(v * n) / F.sum(n)).alias("mean"),
-        lit(q1v).alias("q1"), lit(medv).alias("median"), lit(q3v).alias("q3"),
-        lit(iqrv).alias("iqr"), lit(w["lo"]).alias("whislo"), lit(w["hi"]).alias("whishi"),
-        F.sum(F.when(v < w["lo"], n).otherwise(0)).alias("n_fliers_low"),
-        F.sum(F.when(v > w["hi"], n).otherwise(0)).alias("n_fliers_high"))
+    return vals.agg(
+        lit(got[col, "n"]).cast("long").alias("n"), lit(got[col, "mean"]).alias("mean"),
+        lit(q1v).alias("q1"), lit(medv).alias("median"), lit(q3v).alias("q3"), lit(iqrv).alias("iqr"),
+        F.coalesce(F.min(F.when(v >= lo_fence, v)), lit(q1v)).alias("whislo"),
+        F.coalesce(F.max(F.when(v <= hi_fence, v)), lit(q3v)).alias("whishi"),
+        F.count_if(v < lo_fence).alias("n_fliers_low"), F.count_if(v > hi_fence).alias("n_fliers_high"))
 
 
 def correlation(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -173,45 +160,64 @@ def correlation(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     without variance on those rows correlates as null (no division by 0).
     """
     cols = list(cols)
-    aggs, pairs = [], []
-    for i, (a, b) in enumerate(combinations_with_replacement(cols, 2)):
-        xa, xb = F.col(a).cast("double"), F.col(b).cast("double")
-        both = xa.isNotNull() & xb.isNotNull()
-        aggs += [F.covar_samp(F.when(both, xa), F.when(both, xb)).alias(f"c{i}"),
-                 F.var_samp(F.when(both, xa)).alias(f"va{i}"),
-                 F.var_samp(F.when(both, xb)).alias(f"vb{i}")]
-        pairs.append((i, a, b))
-    wide = df.agg(*aggs)
-    kv = F.explode(F.array(*[F.struct(
-        F.lit(a).alias("col_a"), F.lit(b).alias("col_b"),
-        F.when((F.col(f"va{i}") > 0) & (F.col(f"vb{i}") > 0),
-               F.col(f"c{i}") / F.sqrt(F.col(f"va{i}") * F.col(f"vb{i}"))).alias("corr"))
-        for i, a, b in pairs]))
-    return wide.select(kv.alias("_kv")).select("_kv.col_a", "_kv.col_b", "_kv.corr")
+    pairs = list(combinations_with_replacement(cols, 2))
+    # values are centred on the columns' means first (one row), so that plain
+    # sums keep their digits; a pair needs six sums over its common rows
+    mean = df.agg(*[F.avg(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(cols)]).first()
+    d = df.select(*[(F.col(c).cast("double") - F.lit(mean[i])).alias(f"x{i}") for i, c in enumerate(cols)])
+    at = {c: f"x{i}" for i, c in enumerate(cols)}
+    aggs = []
+    for i, (a, b) in enumerate(pairs):
+        xa, xb = F.col(at[a]), F.col(at[b])
+        if a == b:
+            aggs += [F.count(xa).alias(f"n{i}"), F.sum(xa).alias(f"sa{i}"), F.sum(xa * xa).alias(f"saa{i}")]
+            continue
+        prod = xa * xb
+        aggs += [F.count(prod).alias(f"n{i}"), F.sum(prod).alias(f"sab{i}"),
+                 F.sum(F.when(xb.isNotNull(), xa)).alias(f"sa{i}"), F.sum(F.when(xa.isNotNull(), xb)).alias(f"sb{i}"),
+                 F.sum(F.when(xb.isNotNull(), xa * xa)).alias(f"saa{i}"),
+                 F.sum(F.when(xa.isNotNull(), xb * xb)).alias(f"sbb{i}")]
+    got = d.agg(*aggs).first()  # one row, sized by the schema
+    rows = []
+    for i, (a, b) in enumerate(pairs):
+        n, sa, saa = got[f"n{i}"], got[f"sa{i}"], got[f"saa{i}"]
+        sb, sbb, sab = (sa, saa, saa) if a == b else (got[f"sb{i}"], got[f"sbb{i}"], got[f"sab{i}"])
+        corr = None
+        if n > 1:
+            va, vb, cov = saa - sa * sa / n, sbb - sb * sb / n, sab - sa * sb / n
+            if va > 1e-12 * abs(saa) and vb > 1e-12 * abs(sbb):
+                corr = cov / (va ** 0.5 * vb ** 0.5)
+        rows.append((a, b, corr))
+    return df.sparkSession.createDataFrame(rows, "col_a string, col_b string, corr double")
 
 
 def null_correlation(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """Correlation of null indicators between columns that are partly null.
 
-    The indicators form one vector per row and MLlib's ``Correlation``
-    reduces them in a single distributed pass (tree aggregation of the
-    Gramian); only the k x k matrix -- sized by the schema, not the data --
-    reaches the driver.  Columns never or always null have no variance and
-    are left out.  Pairs col_a < col_b in input order.
+    The null flags of a row are packed into 32-bit masks and rows are counted
+    per mask: one pass with partial aggregation, whose result has a row per
+    pattern of nulls that occurs.  Counts per pair are read from that
+    table.  Columns never or always null have no variance and are left out.
+    Pairs col_a < col_b in input order.
     """
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.stat import Correlation
-
     cols = list(cols or df.columns)
-    ind = df.select(*[F.col(c).isNull().cast("double").alias(f"_n{i}") for i, c in enumerate(cols)])
-    vec = VectorAssembler(inputCols=[f"_n{i}" for i in range(len(cols))], outputCol="_v")
-    mat = Correlation.corr(vec.transform(ind).select("_v"), "_v").collect()[0][0].toArray()
-    rows = []
-    for a, b in combinations(range(len(cols)), 2):
-        v = float(mat[a, b])
-        if v == v and mat[a, a] == mat[a, a] and mat[b, b] == mat[b, b]:  # NaN = constant column
-            rows.append((cols[a], cols[b], v))
-    return df.sparkSession.createDataFrame(rows, "col_a string, col_b string, corr double")
+    words = [cols[i:i + 32] for i in range(0, len(cols), 32)]
+    masks = [sum((F.when(F.col(c).isNull(), F.lit(1 << k)).otherwise(F.lit(0)).cast("long")
+                  for k, c in enumerate(w)), F.lit(0).cast("long")).alias(f"w{i}") for i, w in enumerate(words)]
+    per = df.select(*masks).groupBy(*[f"w{i}" for i in range(len(words))]).agg(F.count(F.lit(1)).alias("n"))
+    bit = {c: F.shiftright(F.col(f"w{i // 32}"), i % 32).bitwiseAND(F.lit(1)) for i, c in enumerate(cols)}
+    n = F.col("n")
+    one = per.agg(F.sum(n).alias("rows"), *[F.sum(n * bit[c]).alias(f"c{i}") for i, c in enumerate(cols)]).first()
+    rows = one["rows"] or 0
+    some = [(i, c, one[f"c{i}"]) for i, c in enumerate(cols) if rows and 0 < one[f"c{i}"] < rows]
+    pairs = list(combinations(some, 2))
+    both = per.agg(F.count(n).alias("patterns"), *[F.sum(n * bit[a] * bit[b]).alias(f"p{i}-{j}")
+                                                   for (i, a, _), (j, b, _) in pairs]).first() if pairs else {}
+    out = []
+    for (i, a, na), (j, b, nb) in pairs:
+        cov = rows * both[f"p{i}-{j}"] - na * nb
+        out.append((a, b, cov / ((na * (rows - na)) ** 0.5 * (nb * (rows - nb)) ** 0.5)))
+    return df.sparkSession.createDataFrame(out, "col_a string, col_b string, corr double")
 
 
 def all_null(df: DataFrame, cols: Sequence[str]) -> Column:
@@ -237,26 +243,22 @@ def key_overlap(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
     n_a, n_b, n_both (intersection), n_union, n_a_only, n_b_only, and the
     rows of each set whose key is absent from the other (count and share).
     """
-    from searchrank.sources.io import materialize
-    # one pass over each input: the key column is staged, every count below
-    # reads the narrow staged copy
-    a = materialize(a.select(key), "overlap-a")
-    b = materialize(b.select(key), "overlap-b")
-    ka = a.distinct().withColumn("_a", F.lit(1))
-    kb = b.distinct().withColumn("_b", F.lit(1))
+    # one count table per side, one full join; rows are sums over its counts.
+    # A null key is in neither intersection, as in a join on the key.
+    ka = a.groupBy(key).agg(F.count(F.lit(1)).alias("_a"))
+    kb = b.groupBy(key).agg(F.count(F.lit(1)).alias("_b"))
     keys = ka.join(kb, key, "full")
-    k = keys.agg(F.count_if(F.col("_a").isNotNull()).alias("n_a"),
-                 F.count_if(F.col("_b").isNotNull()).alias("n_b"),
-                 F.count_if(F.col("_a").isNotNull() & F.col("_b").isNotNull()).alias("n_both"),
-                 F.count(F.lit(1)).alias("n_union"),
-                 F.count_if(F.col("_b").isNull()).alias("n_a_only"),
-                 F.count_if(F.col("_a").isNull()).alias("n_b_only"))
-    ra = a.select(key).join(kb, key, "left").agg(
-        F.count(F.lit(1)).alias("rows_a"), F.count_if(F.col("_b").isNull()).alias("rows_a_only"))
-    rb = b.select(key).join(ka, key, "left").agg(
-        F.count(F.lit(1)).alias("rows_b"), F.count_if(F.col("_a").isNull()).alias("rows_b_only"))
-    out = k.select("*", *[d.select(c).scalar().alias(c)          # one-row aggregates
-                          for d, cs in ((ra, ("rows_a", "rows_a_only")), (rb, ("rows_b", "rows_b_only")))
-                          for c in cs])
+    na, nb = F.col("_a"), F.col("_b")
+    zero = F.lit(0).cast("long")
+
+    def rows(n, where=None):
+        return F.coalesce(F.sum(n if where is None else F.when(where, n)), zero)
+
+    out = keys.agg(
+        F.count_if(na.isNotNull()).alias("n_a"), F.count_if(nb.isNotNull()).alias("n_b"),
+        F.count_if(na.isNotNull() & nb.isNotNull()).alias("n_both"), F.count(F.lit(1)).alias("n_union"),
+        F.count_if(nb.isNull()).alias("n_a_only"), F.count_if(na.isNull()).alias("n_b_only"),
+        rows(na).alias("rows_a"), rows(na, nb.isNull()).alias("rows_a_only"),
+        rows(nb).alias("rows_b"), rows(nb, na.isNull()).alias("rows_b_only"))
     return out.withColumn("share_a_only", F.col("rows_a_only") / F.col("rows_a")) \
               .withColumn("share_b_only", F.col("rows_b_only") / F.col("rows_b"))

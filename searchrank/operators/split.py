@@ -18,16 +18,17 @@ def mod_split(df: DataFrame, key: str = "srch_id", modulus: int = 10,
     return df.where(m != holdout), df.where(m == holdout)
 
 
-def _bucket(key: str, seed: int, buckets: int = 10_000):
-    return F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(buckets))
+def _below(key: str, seed: int, fraction: float):
+    """True for keys whose hash lies in the lowest ``fraction`` of the 63-bit range."""
+    h = F.shiftrightunsigned(F.xxhash64(F.col(key), F.lit(seed)), 1)
+    return h < F.lit(min(int(fraction * 2 ** 63), 2 ** 63 - 1))
 
 
 def hash_split(df: DataFrame, key: str = "srch_id", test_fraction: float = 0.2,
                seed: int = 42) -> tuple[DataFrame, DataFrame]:
     """(train, test) by a seeded hash of the key: a whole search lands on one side."""
-    cut = int(round(test_fraction * 10_000))
-    b = _bucket(key, seed)
-    return df.where(b >= cut), df.where(b < cut)
+    test = _below(key, seed, test_fraction)
+    return df.where(~test), df.where(test)
 
 
 def sample(df: DataFrame, fraction: float, seed: int = 0, key: str | None = None) -> DataFrame:
@@ -37,5 +38,4 @@ def sample(df: DataFrame, fraction: float, seed: int = 0, key: str | None = None
     """
     if key is None:
         return df.sample(fraction=fraction, seed=seed)
-    cut = int(round(fraction * 10_000))
-    return df.where(_bucket(key, seed) < cut)
+    return df.where(_below(key, seed, fraction))
