@@ -7,7 +7,6 @@ functions  column-level expressions: cleaning, labels
 operators  DataFrame -> DataFrame operators: features, statistics, profiling,
            metrics, splits, partitions, submissions, pair tables
 plans      model fitting/scoring/tuning jobs and the registered query catalog
-streaming  incremental scoring of arriving search logs
 """
 
 __version__ = "0.1.0"

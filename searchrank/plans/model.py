@@ -18,6 +18,7 @@ that are entirely null are left out.
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -25,7 +26,7 @@ from dataclasses import dataclass
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import Imputer, VectorAssembler
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, LinearRegression
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -82,17 +83,38 @@ class Ranker:
         return scored.select(*keep, F.col("prediction").alias(out))
 
     def save(self, path: str) -> None:
-        self.model.write().overwrite().save(path)
+        """Model and column lists below one folder."""
+        self.model.write().overwrite().save(f"{path}/model")
+        write_note(path, "columns", json.dumps({"usable": self.usable, "flagged": self.flagged, "kind": self.kind}))
 
     @classmethod
-    def load(cls, path: str, usable, flagged, kind="gbt") -> Ranker:
-        return cls(PipelineModel.load(path), list(usable), list(flagged), kind)
+    def load(cls, path: str) -> Ranker:
+        model = PipelineModel.load(f"{path}/model")
+        note = json.loads(read_note(SparkSession.getActiveSession(), path, "columns"))
+        return cls(model, note["usable"], note["flagged"], note["kind"])
 
     @property
     def feature_names(self) -> list[str]:
         return list(self.usable) + [f"{c}_isnull" for c in self.flagged]
 
 
+def write_note(path: str, name: str, text: str) -> None:
+    """A small text next to a model, through Spark's writer (any store)."""
+    spark = SparkSession.getActiveSession()
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/{name}")
+
+
+def read_note(spark: SparkSession, path: str, name: str) -> str:
+    return spark.read.text(f"{path}/{name}").first()["value"]
+
+
+def reference_settings() -> dict:
+    """``fit_ranker`` arguments with the tuned settings of the original study."""
+    p = REFERENCE_PARAMS
+    return {"max_iter": p["rounds"], "max_depth": p["max_depth"], "step_size": p["eta"],
+            "subsample": p["subsample"], "colsample": p["colsample"], "seed": p["seed"]}
+
+
 def _base_stages(usable, flagged):
     imp = Imputer(strategy="median", inputCols=[f"_f_{c}" for c in usable],
                   outputCols=[f"_i_{c}" for c in usable])
@@ -166,6 +188,44 @@ def gbt_stage(r: Ranker) -> GBTRegressionModel:
     return r.model.stages[-1]
 
 
+def first_trees(r: Ranker, n: int) -> Ranker:
+    """The ranker that stops after its first ``n`` trees."""
+    gbt = gbt_stage(r)
+    sc = SparkSession.getActiveSession().sparkContext
+    j, gateway = gbt._java_obj, sc._gateway  # noqa: SLF001
+    trees = gateway.new_array(sc._jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, n)  # noqa: SLF001
+    weights = gateway.new_array(sc._jvm.double, n)  # noqa: SLF001
+    for i in range(n):
+        trees[i], weights[i] = j.trees()[i], float(gbt.treeWeights[i])
+    short = sc._jvm.org.apache.spark.ml.regression.GBTRegressionModel(  # noqa: SLF001
+        f"{gbt.uid}_{n}", trees, weights, gbt.numFeatures)
+    model = GBTRegressionModel(short).setFeaturesCol("features").setPredictionCol("prediction")
+    return Ranker(PipelineModel(stages=[*r.model.stages[:-1], model]), r.usable, r.flagged, r.kind)
+
+
+def best_rounds(r: Ranker, valid: DataFrame, k: int = 5, step: int = 5, patience: int = 10,
+                label: str = "relevance_grade") -> int:
+    """Trees after which NDCG@k on ``valid`` is best, looked at every ``step`` trees.
+
+    Looking ends once ``patience`` trees brought nothing better.
+    """
+    from searchrank.operators import metrics
+    total, best, at = gbt_stage(r).getNumTrees, -1.0, 0
+    for n in [*range(step, total, step), total]:
+        one = metrics.mean_ndcg(first_trees(r, n).score(valid), score="pred", grade=label, k=k).first()["mean_ndcg"]
+        if one is not None and one > best:
+            best, at = one, n
+        elif n - at >= patience:
+            break
+    return at or total
+
+
+def fit_best(train: DataFrame, valid: DataFrame, k: int = 5, label: str = "relevance_grade", **params) -> Ranker:
+    """Fit on ``train``, choose the rounds by NDCG@k on ``valid``, then fit on all rows with them (M2)."""
+    rounds = best_rounds(fit_ranker(train, label=label, **params), valid, k, label=label)
+    return fit_ranker(train.unionByName(valid), label=label, **{**params, "max_iter": rounds})
+
+
 def importance(r: Ranker, top: int = 15) -> DataFrame:
     """Per feature: mean split gain, split count and MLlib's normalised
     importance, top ``top`` by gain (M6).
@@ -173,7 +233,6 @@ def importance(r: Ranker, top: int = 15) -> DataFrame:
     The fitted trees are written to the shared checkpoint folder and their
     node table (one row per node) is aggregated by Spark.
     """
-    from pyspark.sql import SparkSession
     gbt = gbt_stage(r)
     spark = SparkSession.getActiveSession()
     path = scratch_path(spark, f"gbt-{uuid.uuid4().hex}")

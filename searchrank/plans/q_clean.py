@@ -88,14 +88,12 @@ def q_csv(spark, sf):
 
 
 @register("parquet_roundtrip_bucketed", with_log("""
-SELECT count(*) AS n_rows, count(DISTINCT srch_id) AS n_searches,
-       round(sum(price_usd), 2) AS price_sum FROM log"""))
+SELECT srch_id, prop_id, position, supp_id, price_usd, visitor_hist_adr_usd, click_bool FROM log"""))
 def q_parquet(spark, sf):
     path = scratch_path(spark, f"log-parquet-{uuid.uuid4().hex}")
     io.write_table(fixture.search_log(spark, sf), path, bucket_key="srch_id")
     back = io.read_log(spark, path, fmt="parquet")
-    return back.agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("srch_id").alias("n_searches"),
-                    F.round(F.sum("price_usd"), 2).alias("price_sum"))
+    return back.select("srch_id", "prop_id", "position", "supp_id", "price_usd", "visitor_hist_adr_usd", "click_bool")
 
 
 @register("submission_csv_roundtrip", with_test("""
@@ -112,12 +110,17 @@ def q_submission_csv(spark, sf):
 
 
 @register("drop_listed_columns", with_log("""
-SELECT count(*) AS n_rows, count(visitor_hist_adr_usd) AS n_hist FROM log"""))
+SELECT column_name, cast(n AS BIGINT) AS n_values FROM (
+  UNPIVOT (SELECT count(COLUMNS(* EXCLUDE (price_usd, promotion_flag))) FROM log) ON COLUMNS(*)
+  INTO NAME column_name VALUE n)"""))
 def q_drop(spark, sf):
     log = fixture.search_log(spark, sf)
     # the list names one column the log does not have; it must be ignored
     d = log.drop("price_usd", "room_count", "promotion_flag")
-    return d.agg(F.count(F.lit(1)).alias("n_rows"), F.count("visitor_hist_adr_usd").alias("n_hist"))
+    # every column that is left, with its number of values
+    one = d.agg(*[F.count(c).alias(c) for c in d.columns])
+    return one.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("n_values"))
+                                          for c in d.columns])).alias("x")).select("x.*")
 
 
 @register("fill_within_search", with_log("""
@@ -146,9 +149,16 @@ def q_cap(spark, sf):
     return d.agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("srch_id").alias("n_searches"))
 
 
-@register("sample_searches")
+@register("sample_searches", with_log("""
+SELECT count(DISTINCT srch_id) AS n_searches, CAST(0 AS BIGINT) AS n_cut_searches, true AS share_fits FROM log"""))
 def q_sample(spark, sf):
-    """Reproducible 10 % sample of whole searches (hash of key and seed)."""
+    """P13 as properties: a 10 % sample takes whole searches, about a tenth of them."""
     from searchrank.operators import split
-    s = split.sample(fixture.search_log(spark, sf), 0.1, seed=7, key="srch_id")
-    return s.agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("srch_id").alias("n_searches"))
+    log = fixture.search_log(spark, sf).select("srch_id")
+    kept = split.sample(log, 0.1, seed=7, key="srch_id").groupBy("srch_id").agg(F.count(F.lit(1)).alias("kept"))
+    per = log.groupBy("srch_id").agg(F.count(F.lit(1)).alias("n")).join(kept, "srch_id", "left")
+    share = F.count("kept") / F.count(F.lit(1))
+    tol = 5 * F.sqrt(F.lit(0.1 * 0.9) / F.count(F.lit(1)))
+    return per.agg(F.count(F.lit(1)).alias("n_searches"),
+                   F.count_if(F.col("kept") != F.col("n")).alias("n_cut_searches"),
+                   (F.abs(share - 0.1) <= tol).alias("share_fits"))

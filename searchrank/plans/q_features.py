@@ -27,12 +27,11 @@ def _nearest_sql(col: str, name: str, q: float = 0.25, src: str = "b") -> str:
              FROM v_{name} GROUP BY 1)"""
 
 
-# CTE chain of the engineered table, ending in "p" (all columns, nothing dropped).
-FEATURE_CTES = (
-    """
+def feature_ctes(source: str = "log") -> str:
+    """CTE chain of the engineered table of ``source``, ending in "p" (all columns, nothing dropped)."""
+    return f"""
 , b AS (SELECT *, CAST(visitor_hist_starrating IS NOT NULL AS INTEGER) AS has_hist_starrating,
-               CAST(visitor_hist_adr_usd IS NOT NULL AS INTEGER) AS has_hist_adr_usd FROM log)"""
-    + _nearest_sql("prop_location_score2", "q2") + _nearest_sql("prop_location_score1", "q1") + """
+               CAST(visitor_hist_adr_usd IS NOT NULL AS INTEGER) AS has_hist_adr_usd FROM {source})""" + _nearest_sql("prop_location_score2", "q2") + _nearest_sql("prop_location_score1", "q1") + """
 , imp AS (SELECT b.* REPLACE (coalesce(b.prop_location_score2, q2.q2) AS prop_location_score2,
                              coalesce(b.prop_location_score1, q1.q1) AS prop_location_score1)
           FROM b LEFT JOIN q2 ON b.prop_country_id = q2.prop_country_id
@@ -69,7 +68,10 @@ FEATURE_CTES = (
           CASE WHEN prop_starrating IS NOT NULL THEN
             dense_rank() OVER (PARTITION BY srch_id ORDER BY prop_starrating DESC NULLS LAST) END
             AS star_rank
-        FROM q CROSS JOIN mm)""")
+        FROM q CROSS JOIN mm)"""
+
+
+FEATURE_CTES = feature_ctes()
 
 
 def _round_list(cols):

@@ -1,11 +1,10 @@
 """Registered queries: rankers, importance, clustering, tuning, pair tables
 (M1-M8, J6, R11, S6, F17).
 
-Model fits are iterative, so these have no SQL oracle (the driver records
-a rows-only check) -- except the pair counts and the ordering comparison,
-which are plain aggregates and get one.  Model sizes are kept small here
-(few trees, shallow) so the check stays quick; the defaults of the
-library functions are larger.
+Scores of fitted models have no SQL form; where a property of the result
+can be stated (rows kept, saved equals loaded, settings in range, nearest
+centre), the oracle holds that.  Every fit uses the defaults of the library
+functions or larger settings.
 """
 
 from __future__ import annotations
@@ -16,22 +15,20 @@ from pyspark.sql import functions as F
 
 from searchrank.functions import labels
 from searchrank.operators import features as FE
-from searchrank.operators import metrics, pairs, partition, split
+from searchrank.operators import metrics, pairs, partition, split, submit
 from searchrank.plans import cluster, partitioned, tune
 from searchrank.plans import model as M
 from searchrank.plans.catalog import register, rounded
 from searchrank.plans.q_ranking import GRADE_SQL
 from searchrank.session import scratch_path
 from searchrank.sources import fixture
-from searchrank.sources.fixture_sql import with_log
-
-SMALL = {"max_iter": 8, "max_depth": 4}
+from searchrank.sources.fixture_sql import with_log, with_test
+from searchrank.sources.io import materialize
 
 
 def _engineered(spark, sf):
     # models read their input many times (null counts, imputer, boosting
     # iterations, scoring): stage the engineered table once
-    from searchrank.sources.io import materialize
     return materialize(labels.relevance_grade(FE.build(fixture.search_log(spark, sf))),
                        "engineered")
 
@@ -44,7 +41,7 @@ def _result(df, name):
 def q_gbt(spark, sf):
     """M1 + M2 + M5: early-stopped pointwise GBT, NDCG@5 on the holdout."""
     train, valid = split.mod_split(_engineered(spark, sf))
-    r = M.fit_ranker(train, valid=valid, **SMALL)
+    r = M.fit_ranker(train, valid=valid)
     n_trees = M.gbt_stage(r).getNumTrees
     res = metrics.mean_ndcg(r.score(valid), score="pred")
     return _result(res, "gbt_pointwise").withColumn("n_trees", F.lit(n_trees))
@@ -64,7 +61,7 @@ def q_partitions(spark, sf):
     eng = _engineered(spark, sf)
     mapping = partition.assign(eng, "prop_country_id", 12, "largest")
     train, valid = split.mod_split(eng)
-    models = partitioned.fit_all(train, mapping, max_iter=5, max_depth=3)
+    models = partitioned.fit_all(train, mapping)
     scored = partitioned.score_all(models, valid, mapping)
     per = metrics.mean_ndcg(scored.where(F.col("pred").isNotNull()), score="pred",
                             group=["part_id"])
@@ -79,7 +76,7 @@ def q_compare(spark, sf):
     """Mean NDCG@5 on the holdout per model, plus the price baseline."""
     eng = _engineered(spark, sf)
     train, valid = split.mod_split(eng)
-    gbt = M.fit_ranker(train, **SMALL)
+    gbt = M.fit_ranker(train)
     pw = M.fit_pairwise(train)
     frames = [
         metrics.mean_ndcg(gbt.score(valid), score="pred").withColumn("model", F.lit("gbt_pointwise")),
@@ -97,45 +94,105 @@ def q_compare(spark, sf):
 def q_importance(spark, sf):
     """M6: mean split gain and split count per feature, top 15."""
     train, _ = split.mod_split(_engineered(spark, sf))
-    r = M.fit_ranker(train, **SMALL)
+    r = M.fit_ranker(train)
     return rounded(M.importance(r, top=15))
 
 
-@register("kmeans_clusters")
+@register("kmeans_clusters", with_log(
+    "SELECT count(*) AS n_rows, 10 AS k, count(*) AS n_nearest, true AS all_in_range FROM log"))
 def q_kmeans(spark, sf):
-    """K-means (k=10, seed 0) over numeric non-id columns; cluster sizes."""
+    """M7 / F17 as properties: k-means (k=10, seed 0), every row at its nearest centre."""
     log = fixture.search_log(spark, sf)
-    m = cluster.fit(log, k=10, seed=0, max_iter=10)
-    return cluster.assign(m, log).groupBy("cluster").agg(F.count(F.lit(1)).alias("n_rows"))
+    m = cluster.fit(log, k=10, seed=0)
+    centres = [c.tolist() for c in m.stages[-1].clusterCenters()]   # k short vectors
+    rows = cluster.assign_with_features(m, log)
+
+    def far(c):
+        return F.aggregate(F.zip_with("x", F.array(*[F.lit(v) for v in c]), lambda a, b: (a - b) * (a - b)),
+                           F.lit(0.0), lambda s, d: s + d)
+
+    d = rows.select("cluster", F.array(*[far(c) for c in centres]).alias("d"))
+    near = F.get("d", "cluster") <= F.array_min("d") * (1 + 1e-9) + 1e-9
+    return d.agg(F.count(F.lit(1)).alias("n_rows"), F.lit(len(centres)).alias("k"),
+                 F.count_if(near).alias("n_nearest"),
+                 (F.min("cluster") >= 0).alias("lo"), (F.max("cluster") < len(centres)).alias("hi")).select(
+                     "n_rows", "k", "n_nearest", (F.col("lo") & F.col("hi")).alias("all_in_range"))
 
 
-@register("tuning_trials")
+#: Trials of the registered tuning query; ``tune.random_search`` takes any number (the study took 50).
+TRIALS = 4
+
+
+@register("tuning_trials", f"""
+SELECT {TRIALS} AS n_trials, true AS in_space, 1 AS n_best, true AS best_is_largest""")
 def q_tuning(spark, sf):
-    """M8: random search (3 trials, small models) scored by holdout NDCG@5."""
+    """M8 as properties: every trial drawn from the stated space, exactly one best, and it scores highest."""
     train, valid = split.mod_split(_engineered(spark, sf))
 
     def objective(p):
-        r = M.fit_ranker(train, max_iter=4, max_depth=p["max_depth"], step_size=p["eta"],
+        r = M.fit_ranker(train, max_depth=p["max_depth"], step_size=p["eta"],
                          subsample=p["subsample"], colsample=p["colsample"])
         return metrics.mean_ndcg(r.score(valid), score="pred").collect()[0]["mean_ndcg"]
 
-    return rounded(tune.random_search(spark, objective, n_trials=3, seed=42, parallelism=2,
-                                      max_depth_cap=5))
+    t = tune.random_search(spark, objective, n_trials=TRIALS, seed=42)
+    inside = F.lit(True)
+    for name, (lo, hi) in tune.SPACE.items():
+        inside = inside & F.col(name).between(lo, hi)
+    return t.agg(F.count(F.lit(1)).cast("int").alias("n_trials"), F.bool_and(inside).alias("in_space"),
+                 F.count_if("is_best").cast("int").alias("n_best"),
+                 (F.max(F.when(F.col("is_best"), F.col("value"))) == F.max("value")).alias("best_is_largest"))
+
 
+def _equal(before, after, df):
+    """Rows scored, and rows that both models score alike (one model after the other, no join)."""
+    both = after.score(before.score(df, "a"), "b")
+    return both.agg(F.count(F.lit(1)).alias("n_rows"),
+                    F.count_if(F.abs(F.col("a") - F.col("b")) < 1e-9).alias("n_equal"))
 
-@register("model_save_load")
+
+@register("model_save_load", with_log("""
+SELECT count(*) AS n_rows, count(*) AS n_equal FROM log WHERE srch_id % 10 = 1"""))
 def q_save_load(spark, sf):
-    """A saved model reloads and scores identically."""
+    """A saved model reloads from its folder alone and scores identically."""
     train, valid = split.mod_split(_engineered(spark, sf))
-    r = M.fit_ranker(train, max_iter=3, max_depth=3)
+    r = M.fit_ranker(train)
     path = scratch_path(spark, f"model-{uuid.uuid4().hex}")
     r.save(path)
-    back = M.Ranker.load(path, r.usable, r.flagged)
-    a = r.score(valid).select("srch_id", "position", F.col("pred").alias("a"))
-    b = back.score(valid).select("srch_id", "position", F.col("pred").alias("b"))
-    j = a.join(b, ["srch_id", "position"])
-    return j.agg(F.count(F.lit(1)).alias("n_rows"),
-                 F.count_if(F.abs(F.col("a") - F.col("b")) < 1e-9).alias("n_equal"))
+    return _equal(r, M.Ranker.load(path), valid)
+
+
+@register("slice_models_save_load", with_log("""
+SELECT count(*) AS n_rows, count(*) AS n_equal FROM log WHERE srch_id % 10 = 1"""))
+def q_slices_save_load(spark, sf):
+    """M4 + S6: models of all slices, refitted on all rows, saved and loaded, score identically."""
+    eng = _engineered(spark, sf)
+    mapping = materialize(partition.assign(eng, "prop_country_id", 12, "largest"), "slice-map")
+    train, valid = split.mod_split(eng)
+    models = partitioned.refit_all(partitioned.fit_all(train, mapping), eng, mapping)
+    path = scratch_path(spark, f"slices-{uuid.uuid4().hex}")
+    partitioned.save_all(models, path)
+    one = partitioned.score_all(models, valid, mapping, out="a").drop("part_id")
+    two = partitioned.score_all(partitioned.load_all(spark, path), one, mapping, out="b")
+    return two.agg(F.count(F.lit(1)).alias("n_rows"),
+                   F.count_if(F.abs(F.col("a") - F.col("b")) < 1e-9).alias("n_equal"))
+
+
+@register("submission_from_model", with_test("""
+SELECT count(*) AS rows_in, count(*) AS rows_out, CAST(0 AS BIGINT) AS missing_pairs,
+       CAST(0 AS BIGINT) AS extra_pairs, CAST(0 AS BIGINT) AS bad_rank_searches FROM test"""))
+def q_submission_from_model(spark, sf):
+    """The whole flow: fit feature statistics and a ranker on the labelled log, apply both to
+    the unlabelled set, rank it, write it, read it back and check it."""
+    log, test = fixture.search_log(spark, sf), fixture.test_log(spark, sf)
+    fitted = FE.fit_stats(log)
+    eng = materialize(labels.relevance_grade(FE.build(log, fitted)), "engineered")
+    train, valid = split.mod_split(eng)
+    ranker = M.fit_best(train, valid)
+    scored = ranker.score(FE.build(test, fitted))
+    path = scratch_path(spark, f"submission-{uuid.uuid4().hex}")
+    submit.write_submission(submit.ranked(scored, "pred", tiebreak=("prop_id", "supp_id")), path)
+    back = spark.read.option("header", True).schema("srch_id bigint, prop_id bigint, rank bigint").csv(path)
+    return submit.check(test, back)
 
 
 @register("pair_counts", with_log(f"""

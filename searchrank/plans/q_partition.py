@@ -9,6 +9,7 @@ from searchrank.functions import labels
 from searchrank.operators import features as FE
 from searchrank.operators import metrics, partition, submit
 from searchrank.operators.sequence import running_within, top_k_within
+from searchrank.plans.q_features import feature_ctes
 from searchrank.plans.catalog import register, rounded
 from searchrank.plans.q_ranking import GRADE_SQL
 from searchrank.sources import fixture
@@ -89,8 +90,7 @@ def q_submission(spark, sf):
 
 
 @register("submission_baseline_price_per_person", with_test(
-    __import__("searchrank.plans.q_features", fromlist=["FEATURE_CTES"]).FEATURE_CTES
-    .replace("FROM log)", "FROM test)", 1) + """
+    feature_ctes("test") + """
 SELECT srch_id, prop_id, row_number() OVER (PARTITION BY srch_id
          ORDER BY price_per_person DESC NULLS LAST, prop_id, supp_id) AS rank FROM p"""))
 def q_baseline(spark, sf):
@@ -121,13 +121,30 @@ def q_ideal_ndcg(spark, sf):
 
 
 @register("submission_check", with_test("""
-SELECT (SELECT count(*) FROM test) AS rows_in, (SELECT count(*) FROM test) AS rows_out,
-       CAST(0 AS BIGINT) AS missing_pairs, CAST(0 AS BIGINT) AS extra_pairs,
-       CAST(0 AS BIGINT) AS bad_rank_searches"""))
+, r AS (SELECT srch_id, prop_id, row_number() OVER (PARTITION BY srch_id
+          ORDER BY price_usd DESC NULLS LAST, prop_id, supp_id) AS rank FROM test)
+, o AS (SELECT 'whole' AS ordering, * FROM r
+        UNION ALL SELECT 'broken', srch_id, prop_id, rank FROM r WHERE NOT (srch_id % 20 = 1 AND rank = 1)
+        UNION ALL SELECT 'broken', srch_id, -1, rank FROM r WHERE srch_id % 20 = 11 AND rank = 1)
+, a AS (SELECT x.ordering, srch_id, prop_id, count(*) AS n FROM test, (SELECT DISTINCT ordering FROM o) x GROUP BY ALL)
+, b AS (SELECT ordering, srch_id, prop_id, count(*) AS n FROM o GROUP BY ALL)
+, c AS (SELECT coalesce(a.ordering, b.ordering) AS ordering, coalesce(a.n, 0) AS na, coalesce(b.n, 0) AS nb
+        FROM a FULL JOIN b USING (ordering, srch_id, prop_id))
+, d AS (SELECT ordering, srch_id, count(*) AS n, min(rank) AS lo, max(rank) AS hi, count(DISTINCT rank) AS k
+        FROM o GROUP BY ALL)
+, e AS (SELECT ordering, count_if(lo <> 1 OR hi <> n OR k <> n) AS bad FROM d GROUP BY 1)
+SELECT ordering, CAST(sum(na) AS BIGINT) AS rows_in, CAST(sum(nb) AS BIGINT) AS rows_out,
+       CAST(sum(greatest(na - nb, 0)) AS BIGINT) AS missing_pairs,
+       CAST(sum(greatest(nb - na, 0)) AS BIGINT) AS extra_pairs, any_value(bad) AS bad_rank_searches
+FROM c JOIN e USING (ordering) GROUP BY ordering"""))
 def q_check(spark, sf):
+    """A sound ordering, and one with rows lost and rows that do not belong (which must be flagged)."""
     test = fixture.test_log(spark, sf)
     sub = submit.ranked(test, score="price_usd", tiebreak=("prop_id", "supp_id"))
-    return submit.check(test, sub)
+    lost = sub.where(~((F.col("srch_id") % 20 == 1) & (F.col("rank") == 1)))
+    alien = sub.where((F.col("srch_id") % 20 == 11) & (F.col("rank") == 1)).withColumn("prop_id", F.lit(-1).cast("long"))
+    whole = submit.check(test, sub).withColumn("ordering", F.lit("whole"))
+    return whole.unionByName(submit.check(test, lost.unionByName(alien)).withColumn("ordering", F.lit("broken")))
 
 
 @register("global_sort_position", with_log("""

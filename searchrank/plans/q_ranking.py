@@ -44,18 +44,27 @@ SELECT CASE WHEN srch_id % 10 = 1 THEN 'valid' ELSE 'train' END AS part,
        count(*) AS n_rows, count(DISTINCT srch_id) AS n_searches
 FROM log GROUP BY 1"""))
 def q_holdout(spark, sf):
-    train, valid = split.mod_split(fixture.search_log(spark, sf), "srch_id", 10, 1)
-    agg = [F.count(F.lit(1)).alias("n_rows"), F.countDistinct("srch_id").alias("n_searches")]
-    return (train.agg(*agg).withColumn("part", F.lit("train"))
-            .unionByName(valid.agg(*agg).withColumn("part", F.lit("valid"))))
+    # one pass: the holdout filter of split.mod_split as a flag
+    part = F.when(F.col("srch_id") % 10 == 1, "valid").otherwise("train").alias("part")
+    return fixture.search_log(spark, sf).select(part, "srch_id").groupBy("part").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.countDistinct("srch_id").alias("n_searches"))
 
 
-@register("hash_split_sizes")
+@register("hash_split_sizes", with_log("""
+SELECT count(*) AS n_rows, count(DISTINCT srch_id) AS n_searches, CAST(0 AS BIGINT) AS n_on_both_sides,
+       true AS share_fits FROM log"""))
 def q_hash_split(spark, sf):
-    train, valid = split.hash_split(fixture.search_log(spark, sf), "srch_id", 0.2, seed=42)
-    agg = [F.count(F.lit(1)).alias("n_rows"), F.countDistinct("srch_id").alias("n_searches")]
-    return (train.agg(*agg).withColumn("part", F.lit("train"))
-            .unionByName(valid.agg(*agg).withColumn("part", F.lit("valid"))))
+    """R6 as properties: nothing is lost, no search is on both sides, the share is near 20 %."""
+    log = fixture.search_log(spark, sf).select("srch_id")
+    train, test = split.hash_split(log, "srch_id", 0.2, seed=42)
+    per = train.withColumn("t", F.lit(0)).unionByName(test.withColumn("t", F.lit(1))).groupBy("srch_id").agg(
+        F.count(F.lit(1)).alias("n"), F.min("t").alias("lo"), F.max("t").alias("hi"))
+    share = F.avg(F.col("hi").cast("double"))
+    # five standard errors of the share of searches
+    tol = 5 * F.sqrt(F.lit(0.2 * 0.8) / F.count(F.lit(1)))
+    return per.agg(F.sum("n").alias("n_rows"), F.count(F.lit(1)).alias("n_searches"),
+                   F.count_if(F.col("lo") != F.col("hi")).alias("n_on_both_sides"),
+                   (F.abs(share - 0.2) <= tol).alias("share_fits"))
 
 
 # --- R3 / R4: DCG and NDCG ---------------------------------------------------

@@ -7,8 +7,13 @@ tests and the bench.
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -52,9 +57,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint folder, setting a local one only when unset.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder (HDFS, S3,
-    ...) that survives executor loss; that setting always wins.  Only when
-    nothing is configured (local tests) do we fall back to a fresh folder
-    under the system temp directory.
+    ...) that survives executor loss; that setting always wins.  Only in
+    local mode, where every task runs in this process, an unset folder falls
+    back to a fresh one under the system temp directory (removed at exit);
+    any other master without a configured folder is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -62,7 +68,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share: "
+                               f"master {sc.master} cannot use a machine-local one")
         configured = tempfile.mkdtemp(prefix="searchrank-ckpt-")
+        atexit.register(shutil.rmtree, configured, ignore_errors=True)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
@@ -70,4 +80,36 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path for an intermediate table inside the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, "tables", name)
+    path = os.path.join(base, "tables", name)
+    for open_scope in _SCOPES:
+        open_scope.append(path)
+    return path
+
+
+#: Paths handed out inside every open ``staging`` block.
+_SCOPES: list[list[str]] = []
+
+
+def release(spark: SparkSession, paths: list[str]) -> None:
+    """Delete staged tables (through Spark's file system, so any store works)."""
+    jvm = spark._jvm  # noqa: SLF001
+    conf = spark._jsc.hadoopConfiguration()  # noqa: SLF001
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(conf).delete(path, True)
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[list[str]]:
+    """Delete every table staged inside the block when it ends.
+
+    For callers that write their result inside the block; a lazy frame that
+    reads staged tables must not leave it.
+    """
+    paths: list[str] = []
+    _SCOPES.append(paths)
+    try:
+        yield paths
+    finally:
+        _SCOPES.remove(paths)
+        release(spark, paths)
