@@ -145,9 +145,12 @@ def quantiles_wide(df: DataFrame, cols: Sequence[str], qs: Sequence[float], meth
     sized by columns times quantiles.
     """
     cols, qs = list(cols), [float(q) for q in qs]
-    x = {c: F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")) for c in cols}
     extra = extra or {}
-    aggs = [v.alias(f"e{i}") for i, v in enumerate(extra.values())]
+    real = {f.name for f in df.schema.fields if f.dataType.typeName() in ("double", "float")}
+    v = {c: F.col(c).cast("double") for c in cols}
+    x = {c: F.col(f"_x{i}") for i, c in enumerate(cols)}
+    df = df.withColumns({f"_x{i}": F.when(~F.isnan(v[c]), v[c]) if c in real else v[c] for i, c in enumerate(cols)})
+    aggs = [e.alias(f"e{i}") for i, e in enumerate(extra.values())]
     edges = [min(max(q + d * 4.0 / BRACKET, 0.0), 1.0) for q in qs for d in (-1, 1)]
     for i, c in enumerate(cols):
         aggs += [F.count(x[c]).alias(f"n{i}"), F.percentile_approx(x[c], edges, BRACKET).alias(f"p{i}"),
@@ -158,44 +161,46 @@ def quantiles_wide(df: DataFrame, cols: Sequence[str], qs: Sequence[float], meth
         return got, {(c, q): None if not one[f"n{i}"] else _middle(one[f"p{i}"], k)
                      for i, c in enumerate(cols) for k, q in enumerate(qs)}
     out: dict = {(c, q): None for c in cols for q in qs}
-    todo = {(i, k): (one[f"p{i}"][2 * k], one[f"p{i}"][2 * k + 1])
+    want = {(i, k): _positions(qs[k], one[f"n{i}"], method)
             for i in range(len(cols)) if one[f"n{i}"] for k in range(len(qs))}
+    todo = {(i, k): (one[f"p{i}"][2 * k], one[f"p{i}"][2 * k + 1]) for i, k in want}
     while todo:
-        slots = list(todo)
-        below = df.agg(*[F.count_if(x[cols[i]] < F.lit(todo[i, k][0])).alias(f"b{s}")
-                         for s, (i, k) in enumerate(slots)]).first()
-        inside = F.array(*[F.when(x[cols[i]].between(*todo[i, k]), F.struct(
-            F.lit(s).alias("s"), x[cols[i]].alias("v"))) for s, (i, k) in enumerate(slots)])
-        counts = (df.select(F.explode(F.filter(inside, lambda e: e.isNotNull())).alias("e"))
-                  .groupBy("e.s", "e.v").agg(F.count(F.lit(1)).alias("n")))
-        run = running_within(counts, "s", [F.col("v").asc()], out="cum", weight="n")
-        want = {}
-        for s, (i, k) in enumerate(slots):
-            want[s] = _positions(qs[k], one[f"n{i}"], method)
-        start = F.col("cum") - F.col("n")
-
-        def holds(which: int):
-            at = F.create_map(*[z for s, w in want.items() for z in (F.lit(s), F.lit(w[which] - below[f"b{s}"]))])
-            return (start <= at[F.col("s")]) & (at[F.col("s")] < F.col("cum"))
-
-        # two values per slot at most
-        hit = run.groupBy("s").agg(F.max(F.when(holds(1), F.col("v"))).alias("lo"),
-                                   F.max(F.when(holds(2), F.col("v"))).alias("hi")).collect()
-        found = {r["s"]: (r["lo"], r["hi"]) for r in hit}
-        again = {}
-        for s, (i, k) in enumerate(slots):
-            lo, hi = found.get(s, (None, None))
-            if lo is None or hi is None:
-                whole = (one[f"lo{i}"], one[f"hi{i}"])
-                if todo[i, k] == whole:
-                    raise RuntimeError("a quantile position lies outside the column's range")
-                again[i, k] = whole
-            else:
-                out[cols[i], qs[k]] = _between(want[s][0], lo, hi, method)
-        todo = again
+        counts = df.agg(*[F.count_if(test).alias(f"{side}{i}_{k}") for (i, k), (lo, hi) in todo.items()
+                          for side, test in (("b", x[cols[i]] < F.lit(lo)), ("t", x[cols[i]] <= F.lit(hi)))]).first()
+        below = {s: counts["b%d_%d" % s] for s in todo}
+        fits = {s for s in todo if below[s] <= want[s][1] and want[s][2] < counts["t%d_%d" % s]}
+        # a bracket of one value, as most columns of few values have, needs no further look
+        for (i, k), (lo, hi) in todo.items():
+            if (i, k) in fits and lo == hi:
+                out[cols[i], qs[k]] = lo
+        open_ = [s for s, (lo, hi) in todo.items() if s in fits and lo < hi]
+        if open_:
+            for s, (lo, hi) in _select(df, [(x[cols[s[0]]], *todo[s], want[s][1] - below[s], want[s][2] - below[s])
+                                            for s in open_]).items():
+                i, k = open_[s]
+                out[cols[i], qs[k]] = _between(want[i, k][0], lo, hi, method)
+        todo = {(i, k): (one[f"lo{i}"], one[f"hi{i}"]) for i, k in todo if (i, k) not in fits}
     return got, out
 
 
+def _select(df: DataFrame, slots: list[tuple]) -> dict[int, tuple[float, float]]:
+    """Per slot (column, lo, hi, first, second): the values at two positions among those in [lo, hi]."""
+    inside = F.array(*[F.when(c.between(lo, hi), F.struct(F.lit(s).alias("s"), c.alias("v")))
+                       for s, (c, lo, hi, *_) in enumerate(slots)])
+    counts = (df.select(F.explode(inside).alias("e")).where("e is not null")
+              .groupBy("e.s", "e.v").agg(F.count(F.lit(1)).alias("n")))
+    run = running_within(counts, "s", [F.col("v").asc()], out="cum", weight="n")
+
+    def holds(which: int):
+        at = F.create_map(*[z for s, slot in enumerate(slots) for z in (F.lit(s), F.lit(slot[3 + which]).cast("long"))])
+        return (F.col("cum") - F.col("n") <= at[F.col("s")]) & (at[F.col("s")] < F.col("cum"))
+
+    # one row per slot
+    rows = run.groupBy("s").agg(F.max(F.when(holds(0), F.col("v"))).alias("lo"),
+                                F.max(F.when(holds(1), F.col("v"))).alias("hi")).collect()
+    return {r["s"]: (r["lo"], r["hi"]) for r in rows}
+
+
 def _middle(edges: Sequence[float], k: int) -> float:
     return (edges[2 * k] + edges[2 * k + 1]) / 2.0
 
