@@ -27,6 +27,7 @@ gives no rows.
 from __future__ import annotations
 
 import json
+import os
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -38,7 +39,7 @@ from pyspark.sql import types as T
 from searchrank.llm.common import text_chunks
 
 #: Distinct fragments kept per task before the cache starts afresh.
-CACHE = 200_000
+CACHE = 400_000
 
 
 def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
@@ -90,32 +91,42 @@ class Encoder:
     """Encodes texts fragment by fragment; one per task."""
 
     def __init__(self, path: str):
+        # Spark's tasks are the parallelism; the library's own threads would only contend
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.never = forced_cuts(path)
-        self.known: dict[bytes, list[int]] = {}
-
-    def __call__(self, text: str) -> list[int]:
-        data = text.encode()
-        at = cut_points(np.frombuffer(data, dtype=np.uint8), self.never).tolist()
-        parts = [data[i:j] for i, j in zip(at, at[1:])]
+        self.known: dict[bytes, bytes] = {}  # fragment -> its ids as 32-bit integers
+
+    def arrays(self, texts: list[str | None]) -> list[np.ndarray]:
+        """Ids of each text; fragments new to this task are encoded together."""
+        cut = []
+        for t in texts:
+            data = (t or "").encode()
+            at = cut_points(np.frombuffer(data, dtype=np.uint8), self.never).tolist()
+            cut.append([data[i:j] for i, j in zip(at, at[1:])])
         known = self.known
         if len(known) > CACHE:
             known.clear()
-        new = [p for p in set(parts) if p not in known]
-        if new:
-            got = self.tokenizer.encode_batch([p.decode() for p in new], add_special_tokens=False)
-            known.update(zip(new, (g.ids for g in got)))
-        ids: list[int] = []
-        for p in parts:
-            ids += known[p]
-        return ids
+        new = list(set().union(*cut).difference(known))
+        for k in range(0, len(new), 4096):
+            some = new[k:k + 4096]
+            got = self.tokenizer.encode_batch_fast([p.decode() for p in some], add_special_tokens=False)
+            known.update((p, np.array(g.ids, dtype=np.int32).tobytes()) for p, g in zip(some, got))
+        return [np.frombuffer(b"".join(map(known.__getitem__, parts)), dtype=np.int32) for parts in cut]
+
+    def __call__(self, text: str) -> list[int]:
+        return self.arrays([text])[0].tolist()
+
+
+def _with_schema(schema: T.StructType, name: str, kind: T.DataType) -> T.StructType:
+    return T.StructType([f for f in schema.fields if f.name != name] + [T.StructField(name, kind)])
 
 
 def _with(df: DataFrame, name: str, kind: T.DataType) -> T.StructType:
-    return T.StructType([f for f in df.schema.fields if f.name != name] + [T.StructField(name, kind)])
+    return _with_schema(df.schema, name, kind)
 
 
 def _put(batch: pa.RecordBatch, name: str, values: pa.Array) -> pa.RecordBatch:
@@ -124,6 +135,24 @@ def _put(batch: pa.RecordBatch, name: str, values: pa.Array) -> pa.RecordBatch:
                                       names=[batch.schema.names[i] for i in keep] + [name])
 
 
+def _encoded(texts: list[str | None], enc: Encoder) -> pa.ListArray:
+    got = enc.arrays(texts)
+    off = np.cumsum([0, *map(len, got)], dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(off), pa.array(np.concatenate([np.zeros(0, dtype=np.int32), *got])))
+
+
+def _decoded(ids: pa.Array, piece: np.ndarray) -> pa.Array:
+    out = []
+    for v in ids:
+        out.append(b"".join(piece[v.values.to_numpy()].tolist()).decode("utf-8", "replace") if v.is_valid else "")
+    return pa.array(out, type=pa.string())
+
+
+def _pieces(path: str) -> np.ndarray:
+    by_id = _token_bytes(path)[0]
+    return np.array([by_id.get(i, b"") for i in range(max(by_id) + 1)], dtype=object)
+
+
 def encode(df: DataFrame, text: str = "text", path: str | None = None, ids: str = "ids") -> DataFrame:
     """Add ``ids`` (array<int>): the tokenizer's ids of the whole text."""
     path = path or vocabulary_path()
@@ -131,10 +160,7 @@ def encode(df: DataFrame, text: str = "text", path: str | None = None, ids: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = Encoder(path)
         for b in text_chunks(batches):
-            got = [enc(t) if t else [] for t in b.column(text).to_pylist()]
-            off = np.cumsum([0, *map(len, got)], dtype=np.int32)
-            flat = np.fromiter((i for g in got for i in g), dtype=np.int32, count=int(off[-1]))
-            yield _put(b, ids, pa.ListArray.from_arrays(pa.array(off), pa.array(flat)))
+            yield _put(b, ids, _encoded(b.column(text).to_pylist(), enc))
 
     return df.mapInArrow(run, _with(df, ids, T.ArrayType(T.IntegerType())))
 
@@ -144,14 +170,22 @@ def decode(df: DataFrame, ids: str = "ids", path: str | None = None, decoded: st
     path = path or vocabulary_path()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        by_id = _token_bytes(path)[0]
-        piece = np.array([by_id.get(i, b"") for i in range(max(by_id) + 1)], dtype=object)
+        piece = _pieces(path)
         for b in text_chunks(batches):
-            out = []
-            col = b.column(ids)
-            for k in range(b.num_rows):
-                v = col[k].values if col[k].is_valid else None
-                out.append(b"".join(piece[v.to_numpy()].tolist()).decode("utf-8", "replace") if v is not None else "")
-            yield _put(b, decoded, pa.array(out, type=pa.string()))
+            yield _put(b, decoded, _decoded(b.column(ids), piece))
 
     return df.mapInArrow(run, _with(df, decoded, T.StringType()))
+
+
+def round_trip(df: DataFrame, text: str = "text", path: str | None = None, ids: str = "ids",
+               decoded: str = "decoded") -> DataFrame:
+    """``encode`` and ``decode`` in one pass (one Python worker per task instead of two)."""
+    path = path or vocabulary_path()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enc, piece = Encoder(path), _pieces(path)
+        for b in text_chunks(batches):
+            got = _encoded(b.column(text).to_pylist(), enc)
+            yield _put(_put(b, ids, got), decoded, _decoded(got, piece))
+
+    return df.mapInArrow(run, _with_schema(_with(df, ids, T.ArrayType(T.IntegerType())), decoded, T.StringType()))

@@ -83,9 +83,7 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_register
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    ids = bpe.encode(docs).select("doc_id", "ids")
-    got = bpe.decode(ids)
-    return got.select(
+    return bpe.round_trip(docs).select(
         "doc_id", F.array_size("ids").cast("long").alias("n_tokens"),
         _sha(F.array_join(F.col("ids").cast("array<string>"), ",")).alias("ids_sha256"),
         _sha(F.col("decoded")).alias("decoded_sha256"))

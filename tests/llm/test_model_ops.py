@@ -42,6 +42,9 @@ def test_bpe_query_and_edges(spark):
     for r in got:
         want = tok.encode(r["text"] or "", add_special_tokens=False).ids
         assert r["ids"] == want and r["decoded"] == tok.decode(want, skip_special_tokens=False)
+    both = bpe.round_trip(df)
+    assert both.columns == bpe.decode(bpe.encode(df)).columns
+    assert sorted(map(str, both.collect())) == sorted(map(str, got))
     assert bpe.encode(df.limit(0)).count() == 0
     bare = bpe.decode(spark.createDataFrame([(None,), ([],)], "ids array<int>")).collect()
     assert [r["decoded"] for r in bare] == ["", ""]
