@@ -26,9 +26,9 @@ ignored; an empty table gives no rows.
 from __future__ import annotations
 
 import re
+import sys
 import zlib
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -78,7 +78,7 @@ class Model:
             ws = words_of(t)
             if len(known) > REMEMBERED:
                 known.clear()
-            for x in ws - known.keys():
+            for x in ws.difference(known):  # looks words up; "-" would walk all that is known
                 known[x] = sum(w.get(p, 0.0) for p in parts_of(x))
             out[k] = self.bias + sum(map(known.__getitem__, sorted(ws)))
         return out
@@ -87,9 +87,9 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.scale * self.raw(texts) + self.shift, -30, 30)))
 
 
-def _once(docs: list[set[str]]) -> list[set[str]]:
+def _once(docs: Iterable[tuple[str, ...]]) -> list[tuple[str, ...]]:
     """Copies and most near copies count once: texts with the same three smallest word hashes."""
-    first: dict[tuple[int, ...], set[str]] = {}
+    first: dict[tuple[int, ...], tuple[str, ...]] = {}
     for d in docs:
         first.setdefault(tuple(sorted(zlib.crc32(x.encode()) for x in d)[:3]), d)
     return list(first.values())
@@ -101,18 +101,17 @@ def _sum_by(values: np.ndarray, lens: np.ndarray) -> np.ndarray:
     return total[ends] - total[ends - lens]
 
 
-def nn_pu(pos: list[set[str]], unl: list[set[str]], prior: float, rounds: int = 800, rate: float = 0.05,
+def nn_pu(pos: list[Iterable[str]], unl: list[Iterable[str]], prior: float, rounds: int = 800, rate: float = 0.05,
           l2: float = 1e-4, beta: float = 0.0) -> tuple[dict[str, float], float]:
     """Feature weights and bias that minimise the non-negative PU risk.
 
-    ``pos`` and ``unl`` are word sets; a feature's value is the number of
-    words that have it.
+    ``pos`` and ``unl`` hold the distinct words of each text; a feature's
+    value is the number of words that have it.
     """
-    counted = [[Counter(p for x in d for p in parts_of(x)) for d in docs] for docs in (pos, unl)]
     counts: list[dict[str, int]] = [{}, {}]
-    for side, docs in zip(counts, counted):
+    for side, docs in zip(counts, (pos, unl)):
         for d in docs:
-            for x in d:
+            for x in {p for word in d for p in parts_of(word)}:
                 side[x] = side.get(x, 0) + 1
 
     def apart(x: str) -> float:
@@ -122,7 +121,7 @@ def nn_pu(pos: list[set[str]], unl: list[set[str]], prior: float, rounds: int =
 
     at = {x: i for i, x in enumerate(sorted(x for x in counts[0].keys() | counts[1].keys()
           if counts[0].get(x, 0) + counts[1].get(x, 0) >= MIN_DOCS and apart(x) >= APART))}
-    rows = [[at[x] for x in d.elements() if x in at] for d in (*counted[0], *counted[1])]
+    rows = [[at[x] for word in d for x in parts_of(word) if x in at] for d in (*pos, *unl)]
     lens = np.array([len(r) for r in rows])
     idx = np.fromiter((i for r in rows for i in r), dtype=np.int64, count=int(lens.sum()))
     is_pos = np.arange(len(rows)) < len(pos)
@@ -165,14 +164,22 @@ def _platt(z: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 def train(sample: DataFrame, prior: float) -> Model | None:
     """``sample`` (part: pos / unl / cal, toxic, text), bounded by the caller -> model, None without positives."""
-    rows = sample.toArrow()
-    part, toxic, text = (rows.column(c).to_pylist() for c in ("part", "toxic", "text"))
-    sets = {k: [words_of(t) for p, t in zip(part, text) if p == k] for k in ("pos", "unl")}
-    if not sets["pos"] or not sets["unl"]:
+    # words are interned: the driver holds every distinct word once, and texts only in passing
+    words: dict[str, list[tuple[str, ...]]] = {"pos": [], "unl": []}
+    cal: list[tuple[int, str | None]] = []
+    for b in sample.toArrow().to_batches(max_chunksize=256):
+        for part, toxic, text in zip(*(b.column(c).to_pylist() for c in ("part", "toxic", "text"))):
+            if part == "cal":
+                cal.append((toxic, text))
+            else:
+                words[part].append(tuple(map(sys.intern, sorted(words_of(text)))))
+    if not words["pos"] or not words["unl"]:
         return None
-    model = Model(*nn_pu(_once(sets["pos"]), _once(sets["unl"]), prior))
-    y = np.array([x for p, x in zip(part, toxic) if p == "cal"], dtype=float)
-    z = model.raw([t for p, t in zip(part, text) if p == "cal"])
+    model = Model(*nn_pu(_once(words["pos"]), _once(words["unl"]), prior))
+    del words
+    y = np.array([x for x, _ in cal], dtype=float)
+    z = model.raw([t for _, t in cal])
+    model.words.clear()  # the remembered words do not travel to the tasks
     if len(y) and 0 < y.sum() < len(y):
         model.scale, model.shift = _platt(z, y)
     return model
