@@ -168,3 +168,46 @@ def test_documents_of_one_hot_line(spark):
     got = line_dedup.deduplicate(df)
     assert got.where(F.size("gone") == 1).count() == 2999
     assert got.where("clean_text like 'This%'").count() == 1
+
+
+def test_passages_across_line_breaks(spark):
+    r = random.Random(2)
+    word = ["".join(r.choice("etaoinshrdlu") for _ in range(r.randrange(3, 9))) for _ in range(400)]
+    said = [" ".join(r.choice(word) for _ in range(20)).capitalize() + "." for _ in range(6)]
+    own = [" ".join(r.choice(word) for _ in range(20)).capitalize() + "." for _ in range(6)]
+    passage = " ".join(said)
+    cut = passage.split(" ")
+    other = said[0].split(" ")
+    other[9] = "somethingelse"
+    far = other[:]
+    far[3] = "different"
+    texts = {0: passage, 1: own[0] + "\n" + "\n".join(" ".join(cut[i:i + 7]) for i in range(0, len(cut), 7)),
+             2: f"{own[1]} {passage} {own[2]}", 3: " ".join(other) + f"\n{own[3]}", 4: " ".join(far) + f"\n{own[4]}", 5: own[5]}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {x["doc_id"]: x for x in line_dedup.deduplicate(df).collect()}
+    clean = {k: x["clean_text"] for k, x in got.items()}
+    # one word in sixteen: 3 is a copy of 0, and 4 is linked through 3
+    assert clean == {0: passage, 1: own[0], 2: f"{own[1]} {own[2]}", 3: own[3], 4: own[4], 5: own[5]}
+    assert [g["first_doc"] for g in got[2]["gone_parts"]] == [0] * 6 and got[2]["gone"] == []
+
+
+def test_word_links(spark):
+    r = random.Random(5)
+    lines = []
+    for n in (14, 16, 31, 32, 50, 90):
+        for _ in range(6):
+            a = [r.choice("abcdefghijklmnop") for _ in range(n)]
+            lines.append(" ".join(a))
+            for k in (1, 2, 3, 5, 6):
+                b = a[:]
+                for at in r.sample(range(n), k):
+                    b[at] = r.choice(["Z", "Y", "X Y", ""])
+                lines.append(" ".join(" ".join(b).split()))
+    lines = list(dict.fromkeys(lines))
+    df = spark.createDataFrame(list(enumerate(lines)), "id long, line string")
+    links = [(x["a"], x["b"]) for x in line_dedup.line_links(line_dedup.word_lines(df), 1, grow=16).collect()]
+    words = [x.split() for x in lines]
+    near = [(i, j) for i in range(len(lines)) for j in range(i) if min(len(words[i]), len(words[j])) >= 16
+            and abs(len(words[i]) - len(words[j])) <= 5
+            and distance(words[i], words[j]) <= min(5, min(len(words[i]), len(words[j])) // 16)]
+    assert union_find(range(len(lines)), links) == union_find(range(len(lines)), near)
