@@ -128,6 +128,24 @@ def test_secret_network(spark):
     assert [(s["kind"], s["start"]) for s in far if s["kind"] != "cnn"] == [("hex", 0), ("hex", 300_001)]
 
 
+def test_negatives_do_not_crowd_out_positives(spark):
+    r = random.Random(3)
+
+    def key():
+        return "".join(r.choice("0123456789abcdef") for _ in range(32))
+
+    docs = [(i, " ".join(f"number {r.randrange(10**17, 10**18)}" for _ in range(40))) for i in range(300)]
+    docs += [(1000 + i, f"here token = {key()} ends") for i in range(80)]
+    df = spark.createDataFrame(docs + [(2000 + i, f"a bare {key()[:22]} one") for i in range(40)], "doc_id long, text string")
+    labelled = df.where("doc_id < 2000")
+    # 80 positive windows beside 12,000 negative ones; negatives of about 100 documents
+    net = secrets_scan.train(labelled, train_rows=1000, train_docs=100)
+    assert net is not None
+    got = secrets_scan.scan(df, net).selectExpr("doc_id", "size(filter(spans, s -> s.kind = 'cnn')) n").collect()
+    assert sum(x["n"] > 0 for x in got if x["doc_id"] >= 2000) >= 20
+    assert sum(x["n"] for x in got if x["doc_id"] < 300) <= 600
+
+
 def test_nn_pu_needs_no_negative_labels():
     r = np.random.default_rng(0)
     common = [f"w{i}" for i in range(200)]
