@@ -1,7 +1,7 @@
 """Toxicity by non-negative positive-unlabelled learning.
 
-Confirmed toxic documents are the positives; every other text is unlabelled
-and may be of either kind.  A linear classifier over the distinct words of
+Confirmed toxic documents are the positives; the unlabelled set is drawn from
+all training rows, labelled or not, and may hold either kind.  A linear classifier over the distinct words of
 a text and their stems minimises, in numpy, the class-prior-corrected risk
 
     prior * E_pos[loss(+)] + max(0, E_unl[loss(-)] - prior * E_pos[loss(-)])
@@ -10,7 +10,7 @@ with the logistic loss; where the second part turns negative (the
 unlabelled set is being overfitted) the step is taken the other way, as
 the non-negative estimator asks.  The prior is the share of toxic among
 the labelled training rows.  Scores are calibrated (Platt) on training rows
-kept out of the fit.
+kept out of the fit: a fifth of all rows, by hash.
 
 The fit uses a bounded sample, in order of a hash: ``max_positive`` positives
 and ``max_unlabelled`` unlabelled texts, and at most as many labelled rows
@@ -202,26 +202,23 @@ def fit(docs: DataFrame, labels: DataFrame, max_positive: int = MAX_POSITIVE, ma
     d = docs.select("doc_id", F.col("text").cast("string").alias("text")).where(
         F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     ids = stage(d.select("doc_id").distinct().join(known, "doc_id", "left"), "toxicity-rows")
-    n, n_toxic, n_bare = ids.agg(F.count("toxic"), F.coalesce(F.sum("toxic"), F.lit(0)),
-                                 F.count("*") - F.count("toxic")).first()
+    n, n_toxic = ids.agg(F.count("toxic"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     if not n_toxic:
         return None
     h = F.xxhash64("doc_id", F.lit("toxicity"))
-    # a fifth of the labelled rows is kept for calibration
-    cal = F.col("toxic").isNotNull() & (F.pmod(h, F.lit(5)) == 0)
-    # unlabelled text stands for the corpus; where every row has a label, all rows do
-    unl = F.col("toxic").isNull() if n_bare else F.lit(True)
-    ids = ids.withColumn("h", h).withColumn(
-        "part", F.when(cal, "cal").when(F.col("toxic") == 1, "pos").when(unl, "unl"))
+    ids = ids.withColumn("h", h)
+    # a fifth of the rows is kept out, its labelled ones for calibration; all others stand for the corpus
+    out = F.pmod("h", F.lit(5)) == 0
     picked = None
-    for part, most in (("pos", max_positive), ("unl", max_unlabelled), ("cal", max_calibration)):
-        some = ids.where(F.col("part") == part).orderBy("h", "doc_id").limit(most)
+    for part, most, which in (("pos", max_positive, ~out & (F.col("toxic") == 1)), ("unl", max_unlabelled, ~out),
+                              ("cal", max_calibration, out & F.col("toxic").isNotNull())):
+        some = ids.where(which).orderBy("h", "doc_id").limit(most).withColumn("part", F.lit(part))
         picked = some if picked is None else picked.union(some)
     picked = stage(picked.select("doc_id", "part", "toxic"), "toxicity-sample")
     # at most 13,000 ids are broadcast; of repeated ids one text is taken
-    rows = d.join(F.broadcast(picked), "doc_id").groupBy("doc_id").agg(
-        F.first("part").alias("part"), F.first("toxic").alias("toxic"), F.min("text").alias("text"))
-    return train(rows.orderBy("doc_id").select("part", "toxic", "text"), n_toxic / n)
+    rows = d.join(F.broadcast(picked), "doc_id").groupBy("doc_id", "part").agg(
+        F.first("toxic").alias("toxic"), F.min("text").alias("text"))
+    return train(rows.orderBy("doc_id", "part").select("part", "toxic", "text"), n_toxic / n)
 
 
 def score(docs: DataFrame, model: Model | None) -> DataFrame:

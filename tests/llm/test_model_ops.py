@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -191,6 +192,18 @@ def test_toxicity_edges(spark):
     assert toxicity.score(docs.limit(0), None).count() == 0
 
 
+def test_toxicity_with_one_unlabelled_row(spark):
+    r = random.Random(1)
+    common = [f"w{i}" for i in range(300)]
+    docs = [(i, " ".join(r.sample(common, 20)) + (" vile" if i % 4 == 0 else " kind")) for i in range(600)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    one = next(i for i in range(1, 600) if i % 4 and zlib.crc32(str(i).encode()) % 3 != 1)
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(600) if i != one], "doc_id long, toxic int")
+    got = toxicity.score(df, toxicity.fit(df, labels))
+    assert got.where("text like '%vile%'").agg(F.min("score")).first()[0] > got.where(
+        "text like '%kind%'").agg(F.max("score")).first()[0]
+
+
 def test_pipeline_stages(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     more = docs.limit(3).union(docs.limit(0)).unionByName(spark.createDataFrame(
