@@ -147,6 +147,16 @@ def test_negatives_do_not_crowd_out_positives(spark):
     assert sum(x["n"] for x in got if x["doc_id"] < 300) <= 600
 
 
+def test_parts_outside_base_findings(spark):
+    net = secrets_scan.Network()
+    net.threshold = 0.0  # every candidate
+    texts = ["see " + "7K9Q" * 5 + "0123456789abcdef01234567" + "W8X6" * 5 + " end", "token=" + "a1B2" * 9 + " x", "Q7" * 4 + "ab" * 12]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {x["doc_id"]: [(s["start"], s["end"]) for s in x["spans"] if s["kind"] == "cnn"]
+           for x in secrets_scan.scan(df, net).collect()}
+    assert got == {0: [(4, 24), (48, 68)], 1: [], 2: []}
+
+
 def test_nn_pu_needs_no_negative_labels():
     r = np.random.default_rng(0)
     common = [f"w{i}" for i in range(200)]
