@@ -1,8 +1,8 @@
 """DuckDB SQL of the queries that SQL can express.
 
 No SQL for op3, op8 and op10 (trained models), op4 (edit distance classes),
-op5 (tokenizer merges) and op6 (components over XXH64 fingerprints): these
-are tested against brute force in tests/llm.
+op5 and op12 (tokenizer merges), op6 (components over XXH64 fingerprints) and
+op11 (CRC-32): these are tested against brute force in tests/llm.
 """
 
 from __future__ import annotations
@@ -100,3 +100,34 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND NOT (n_words - n_words_kept > 0.5 * n_words) AS kept
 FROM x
 """
+
+_PHRASES = " UNION ALL ".join(
+    f"SELECT lang, {k} AS k, array_to_string(ws[i:i + {k - 1}], ' ') AS phrase, count(*) AS f FROM "
+    f"(SELECT lang, ws, unnest(range(1, len(ws) - {k - 2})) AS i FROM p) GROUP BY ALL" for k in range(1, 5))
+
+ORACLES["op13_collocations"] = rf"""
+WITH p AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws
+  FROM (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+          translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+          '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+n AS (SELECT lang, sum(len(ws)) AS n FROM p GROUP BY lang),
+g AS (SELECT * FROM ({_PHRASES}) WHERE f >= 30),
+c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM g WHERE k >= 2),
+cuts AS (
+  SELECT lang, phrase, a, cut, array_to_string(w[1:cut], ' ') AS x, array_to_string(w[cut + 1:], ' ') AS y
+  FROM (SELECT *, unnest(range(1, k)) AS cut FROM c)),
+s AS (
+  SELECT cuts.lang, cuts.phrase, a, cut, x.f AS l, y.f AS r, 2000000::HUGEINT * a // (x.f + y.f) AS score
+  FROM cuts JOIN g AS x ON x.lang = cuts.lang AND x.phrase = cuts.x
+    JOIN g AS y ON y.lang = cuts.lang AND y.phrase = cuts.y
+  QUALIFY row_number() OVER (PARTITION BY cuts.lang, cuts.phrase ORDER BY score, cut) = 1),
+sub AS (
+  SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS phrase, max(a) AS longer
+  FROM (SELECT *, unnest(range(1, k - m + 2)) AS i FROM (SELECT *, unnest(range(2, k)) AS m FROM c)) GROUP BY ALL)
+SELECT s.lang, row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, a DESC, s.phrase) AS rank, s.phrase,
+  a, l, r, n.n::BIGINT AS n, score::BIGINT AS score
+FROM s JOIN n ON n.lang = s.lang LEFT JOIN sub ON sub.lang = s.lang AND sub.phrase = s.phrase
+WHERE longer IS NULL OR 100::HUGEINT * longer < 80::HUGEINT * a
+QUALIFY rank <= 2000
+"""

@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from searchrank.llm import (bpe, chat_format, decontaminate, line_dedup, quality_rules, secrets_scan, simhash_dedup,
-                            toxicity, url_filter, warc)
+from searchrank.llm import (bpe, chat_format, collocations, decontaminate, line_dedup, packing, quality_rules,
+                            secrets_scan, simhash_dedup, spelling_variants, toxicity, url_filter, warc)
 from searchrank.llm.oracles import ORACLES  # noqa: F401  (the driver reads it from here)
 from searchrank.session import scratch_path
 
@@ -126,3 +126,20 @@ URL_RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.exa
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(_table(spark, sf_dir, "pages"), URL_RULES).select(
         "page_id", "host", "path", "rule", "verdict")
+
+
+@_register
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling_variants.corpus_words(_table(spark, sf_dir, "documents"), misspell=31)
+    return spelling_variants.spelling_variants(words).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+@_register
+def op12_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+@_register
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
