@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from searchrank.functions import clean
 from searchrank.operators import stats
 from searchrank.operators.sequence import dense_rank_within
+from searchrank.operators.skew import join_statistics
 
 # Fixed values of the feature recipe.
 SPARSE_THRESHOLD = 0.9
@@ -114,14 +115,25 @@ def _zscore_cols(zcols: Sequence[str], eps: float) -> list[Column]:
             for c in zcols]
 
 
+def _statistics(df: DataFrame, by: str, zcols: Sequence[str], promo: str | None) -> DataFrame:
+    return df.groupBy(by).agg(F.count(F.lit(1)).alias("_rows"), *_search_stat_exprs(zcols, promo))
+
+
+def _staged_statistics(df: DataFrame, by: str, zcols: Sequence[str], promo: str | None) -> DataFrame:
+    from searchrank.sources.io import materialize
+    return materialize(_statistics(df, by, zcols, promo), "search-statistics")
+
+
 def search_statistics(df: DataFrame, by: str = "srch_id", zcols: Sequence[str] = ZSCORE_COLUMNS,
                       promo: str | None = "promotion_flag", eps: float = ZSCORE_EPS) -> DataFrame:
     """z-scores of ``zcols`` and promotion count/any per search, one pass.
 
-    A one-row search has no sample deviation, so its z-scores are null.
+    A one-row search has no sample deviation, so its z-scores are null; rows
+    without a search are one search.  The statistics are written once, one row
+    per search, and a hot search is split when they are joined back.
     """
-    st = df.groupBy(by).agg(*_search_stat_exprs(zcols, promo))
-    j = df.join(st, by, "inner")
+    st = _staged_statistics(df, by, zcols, promo)
+    j = join_statistics(df, st, by)
     extra = _zscore_cols(zcols, eps) + ([F.col("promotion_count"), F.col("promotion_any")]
                                         if promo else [])
     return j.select(*[F.col(c) for c in df.columns], *extra)
@@ -133,8 +145,7 @@ def zscore_within(df: DataFrame, cols: Sequence[str] = ZSCORE_COLUMNS, by: str =
 
 
 def promotion_features(df: DataFrame, by: str = "srch_id", flag: str = "promotion_flag") -> DataFrame:
-    st = df.groupBy(by).agg(*_search_stat_exprs((), flag))
-    return df.join(st, by, "left")
+    return join_statistics(df, _staged_statistics(df, by, (), flag), by)
 
 
 def weighted_sum(df: DataFrame, weights: dict[str, float] = QUALITY_WEIGHTS,
@@ -188,7 +199,7 @@ def rank_features(df: DataFrame, by: str = "srch_id") -> DataFrame:
     The numbering pass is staged once by ``row_number_within``, so the two
     joins read the same written ranks instead of sorting twice.
     """
-    from searchrank.operators.sequence import row_number_within
+    from searchrank.operators.sequence import _null_safe, row_number_within
     price = (df.select(by, F.col("price_usd").alias("_v")).where(F.col("_v").isNotNull())
                .distinct().withColumn("_c", F.lit(0)))
     star = (df.select(by, (-F.col("prop_starrating")).alias("_v")).where(F.col("_v").isNotNull())
@@ -198,8 +209,8 @@ def rank_features(df: DataFrame, by: str = "srch_id") -> DataFrame:
                                                F.col("_r").alias("price_rank"))
     sr = ranked.where(F.col("_c") == 1).select(by, (-F.col("_v")).alias("prop_starrating"),
                                                F.col("_r").alias("star_rank"))
-    return (df.join(pr, [by, "price_usd"], "left").join(sr, [by, "prop_starrating"], "left")
-              .select(*df.columns, "price_rank", "star_rank"))
+    out = _null_safe(_null_safe(df, pr, [by, "price_usd"], "left"), sr, [by, "prop_starrating"], "left")
+    return out.select(*df.columns, "price_rank", "star_rank")
 
 
 def final_projection(df: DataFrame) -> DataFrame:
@@ -225,13 +236,13 @@ def _row_features(df: DataFrame, quant: DataFrame | None, method: str) -> DataFr
 
 def _quality(df: DataFrame, st: DataFrame, by: str) -> DataFrame:
     """Per-search statistics joined to the rows, z-scores and the weighted quality."""
-    j = df.join(st, by, "inner")
+    j = join_statistics(df, st, by)
     extra = _zscore_cols(ZSCORE_COLUMNS, ZSCORE_EPS) + [F.col("promotion_count"), F.col("promotion_any")]
     return weighted_sum(j.select(*[F.col(c) for c in df.columns], *extra), QUALITY_WEIGHTS, "hotel_quality")
 
 
 def _search_table(rows: DataFrame, by: str) -> DataFrame:
-    return rows.groupBy(by).agg(*_search_stat_exprs(ZSCORE_COLUMNS, "promotion_flag"))
+    return _statistics(rows, by, ZSCORE_COLUMNS, "promotion_flag")
 
 
 def fit_stats(df: DataFrame, method: str = "nearest", by: str = "srch_id") -> FeatureStats:

@@ -21,7 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from searchrank.operators.sequence import top_k_within
+from searchrank.operators.sequence import _null_safe, top_k_within
 
 DEFAULT_TIEBREAK = ("prop_id", "position")
 
@@ -78,12 +78,12 @@ def ideal_dcg(df: DataFrame, by: str = "srch_id", grade: str = "relevance_grade"
 def ndcg(df: DataFrame, by: str = "srch_id", score: str = "pred", grade: str = "relevance_grade",
          k: int = 5, first_two_undiscounted: bool = True,
          tiebreak: Sequence[str] = DEFAULT_TIEBREAK, out: str = "ndcg") -> DataFrame:
-    """NDCG@k per group: (by, dcg, idcg, ndcg)."""
+    """NDCG@k per group: (by, dcg, idcg, ndcg); rows without a group are one group."""
     # one projection feeds both branches, so their scans/exchanges are shared
     base = df.select(*dict.fromkeys([by, score, grade, *tiebreak]))
     d = dcg(base, by, score, grade, k, first_two_undiscounted, tiebreak)
     i = ideal_dcg(base, by, grade, k, first_two_undiscounted)
-    j = i.join(d, by, "left").withColumn("dcg", F.coalesce(F.col("dcg"), F.lit(0.0)))
+    j = _null_safe(i, d, [by], "left").withColumn("dcg", F.coalesce(F.col("dcg"), F.lit(0.0)))
     val = F.when(F.col("idcg") == 0, F.lit(0.0)).otherwise(F.col("dcg") / F.col("idcg"))
     return j.select(by, "dcg", "idcg", val.alias(out))
 

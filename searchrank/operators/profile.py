@@ -58,20 +58,16 @@ def describe(df: DataFrame, cols: Sequence[str] | None = None, method: str = "ne
              ) -> DataFrame:
     """Per column: count, null_count, mean, std, min, q25, q50, q75, max.
 
-    One wide aggregate gives counts, moments, extremes and a bracket around
-    every quartile (a sketch of bounded size); a second pass counts exactly
-    below the brackets and selects among the few values inside them
-    (``stats.quantiles_wide``).  No value list of all rows is built.
+    The numeric columns are written once.  A few aggregates give counts and
+    moments, and the quartiles of all columns come from digit histograms
+    (``stats.quantiles_wide``): no value list, sort or explode of rows.
     """
     from searchrank.operators.stats import quantiles_wide
     cols = list(cols or numeric_columns(df))
     qs = [0.25, 0.5, 0.75]
-    v = {c: F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")) for c in cols}
-    moments = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
-    got, quart = quantiles_wide(df, cols, qs, method, {
-        (c, name): fn(v[c]) for c in cols for name, fn in moments.items()} | {("", "rows"): F.count(F.lit(1))})
-    rows = [(c, got[c, "count"], got["", "rows"] - got[c, "count"], got[c, "mean"], got[c, "std"], got[c, "min"],
-             *(quart[c, q] for q in qs), got[c, "max"]) for c in cols]
+    got, quart = quantiles_wide(df, cols, qs, method)
+    rows = [(c, got[c]["count"], got[""] - got[c]["count"], got[c]["mean"], got[c]["std"], got[c]["min"],
+             *(quart[c, q] for q in qs), got[c]["max"]) for c in cols]
     # one row per column of the schema
     return df.sparkSession.createDataFrame(
         rows, "column string, count long, null_count long, mean double, std double, min double, q25 double, "
@@ -126,27 +122,24 @@ def box_stats(df: DataFrame, col: str, whisker: float = WHISKER) -> DataFrame:
 
     Quartiles are linearly interpolated; whiskers reach the last value
     inside q1 - w*IQR / q3 + w*IQR; values beyond the whiskers are fliers.
-    One pass over the data builds the (value, count) table; quartiles,
-    whiskers and flier counts are all read from it.
+    Quartiles come from digit histograms of the column, written once; a
+    last pass reads the whiskers and counts the fliers.
     """
-    from searchrank.operators.stats import quantiles_wide
-    x = F.col(col).cast("double")
-    x = F.when(~F.isnan(x), x)
-    got, quart = quantiles_wide(df, [col], [0.25, 0.5, 0.75], "linear",
-                                {(col, "n"): F.count(x), (col, "mean"): F.avg(x)})
+    from searchrank.operators.stats import narrow, quantiles_wide
+    vals = narrow(df, [col])
+    got, quart = quantiles_wide(df, [col], [0.25, 0.5, 0.75], "linear", vals)
     q1v, medv, q3v = (quart[col, q] for q in (0.25, 0.5, 0.75))
     if q1v is None:
         return df.sparkSession.createDataFrame(
             [], "n long, mean double, q1 double, median double, q3 double, iqr double, "
                 "whislo double, whishi double, n_fliers_low long, n_fliers_high long")
     iqrv = q3v - q1v
-    v = F.col("_value")
-    vals = df.select(x.alias("_value"))
+    v = F.col("x0")
     lo_fence, hi_fence = q1v - whisker * iqrv, q3v + whisker * iqrv
     # whiskers are the last values inside the fences, so what lies beyond a fence lies beyond its whisker
     lit = F.lit
     return vals.agg(
-        lit(got[col, "n"]).cast("long").alias("n"), lit(got[col, "mean"]).alias("mean"),
+        lit(got[col]["count"]).cast("long").alias("n"), lit(got[col]["mean"]).alias("mean"),
         lit(q1v).alias("q1"), lit(medv).alias("median"), lit(q3v).alias("q3"), lit(iqrv).alias("iqr"),
         F.coalesce(F.min(F.when(v >= lo_fence, v)), lit(q1v)).alias("whislo"),
         F.coalesce(F.max(F.when(v <= hi_fence, v)), lit(q3v)).alias("whishi"),

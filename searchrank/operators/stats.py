@@ -7,7 +7,8 @@ value order (``sequence.running_within``, which splits a hot group across
 partitions), and each group then reads off the value whose position range
 holds the target index.  ``method="approx"`` uses ``percentile_approx``
 instead: a fixed-size sketch per group, for columns with very many
-distinct values.
+distinct values.  Quantiles of whole columns (``quantiles_wide``) are found digit
+by digit from histograms of fixed size.
 
 Quantile methods follow the usual definitions on the sorted non-null
 values x[0..n-1] with h = q * (n - 1):
@@ -23,9 +24,11 @@ values x[0..n-1] with h = q * (n - 1):
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from searchrank.operators.sequence import _null_safe, running_within
@@ -113,8 +116,10 @@ def quantiles_from_counts(counts: DataFrame, by: Sequence[str], qs: Sequence[flo
     return picked.select(*by, F.col("_name").alias("column"), "q", value.alias("value"))
 
 
-#: Rank error of the sketch that brackets a quantile (one part in so many rows).
-BRACKET = 10_000
+#: Bits of a key read by one pass; columns whose moments are taken in one aggregate; rows sorted at once.
+DIGIT_BITS, MOMENT_COLUMNS, CHUNK = 16, 16, 65_536
+#: Accuracy of the sketches of ``method="approx"``.
+SKETCH = 10_000
 
 
 def _positions(q: float, n: int, method: str) -> tuple[float, int, int]:
@@ -129,80 +134,144 @@ def _between(h: float, lo: float, hi: float, method: str) -> float:
             "linear": lo + frac * (hi - lo), "midpoint": (lo + hi) / 2.0}[method]
 
 
-def quantiles_wide(df: DataFrame, cols: Sequence[str], qs: Sequence[float], method: str = "nearest",
-                   extra: dict | None = None) -> tuple[dict, dict]:
-    """Exact quantiles of whole columns without a value list of all rows.
-
-    Pass 1, one wide aggregate: the count and, per quantile, a bracket from
-    ``percentile_approx`` (bounded sketches), together with the aggregates
-    ``extra`` ({key: Column}).  Pass 2 counts the rows below each bracket and
-    the rows per value inside it; a bracket holds about one part in
-    ``BRACKET / 8`` of the rows, and repeated values collapse before the
-    shuffle.  The wanted positions are read off the ordered counts.  Should
-    a bracket miss a position, it is widened to the whole range.
-
-    Returns ({key: value of extra}, {(column, q): value or None}); both are
-    sized by columns times quantiles.
+def narrow(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """``cols`` as doubles x0, x1, ... (NaN is null, -0.0 is 0.0), written once for the passes that follow."""
+    from searchrank.sources.io import materialize
+    v = [F.col(c).cast("double") for c in cols]
+    return materialize(df.select(*[F.when(~F.isnan(x), x + F.lit(0.0)).alias(f"x{i}") for i, x in enumerate(v)]),
+                       "numeric-columns")
+
+
+def moments(rows: DataFrame, n_cols: int) -> tuple[int, list[dict]]:
+    """(rows, per column of ``narrow``: count, mean, std, min, max), a few columns to an aggregate.
+
+    Wider aggregates would leave generated code; each one reads only its columns.
     """
-    cols, qs = list(cols), [float(q) for q in qs]
-    extra = extra or {}
-    real = {f.name for f in df.schema.fields if f.dataType.typeName() in ("double", "float")}
-    v = {c: F.col(c).cast("double") for c in cols}
-    x = {c: F.col(f"_x{i}") for i, c in enumerate(cols)}
-    df = df.withColumns({f"_x{i}": F.when(~F.isnan(v[c]), v[c]) if c in real else v[c] for i, c in enumerate(cols)})
-    aggs = [e.alias(f"e{i}") for i, e in enumerate(extra.values())]
-    edges = [min(max(q + d * 4.0 / BRACKET, 0.0), 1.0) for q in qs for d in (-1, 1)]
-    for i, c in enumerate(cols):
-        aggs += [F.count(x[c]).alias(f"n{i}"), F.percentile_approx(x[c], edges, BRACKET).alias(f"p{i}"),
-                 F.min(x[c]).alias(f"lo{i}"), F.max(x[c]).alias(f"hi{i}")]
-    one = df.agg(*aggs).first()
-    got = {k: one[f"e{i}"] for i, k in enumerate(extra)}
-    if method == "approx":
-        return got, {(c, q): None if not one[f"n{i}"] else _middle(one[f"p{i}"], k)
-                     for i, c in enumerate(cols) for k, q in enumerate(qs)}
-    out: dict = {(c, q): None for c in cols for q in qs}
-    want = {(i, k): _positions(qs[k], one[f"n{i}"], method)
-            for i in range(len(cols)) if one[f"n{i}"] for k in range(len(qs))}
-    todo = {(i, k): (one[f"p{i}"][2 * k], one[f"p{i}"][2 * k + 1]) for i, k in want}
-    while todo:
-        counts = df.agg(*[F.count_if(test).alias(f"{side}{i}_{k}") for (i, k), (lo, hi) in todo.items()
-                          for side, test in (("b", x[cols[i]] < F.lit(lo)), ("t", x[cols[i]] <= F.lit(hi)))]).first()
-        below = {s: counts["b%d_%d" % s] for s in todo}
-        fits = {s for s in todo if below[s] <= want[s][1] and want[s][2] < counts["t%d_%d" % s]}
-        # a bracket of one value, as most columns of few values have, needs no further look
-        for (i, k), (lo, hi) in todo.items():
-            if (i, k) in fits and lo == hi:
-                out[cols[i], qs[k]] = lo
-        open_ = [s for s, (lo, hi) in todo.items() if s in fits and lo < hi]
-        if open_:
-            for s, (lo, hi) in _select(df, [(x[cols[s[0]]], *todo[s], want[s][1] - below[s], want[s][2] - below[s])
-                                            for s in open_]).items():
-                i, k = open_[s]
-                out[cols[i], qs[k]] = _between(want[i, k][0], lo, hi, method)
-        todo = {(i, k): (one[f"lo{i}"], one[f"hi{i}"]) for i, k in todo if (i, k) not in fits}
-    return got, out
+    fns = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
+    total, out = 0, []
+    for at in range(0, max(n_cols, 1), MOMENT_COLUMNS):
+        some = range(at, min(at + MOMENT_COLUMNS, n_cols))
+        one = rows.agg(F.count(F.lit(1)).alias("rows"),
+                       *[fn(f"x{i}").alias(f"{name}{i}") for i in some for name, fn in fns.items()]).first()
+        total = one["rows"]
+        out += [{name: one[f"{name}{i}"] for name in fns} for i in some]
+    return total, out
 
 
-def _select(df: DataFrame, slots: list[tuple]) -> dict[int, tuple[float, float]]:
-    """Per slot (column, lo, hi, first, second): the values at two positions among those in [lo, hi]."""
-    inside = F.array(*[F.when(c.between(lo, hi), F.struct(F.lit(s).alias("s"), c.alias("v")))
-                       for s, (c, lo, hi, *_) in enumerate(slots)])
-    counts = (df.select(F.explode(inside).alias("e")).where("e is not null")
-              .groupBy("e.s", "e.v").agg(F.count(F.lit(1)).alias("n")))
-    run = running_within(counts, "s", [F.col("v").asc()], out="cum", weight="n")
+def _ordered_keys(x: np.ndarray) -> np.ndarray:
+    """Doubles -> unsigned integers in the same order."""
+    bits = x.view(np.uint64)
+    top = np.uint64(1) << np.uint64(63)
+    return np.where(bits & top, ~bits, bits | top)
 
-    def holds(which: int):
-        at = F.create_map(*[z for s, slot in enumerate(slots) for z in (F.lit(s), F.lit(slot[3 + which]).cast("long"))])
-        return (F.col("cum") - F.col("n") <= at[F.col("s")]) & (at[F.col("s")] < F.col("cum"))
 
-    # one row per slot
-    rows = run.groupBy("s").agg(F.max(F.when(holds(0), F.col("v"))).alias("lo"),
-                                F.max(F.when(holds(1), F.col("v"))).alias("hi")).collect()
-    return {r["s"]: (r["lo"], r["hi"]) for r in rows}
+def _double_of(key: int) -> float:
+    bits = key ^ (1 << 63) if key >> 63 else ~key & (1 << 64) - 1
+    return float(np.array([bits], dtype=np.uint64).view(np.float64)[0])
 
 
-def _middle(edges: Sequence[float], k: int) -> float:
-    return (edges[2 * k] + edges[2 * k + 1]) / 2.0
+def _histogram(rows: DataFrame, groups: list[tuple[int, int]], shift: int) -> DataFrame:
+    """(g, digit, n, lo, hi): of the keys of group g = (column, leading bits), counts and extremes per next digit.
+
+    A table of fixed size: 2 ** ``DIGIT_BITS`` rows a group at most, summed in
+    the tasks first.  Extremes are signed, in the order of the keys.
+    """
+    cols = sorted({c for c, _ in groups})
+    mask, top = np.uint64((1 << DIGIT_BITS) - 1), np.uint64(1) << np.uint64(63)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def table(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+            out = []
+            t = pa.Table.from_batches(held)
+            keys = {c: _ordered_keys(t.column(f"x{c}").drop_null().to_numpy().astype(np.float64)) for c in cols}
+            for g, (c, lead) in enumerate(groups):
+                k = keys[c]
+                if shift + DIGIT_BITS < 64:
+                    k = k[k >> np.uint64(shift + DIGIT_BITS) == np.uint64(lead)]
+                k = np.sort(k)
+                digit = ((k >> np.uint64(shift)) & mask).astype(np.int32)
+                at = np.flatnonzero(np.diff(digit, prepend=-1))
+                ends = np.append(at[1:], len(k)).astype(np.int64)
+                out.append((np.full(len(at), g, np.int32), digit[at], ends - at, (k[at] ^ top).view(np.int64),
+                            (k[ends - 1] ^ top).view(np.int64)) if len(at) else None)
+            got = [x for x in out if x is not None]
+            parts = [np.concatenate(x) for x in zip(*got)] if got else [np.zeros(0, d) for d in "iilll"]
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in parts], names=["g", "digit", "n", "lo", "hi"])
+
+        held: list[pa.RecordBatch] = []
+        for b in batches:
+            held.append(b)
+            if sum(x.num_rows for x in held) >= CHUNK:
+                yield table(held)
+                held = []
+        if held:
+            yield table(held)
+
+    parts = rows.select(*[f"x{c}" for c in cols]).mapInArrow(run, "g int, digit int, n bigint, lo bigint, hi bigint")
+    return parts.groupBy("g", "digit").agg(F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+
+
+def select_positions(rows: DataFrame, wanted: Sequence[tuple[int, int]]) -> dict[tuple[int, int], float]:
+    """{(column, position): value}: the values at 0-based positions of the sorted columns of ``narrow``.
+
+    Doubles are read as order-preserving 64-bit keys, ``DIGIT_BITS`` from the
+    top at a time: a pass counts the keys under each prefix still in question by their
+    next digit, for all columns and positions at once, and the cumulated
+    counts tell the digit that holds each position.  After four passes at most
+    (one, where a bucket holds a single value) every key is known.  Nothing is
+    sorted across tasks, listed or exploded; a pass returns one row per
+    position.
+    """
+    spark = rows.sparkSession
+    at = {s: (0, s[1]) for s in wanted}          # leading bits, position among the keys that have them
+    out: dict[tuple[int, int], float] = {}
+    for shift in range(64 - DIGIT_BITS, -1, -DIGIT_BITS):
+        todo = [s for s in at if s not in out]
+        if not todo:
+            break
+        groups = sorted({(s[0], at[s][0]) for s in todo})
+        index = {g: i for i, g in enumerate(groups)}
+        targets = spark.createDataFrame([(k, index[s[0], at[s][0]], at[s][1]) for k, s in enumerate(todo)],
+                                        "s int, g int, pos long")
+        # a window holds the 2 ** DIGIT_BITS digits of a group at most
+        upto = F.sum("n").over(Window.partitionBy("g").orderBy("digit"))
+        buckets = _histogram(rows, groups, shift).withColumn("upto", upto)
+        hit = buckets.join(F.broadcast(targets), "g").where(
+            (F.col("upto") - F.col("n") <= F.col("pos")) & (F.col("pos") < F.col("upto")))
+        for r in hit.select("s", "digit", (F.col("upto") - F.col("n")).alias("before"), "lo", "hi").collect():
+            s = todo[r["s"]]
+            lead, pos = at[s]
+            if r["lo"] == r["hi"]:
+                out[s] = _double_of(r["lo"] + (1 << 63))
+            at[s] = (lead << DIGIT_BITS) | r["digit"], pos - r["before"]
+    return out
+
+
+def quantiles_wide(df: DataFrame, cols: Sequence[str], qs: Sequence[float], method: str = "nearest",
+                   rows: DataFrame | None = None) -> tuple[dict, dict]:
+    """Exact quantiles of whole columns, without sorting or listing their values.
+
+    Returns ({column: {count, mean, std, min, max}} with the number of rows under "",
+    {(column, q): value or None}); both are sized by columns times quantiles.
+    ``rows`` is ``narrow(df, cols)`` if the caller has it.
+    """
+    cols, qs = list(cols), [float(q) for q in qs]
+    rows = narrow(df, cols) if rows is None else rows
+    total, each = moments(rows, len(cols))
+    got = {"": total, **dict(zip(cols, each))}
+    if method == "approx":
+        out = {}
+        for i, c in enumerate(cols):
+            v = rows.agg(F.percentile_approx(f"x{i}", qs, SKETCH)).first()[0] or [None] * len(qs)
+            out |= {(c, q): x for q, x in zip(qs, v)}
+        return got, out
+    want = {(c, q): _positions(q, got[c]["count"], method) for c in cols if got[c]["count"] for q in qs}
+    place = {c: i for i, c in enumerate(cols)}
+    value = select_positions(rows, sorted({(place[c], p) for (c, _), (_, *two) in want.items() for p in two}))
+    out = dict.fromkeys(((c, q) for c in cols for q in qs))
+    for (c, q), (h, lo, hi) in want.items():
+        out[c, q] = _between(h, value[place[c], lo], value[place[c], hi], method)
+    return got, out
 
 
 def group_quantile(df: DataFrame, by: str | Sequence[str], cols: Sequence[str], q: float = 0.25,

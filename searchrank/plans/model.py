@@ -8,6 +8,8 @@ counterpart, so the rankers here are:
 * pairwise least squares: every within-search pair at once, through a
   weighted ``LinearRegression`` on per-search centred features (see
   ``operators.pairs``);
+* pairwise logistic: the listed pairs of each search's top rows, weighted by
+  their part in NDCG, through ``LogisticRegression`` on feature differences;
 * one pointwise model per country partition.
 
 Missing feature values: trees and linear models need complete vectors, so
@@ -24,7 +26,8 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import Imputer, VectorAssembler
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.feature import Imputer, SQLTransformer, VectorAssembler
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -184,6 +187,47 @@ def fit_pairwise(train: DataFrame, features: Sequence[str] | None = None,
     return Ranker(model, usable, flagged, "pairwise")
 
 
+def fit_pairs(train: DataFrame, features: Sequence[str] | None = None, label: str = "relevance_grade",
+              by: str = "srch_id", score: str | None = None, k: int = 6, reg: float = 0.001,
+              weight: str = "ndcg", tiebreak: Sequence[str] = ("prop_id", "position", "supp_id")) -> Ranker:
+    """Pairwise logistic ranker on the top-``k`` pairs of each search (M3).
+
+    The top rows are those by ``score``; without it, by the least-squares
+    ranker fitted first, as boosting takes them from the model so far.  The pair table
+    (``pairs.make_pairs``) is staged once; a row's score is w.x with the weights
+    of the logistic fit on feature differences (no intercept).
+    """
+    from searchrank.operators import pairs
+    from searchrank.sources.io import materialize
+    ensure_checkpoint_dir(train.sparkSession)
+    features = list(features or feature_columns(train))
+    first = None
+    if score is None:
+        first = fit_pairwise(train, features, label, by)
+        usable, flagged = first.usable, first.flagged
+        prep = PipelineModel(stages=first.model.stages[:1])
+    else:
+        usable, flagged = _prep_stages(train, features)
+        flat = _with_flags(train, usable, flagged)
+        prep = PipelineModel(stages=[_base_stages(usable, flagged)[0].fit(flat)])
+    cols = _assembler_inputs(usable, flagged)
+    ties = [c for c in tiebreak if c in train.columns]
+    rows = first.score(train, "_first") if first else train.withColumn("_first", F.col(score))
+    rows = prep.transform(_with_flags(rows, usable, flagged)).select(
+        *dict.fromkeys([by, label, "_first", *ties]), *[F.col(c).alias(f"x{i}") for i, c in enumerate(cols)])
+    rows = materialize(rows, "pair-rows")
+    xs = [f"x{i}" for i in range(len(cols))]
+    table = materialize(pairs.make_pairs(rows, xs, by, label, "_first", k, ties, weight).where("weight > 0").select(
+        "label", "weight", *[f"d_{x}" for x in xs]), "pairs")
+    vec = VectorAssembler(inputCols=[f"d_{x}" for x in xs], outputCol="features")
+    fit = LogisticRegression(featuresCol="features", labelCol="label", weightCol="weight", fitIntercept=False,
+                             regParam=reg, elasticNetParam=0.0, family="binomial").fit(vec.transform(table))
+    w = fit.coefficients.toArray().tolist()   # one number per feature
+    terms = " + ".join(f"{v!r}D * `{c}`" for v, c in zip(w, cols))
+    score_it = SQLTransformer(statement=f"SELECT *, {terms} AS prediction FROM __THIS__")
+    return Ranker(PipelineModel(stages=[*prep.stages, score_it]), usable, flagged, "pairs")
+
+
 def gbt_stage(r: Ranker) -> GBTRegressionModel:
     return r.model.stages[-1]
 

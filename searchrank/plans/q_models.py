@@ -219,6 +219,41 @@ def q_topk_pairs(spark, sf):
                                                        F.col("n_topk_pairs").cast("long"))
 
 
+_PAIR_ORDER = "price_usd DESC NULLS LAST, prop_id, position, supp_id"
+_PAIR_TABLE = f"""
+, g AS (SELECT srch_id, prop_id, position, supp_id, price_usd, prop_starrating, promotion_flag, {GRADE_SQL} AS grade,
+          row_number() OVER (PARTITION BY srch_id ORDER BY {_PAIR_ORDER}) AS p,
+          row_number() OVER (PARTITION BY srch_id ORDER BY {GRADE_SQL} DESC) AS pi FROM log)
+, i AS (SELECT srch_id, sum(CASE WHEN pi <= 6 THEN grade / log2(pi + 1) ELSE 0 END) AS idcg FROM g GROUP BY 1)
+, j AS (SELECT b.srch_id, a.p AS pos, b.prop_id, b.position, b.supp_id,
+          CAST(a.grade > b.grade AS INTEGER) AS label,
+          abs(a.grade - b.grade) * (1 / log2(a.p + 1) - CASE WHEN b.p <= 6 THEN 1 / log2(b.p + 1) ELSE 0 END)
+            / i.idcg AS weight,
+          a.price_usd - b.price_usd AS d_price_usd, a.prop_starrating - b.prop_starrating AS d_prop_starrating,
+          CAST(a.promotion_flag - b.promotion_flag AS DOUBLE) AS d_promotion_flag
+        FROM g a JOIN g b ON a.srch_id = b.srch_id AND a.p <= 6 AND a.p < b.p AND a.grade <> b.grade
+        JOIN i ON i.srch_id = a.srch_id)"""
+
+
+@register("make_pairs", with_log(_PAIR_TABLE + """
+SELECT srch_id, pos, prop_id, position, supp_id, label, round(weight, 6) AS weight,
+       round(d_price_usd, 6) AS d_price_usd, round(d_prop_starrating, 6) AS d_prop_starrating,
+       round(d_promotion_flag, 6) AS d_promotion_flag FROM j"""))
+def q_make_pairs(spark, sf):
+    """The weighted pair table of the top 6 rows of each search."""
+    log = labels.relevance_grade(fixture.search_log(spark, sf))
+    return rounded(pairs.make_pairs(log, ["price_usd", "prop_starrating", "promotion_flag"], score="price_usd",
+                                    tiebreak=("prop_id", "position", "supp_id")))
+
+
+@register("ranker_pairs_holdout")
+def q_pairs_ranker(spark, sf):
+    """M3: logistic ranker on the top-6 pair table, NDCG@5 on the holdout."""
+    train, valid = split.mod_split(_engineered(spark, sf))
+    r = M.fit_pairs(train)
+    return _result(metrics.mean_ndcg(r.score(valid), score="pred"), "pairwise_logistic")
+
+
 @register("ndcg_compare_orderings", with_log(f"""
 , g AS (SELECT srch_id, prop_id, position, price_usd, prop_starrating, {GRADE_SQL} AS grade
         FROM log WHERE srch_id % 10 = 1)

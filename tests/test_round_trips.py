@@ -66,10 +66,43 @@ def test_quantiles_by_bracket(spark, n):
                 assert got[c, q] == pytest.approx(np.quantile(x, q, method=name), abs=1e-12), (method, c, q)
 
 
-def test_describe_plan_has_no_value_list(spark):
-    df = spark.range(1000).select(F.when(F.col("id") % 3 > 0, F.col("id")).alias("x"))
-    r = profile.describe(df, ["x"]).first()
-    assert (r["count"], r["null_count"], r["min"], r["max"]) == (666, 334, 1.0, 998.0)
+def test_positions_by_digits(spark):
+    r = np.random.default_rng(9)
+    cols = {"tiny": r.choice([5e-324, -5e-324, 0.0, -0.0, 1e-310], 4000), "wide": r.normal(size=4000) * 10.0 ** r.integers(-300, 300, 4000),
+            "ends": r.choice([np.inf, -np.inf, 1.0, np.nextafter(1, 2), np.nan], 4000), "one": np.full(4000, -7.25),
+            "near": 1e15 + r.integers(0, 9000, 4000) / 8}
+    df = spark.createDataFrame([tuple(float(v[i]) for v in cols.values()) + (None,) for i in range(4000)],
+                               ", ".join(f"{c} double" for c in cols) + ", none double").repartition(5)
+    qs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.999, 1.0]
+    got, out = stats.quantiles_wide(df, [*cols, "none"], qs, "lower")
+    for c, v in cols.items():
+        x = np.sort(v[~np.isnan(v)])
+        assert got[c]["count"] == len(x)
+        for q in qs:
+            assert out[c, q] == x[int(np.floor(q * (len(x) - 1)))], (c, q)
+    assert all(out["none", q] is None for q in qs) and got["none"]["count"] == 0
+    assert stats.quantiles_wide(df.limit(0), ["one"], [0.5])[1] == {("one", 0.5): None}
+
+
+def test_describe_plans_neither_explode_nor_sort_rows(spark, monkeypatch):
+    """The plans of every job behind describe: no Generate, no exchange of rows, only of histograms."""
+    df = spark.range(1000).select(F.when(F.col("id") % 3 > 0, F.col("id")).alias("x"), F.cos("id").alias("y"))
+    plans = []
+    real = stats._histogram
+
+    def seen(*args):
+        h = real(*args)
+        plans.append(h._jdf.queryExecution().executedPlan().toString())
+        return h
+
+    monkeypatch.setattr(stats, "_histogram", seen)
+    r = {x["column"]: x for x in profile.describe(df, ["x", "y"]).collect()}
+    assert (r["x"]["count"], r["x"]["null_count"], r["x"]["min"], r["x"]["max"]) == (666, 334, 1.0, 998.0)
+    assert 1 <= len(plans) <= 4
+    for p in plans:
+        assert "Generate" not in p and "rangepartitioning" not in p
+        below = p[p.index("hashpartitioning"):]   # towards the scan: histograms are summed before they are dealt
+        assert below.index("HashAggregate") < below.index("MapInArrow") and below.count("Exchange") == 0
 
 
 def test_integrity_check_flags_faults(spark):
