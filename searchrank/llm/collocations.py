@@ -5,13 +5,14 @@ longest windows are counted; ``ROLLUP`` over their columns then sums the counts
 of all shorter prefixes, so a phrase of any order is counted from the same
 rows and no order is exploded on its own.
 
-* A window only has to be as long as its prefixes can still be frequent.  A
-  sketch of one pass tells that: words and word pairs are counted in hashed
-  buckets, and a bucket under ``min_count`` proves its words and pairs
-  infrequent.  Windows stop before such a pair, and infrequent words only add
-  to the total.  A full bucket proves nothing and keeps its rows, so the
-  result is exact at any sketch size; the sketch has a bucket for some
-  eight words or more, and never more than 2^28, one bit each (32 MB) when it is shared.
+* A window only has to be as long as its prefixes can still be frequent.  Two
+  sketches tell that, counted in hashed buckets: of words and word pairs, then
+  of longer phrases all of whose pairs the first one leaves open.  A bucket
+  under ``min_count`` proves its phrases infrequent, and windows stop there;
+  infrequent words only add to the total.  A full bucket proves nothing and
+  keeps its rows, so the result is exact at any sketch size.  A sketch has a
+  bucket for some eight words or more, and never more than 2^28, one bit each
+  (32 MB) when it is shared: far beyond that corpus size it prunes less.
 * Tasks sum equal windows in bounded buffers before the shuffle, and the
   rollup sums partially before it deals its groups, so a very common word or
   phrase arrives as one row per task.
@@ -47,7 +48,7 @@ SCALE = 2_000_000
 #: log2 of the sketch's buckets, at least and at most.
 LEAST_BITS, MOST_BITS = 12, 28
 #: Tokens a task holds before it sums and hands on; words it remembers ids of.
-HELD, KNOWN = 1_000_000, 500_000
+HELD, KNOWN = 300_000, 100_000
 #: A word, or a mark at which a piece ends.
 _TOKEN = re.compile(r"[^ \t.,;:!?\x0A-\x0D]+|[.,;:!?\x0A-\x0D]")
 _MARKS = frozenset(".,;:!?\n\x0b\x0c\r")
@@ -90,14 +91,42 @@ class _Reader:
         return ids, hashes
 
 
-def _buckets(ids: np.ndarray, hashes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sketch buckets of the words and of the pairs that start at each place (anything at piece ends)."""
-    h, down = hashes[ids], np.uint64(64 - bits)
-    mix = np.uint64(0x9E3779B97F4A7C15)
-    after = np.concatenate((h[1:], h[:1]))
-    pair = (h * mix) ^ ((after >> np.uint64(29)) | (after << np.uint64(35)))
-    pair = (pair ^ (pair >> np.uint64(31))) * mix
-    return (h * mix >> down).astype(np.int64), (pair >> down).astype(np.int64)
+def _grams(ids: np.ndarray, hashes: np.ndarray, longest: int) -> Iterator[np.ndarray]:
+    """Hashes of the phrases of 1, 2, ... words that start at each place (of anything beyond a piece's end)."""
+    word = hashes[ids]
+    mix, gram = np.uint64(0x9E3779B97F4A7C15), word
+    for k in range(1, longest + 1):
+        gram = (gram ^ (gram >> np.uint64(31))) * mix
+        yield gram
+        ahead = np.roll(word, -k)
+        gram = gram ^ ((ahead >> np.uint64(29)) | (ahead << np.uint64(35)))
+
+
+class _Sketches:
+    """The bit arrays so far, by the longest phrase each was counted for."""
+
+    def __init__(self, bits: int):
+        self.bits = bits
+        self.known: list[tuple[int, np.ndarray]] = []
+
+    def bucket(self, gram: np.ndarray) -> np.ndarray:
+        return (gram >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def open(self, ids: np.ndarray, hashes: np.ndarray, longest: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For phrases of 1, 2, ... words: which places start one that may be frequent, and all buckets.
+
+        Orders beyond the sketches are open where both their parts are.
+        """
+        last = None
+        for k, gram in enumerate(_grams(ids, hashes, longest), 1):
+            may = ids > 0 if last is None else last & np.append(last[1:], False)
+            bucket = self.bucket(gram)
+            full = next((f for most, f in self.known if k <= most), None)
+            if full is not None:
+                at = bucket[may]
+                may[may] = (full[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+            yield may, bucket
+            last = may
 
 
 def _readers(batches: Iterator[pa.RecordBatch]) -> Iterator[_Reader]:
@@ -123,16 +152,14 @@ def _readers(batches: Iterator[pa.RecordBatch]) -> Iterator[_Reader]:
             yield r
 
 
-def _sketch(texts: DataFrame, bits: int, min_count: int) -> np.ndarray:
-    """A bit per bucket (low bits first): words and pairs in it may be frequent."""
+def _sketch(texts: DataFrame, sketches: _Sketches, least: int, most: int, min_count: int) -> np.ndarray:
+    """A bit per bucket (low bits first): phrases of ``least`` to ``most`` words in it may be frequent."""
+    shared = texts.sparkSession.sparkContext.broadcast(sketches)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for r in _readers(batches):
-            ids, hashes = r.take()
-            one, two = _buckets(ids, hashes, bits)
-            word = ids > 0
-            pair = word[:-1] & word[1:]
-            bucket, n = np.unique(np.concatenate((one[word], two[:-1][pair])), return_counts=True)
+            orders = list(shared.value.open(*r.take(), most))[least - 1:]
+            bucket, n = np.unique(np.concatenate([b[may] for may, b in orders]), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(bucket), pa.array(n)], names=["bucket", "n"])
 
     full = texts.mapInArrow(run, "bucket bigint, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")).where(
@@ -140,7 +167,7 @@ def _sketch(texts: DataFrame, bits: int, min_count: int) -> np.ndarray:
     # one bit a bucket: at most 2^28 bits in blocks of 4 KB (Spark numbers bits from 1)
     rows = full.groupBy(F.expr("bitmap_bucket_number(bucket + 1)").alias("block")).agg(
         F.expr("bitmap_construct_agg(bitmap_bit_position(bucket + 1))").alias("bits")).toLocalIterator()
-    may = np.zeros(max(1 << bits, 32768) // 8, dtype=np.uint8)
+    may = np.zeros(max(1 << sketches.bits, 32768) // 8, dtype=np.uint8)
     for r in rows:
         at = (r["block"] - 1) * 4096
         may[at:at + 4096] = np.frombuffer(bytes(r["bits"]), dtype=np.uint8)
@@ -158,32 +185,20 @@ def phrase_counts(docs: DataFrame, min_count: int = MIN_COUNT, longest: int = LO
     if bits is None:
         chars = texts.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
         bits = min(MOST_BITS, max(LEAST_BITS, int(chars // 48).bit_length()))
-    may = texts.sparkSession.sparkContext.broadcast(_sketch(texts, bits, min_count))
+    sketches = _Sketches(bits)
+    for least, most in ((1, min(2, longest)), (3, longest)):
+        if least <= most:
+            sketches.known.append((most, _sketch(texts, sketches, least, most, min_count)))
+    shared = texts.sparkSession.sparkContext.broadcast(sketches)
     columns = [f"w{k + 1}" for k in range(longest)]
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packed = may.value
-
-        def frequent(bucket: np.ndarray) -> np.ndarray:
-            return (packed[bucket >> 3] >> (bucket & 7).astype(np.uint8)) & 1 == 1
-
         for r in _readers(batches):
             ids, hashes = r.take()
-            one, two = _buckets(ids, hashes, bits)
             word = ids > 0
-            lead = np.where(word & frequent(one), ids, 0).astype(np.int32)
-            goes_on = np.concatenate((word[:-1] & word[1:], [False]))
-            goes_on &= (lead > 0) & np.concatenate((lead[1:] > 0, [False]))
-            goes_on[goes_on] = frequent(two[goes_on])
-            cols = [lead[word]]
-            reach, ahead = goes_on, goes_on
-            for k in range(1, longest):
-                # the window's next word, as long as every pair so far may be frequent
-                nxt = np.zeros_like(lead)
-                nxt[:-k] = lead[k:]
-                cols.append(np.where(reach, nxt, 0)[word])
-                ahead = np.concatenate((ahead[1:], [False]))
-                reach = reach & ahead
+            # a window's k-th word, as long as its first k words may be frequent; 0 pads
+            cols = [np.where(may, np.roll(ids, -k), 0)[word]
+                    for k, (may, _) in enumerate(shared.value.open(ids, hashes, longest))]
             counted = pa.table(dict(zip(columns, map(pa.array, cols)))).group_by(columns).aggregate([([], "count_all")])
             names = pa.array(r.words, pa.string())
             parts = [names.take(counted.column(c).combine_chunks()) for c in columns]

@@ -22,12 +22,15 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import Imputer, SQLTransformer, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -232,31 +235,91 @@ def gbt_stage(r: Ranker) -> GBTRegressionModel:
     return r.model.stages[-1]
 
 
-def first_trees(r: Ranker, n: int) -> Ranker:
-    """The ranker that stops after its first ``n`` trees."""
+def _nodes(r: Ranker) -> tuple[list[dict], np.ndarray]:
+    """Trees of a boosted ranker as arrays (feature, threshold, left, right, value), and their weights.
+
+    Read from the saved model's node table; the model's size bounds it, not the data.
+    """
+    gbt = gbt_stage(r)
+    spark = SparkSession.getActiveSession()
+    path = scratch_path(spark, f"gbt-{uuid.uuid4().hex}")
+    gbt.write().overwrite().save(path)
+    rows = spark.read.parquet(f"{path}/data").select(
+        "treeID", "nodeData.id", "nodeData.prediction", "nodeData.leftChild", "nodeData.rightChild",
+        "nodeData.split.featureIndex", F.get("nodeData.split.leftCategoriesOrThreshold", F.lit(0)).alias("cut")).collect()
+    trees = []
+    for t in range(gbt.getNumTrees):
+        of = sorted((x for x in rows if x["treeID"] == t), key=lambda x: x["id"])
+        leaf = np.array([x["leftChild"] < 0 for x in of])
+        me = np.arange(len(of))
+        trees.append({
+            "feature": np.where(leaf, 0, [x["featureIndex"] for x in of]),
+            "cut": np.array([0.0 if x["cut"] is None else x["cut"] for x in of]),
+            # a leaf leads to itself, so rows of all depths walk on together
+            "left": np.where(leaf, me, [x["leftChild"] for x in of]),
+            "right": np.where(leaf, me, [x["rightChild"] for x in of]),
+            "value": np.array([x["prediction"] for x in of])})
+    return trees, np.array(gbt.treeWeights)
+
+
+def prefix_scores(r: Ranker, df: DataFrame, out: str = "preds") -> DataFrame:
+    """Add ``out`` (array<double>): element i is the score of the ranker's first i + 1 trees.
+
+    One pass: every tree is walked once per row, and the scores are cumulated.
+    """
+    trees, weights = _nodes(r)
     gbt = gbt_stage(r)
-    sc = SparkSession.getActiveSession().sparkContext
-    j, gateway = gbt._java_obj, sc._gateway  # noqa: SLF001
-    trees = gateway.new_array(sc._jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, n)  # noqa: SLF001
-    weights = gateway.new_array(sc._jvm.double, n)  # noqa: SLF001
-    for i in range(n):
-        trees[i], weights[i] = j.trees()[i], float(gbt.treeWeights[i])
-    short = sc._jvm.org.apache.spark.ml.regression.GBTRegressionModel(  # noqa: SLF001
-        f"{gbt.uid}_{n}", trees, weights, gbt.numFeatures)
-    model = GBTRegressionModel(short).setFeaturesCol("features").setPredictionCol("prediction")
-    return Ranker(PipelineModel(stages=[*r.model.stages[:-1], model]), r.usable, r.flagged, r.kind)
-
-
-def best_rounds(r: Ranker, valid: DataFrame, k: int = 5, step: int = 5, patience: int = 10,
+    ready = PipelineModel(stages=r.model.stages[:-1]).transform(_with_flags(df, r.usable, r.flagged))
+    ready = ready.select(*df.columns, vector_to_array(gbt.getFeaturesCol()).alias("_x"))
+    width, names = gbt.numFeatures, [*df.columns, out]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            x = b.column(b.num_columns - 1).flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+            row, total = np.arange(len(x)), np.zeros((len(x), len(trees)))
+            for t, tree in enumerate(trees):
+                at = np.zeros(len(x), dtype=np.int64)
+                while True:
+                    to = np.where(x[row, tree["feature"][at]] <= tree["cut"][at], tree["left"][at], tree["right"][at])
+                    if (to == at).all():
+                        break
+                    at = to
+                total[:, t] = weights[t] * tree["value"][at]
+            scores = np.cumsum(total, axis=1).ravel()
+            off = np.arange(len(x) + 1, dtype=np.int32) * len(trees)
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.ListArray.from_arrays(pa.array(off), pa.array(scores))],
+                                             names=names)
+
+    return ready.mapInArrow(run, T.StructType(df.schema.fields + [T.StructField(out, T.ArrayType(T.DoubleType()))]))
+
+
+def ndcg_by_rounds(r: Ranker, valid: DataFrame, k: int = 5, label: str = "relevance_grade", by: str = "srch_id",
+                   tiebreak: Sequence[str] = ("prop_id", "position")) -> DataFrame:
+    """(trees, mean_ndcg, n_searches): mean NDCG@k on ``valid`` of every prefix of the ranker's trees.
+
+    ``valid`` is scored once; (search, prefix) are the groups of one ranking.
+    """
+    from searchrank.operators import metrics
+    from searchrank.sources.io import materialize
+    few = valid.select(*dict.fromkeys([c for c in (by, label, *tiebreak)]), *[
+        c for c in r.usable if c not in (by, label, *tiebreak)])
+    scored = materialize(prefix_scores(r, few).select(*dict.fromkeys([by, label, *tiebreak]), "preds"), "prefix-scores")
+    each = scored.select(*dict.fromkeys([by, label, *tiebreak]), F.posexplode("preds").alias("_at", "_score"))
+    each = each.withColumn("trees", F.col("_at") + 1)
+    return metrics.mean_ndcg(each, by, "_score", label, k, tiebreak=tiebreak, group=["trees"])
+
+
+def best_rounds(r: Ranker, valid: DataFrame, k: int = 5, step: int = 1, patience: int = 10,
                 label: str = "relevance_grade") -> int:
     """Trees after which NDCG@k on ``valid`` is best, looked at every ``step`` trees.
 
     Looking ends once ``patience`` trees brought nothing better.
     """
-    from searchrank.operators import metrics
     total, best, at = gbt_stage(r).getNumTrees, -1.0, 0
+    # one number per tree
+    ndcg = {x["trees"]: x["mean_ndcg"] for x in ndcg_by_rounds(r, valid, k, label).collect()}
     for n in [*range(step, total, step), total]:
-        one = metrics.mean_ndcg(first_trees(r, n).score(valid), score="pred", grade=label, k=k).first()["mean_ndcg"]
+        one = ndcg.get(n)
         if one is not None and one > best:
             best, at = one, n
         elif n - at >= patience:
@@ -270,6 +333,46 @@ def fit_best(train: DataFrame, valid: DataFrame, k: int = 5, label: str = "relev
     return fit_ranker(train.unionByName(valid), label=label, **{**params, "max_iter": rounds})
 
 
+@dataclass
+class Prepared:
+    """Training and validation rows with their feature vector, staged once for many fits."""
+    train: DataFrame
+    valid: DataFrame
+    stages: list
+    usable: list[str]
+    flagged: list[str]
+    label: str
+
+    def fit(self, rounds: int, max_depth: int = 5, step_size: float = 0.1, subsample: float = 0.7,
+            colsample: float = 0.7, seed: int = 42) -> Ranker:
+        """As ``fit_ranker``, without preparing the features again."""
+        gbt = GBTRegressor(featuresCol="features", labelCol=self.label, predictionCol="prediction", maxIter=rounds,
+                           maxDepth=max_depth, stepSize=step_size, subsamplingRate=subsample,
+                           featureSubsetStrategy=str(colsample), seed=seed, checkpointInterval=10, cacheNodeIds=False)
+        return Ranker(PipelineModel(stages=[*self.stages, gbt.fit(self.train)]), self.usable, self.flagged, "gbt")
+
+    def ndcg(self, r: Ranker, k: int = 5) -> float:
+        from searchrank.operators import metrics
+        scored = gbt_stage(r).transform(self.valid).withColumnRenamed("prediction", "pred")
+        return metrics.mean_ndcg(scored, score="pred", grade="relevance_grade", k=k).first()["mean_ndcg"] or 0.0
+
+
+def prepare(train: DataFrame, valid: DataFrame, features: Sequence[str] | None = None,
+            label: str = "relevance_grade") -> Prepared:
+    """Impute and assemble the features of both sets once (fitted on ``train``)."""
+    from searchrank.sources.io import materialize
+    ensure_checkpoint_dir(train.sparkSession)
+    usable, flagged = _prep_stages(train, list(features or feature_columns(train)))
+    prep = Pipeline(stages=_base_stages(usable, flagged)).fit(_with_flags(train, usable, flagged))
+
+    def ready(df: DataFrame) -> DataFrame:
+        keep = dict.fromkeys(["srch_id", "prop_id", "position", "relevance_grade", label])
+        return prep.transform(_with_flags(df, usable, flagged)).select(*keep, "features")
+
+    return Prepared(materialize(ready(train), "prepared-train"), materialize(ready(valid), "prepared-valid"),
+                    list(prep.stages), usable, flagged, label)
+
+
 def importance(r: Ranker, top: int = 15) -> DataFrame:
     """Per feature: mean split gain, split count and MLlib's normalised
     importance, top ``top`` by gain (M6).

@@ -162,3 +162,11 @@ def q_sample(spark, sf):
     return per.agg(F.count(F.lit(1)).alias("n_searches"),
                    F.count_if(F.col("kept") != F.col("n")).alias("n_cut_searches"),
                    (F.abs(share - 0.1) <= tol).alias("share_fits"))
+
+
+@register("sample_search_rows")
+def q_sample_rows(spark, sf):
+    """Rows per search of the 10 % sample."""
+    from searchrank.operators import split
+    log = fixture.search_log(spark, sf).select("srch_id")
+    return split.sample(log, 0.1, seed=7, key="srch_id").groupBy("srch_id").agg(F.count(F.lit(1)).alias("n_rows"))

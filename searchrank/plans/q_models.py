@@ -119,28 +119,60 @@ def q_kmeans(spark, sf):
                      "n_rows", "k", "n_nearest", (F.col("lo") & F.col("hi")).alias("all_in_range"))
 
 
-#: Trials of the registered tuning query; ``tune.random_search`` takes any number (the study took 50).
-TRIALS = 4
+@register("kmeans_cluster_sizes")
+def q_kmeans_sizes(spark, sf):
+    """M7: rows per cluster (k=10, seed 0)."""
+    log = fixture.search_log(spark, sf)
+    rows = cluster.assign_with_features(cluster.fit(log, k=10, seed=0), log)
+    return rows.groupBy("cluster").agg(F.count(F.lit(1)).alias("n_rows"))
+
 
+#: Trials of the registered tuning query, as many as the study took.
+TRIALS = 50
 
-@register("tuning_trials", f"""
-SELECT {TRIALS} AS n_trials, true AS in_space, 1 AS n_best, true AS best_is_largest""")
+
+@register("tuning_trials")
 def q_tuning(spark, sf):
-    """M8 as properties: every trial drawn from the stated space, exactly one best, and it scores highest."""
+    """The table of 50 trials; poor ones are stopped at a rung, which the table records."""
     train, valid = split.mod_split(_engineered(spark, sf))
+    ready = M.prepare(train, valid)
+
+    def objective(p, rounds):
+        return ready.ndcg(ready.fit(rounds, max_depth=p["max_depth"], step_size=p["eta"], subsample=p["subsample"],
+                                    colsample=p["colsample"]))
 
-    def objective(p):
-        r = M.fit_ranker(train, max_depth=p["max_depth"], step_size=p["eta"],
-                         subsample=p["subsample"], colsample=p["colsample"])
-        return metrics.mean_ndcg(r.score(valid), score="pred").collect()[0]["mean_ndcg"]
-
-    t = tune.random_search(spark, objective, n_trials=TRIALS, seed=42)
-    inside = F.lit(True)
-    for name, (lo, hi) in tune.SPACE.items():
-        inside = inside & F.col(name).between(lo, hi)
-    return t.agg(F.count(F.lit(1)).cast("int").alias("n_trials"), F.bool_and(inside).alias("in_space"),
-                 F.count_if("is_best").cast("int").alias("n_best"),
-                 (F.max(F.when(F.col("is_best"), F.col("value"))) == F.max("value")).alias("best_is_largest"))
+    return rounded(tune.halving_search(spark, objective, n_trials=TRIALS, seed=42))
+
+
+@register("ranker_reference_settings")
+def q_reference(spark, sf):
+    """M1 + M2 at the study's tuned settings: 130 rounds of depth 9, stopped after ten rounds without a better NDCG@5."""
+    train, valid = split.mod_split(_engineered(spark, sf))
+    ready = M.prepare(train, valid)
+    p = M.reference_settings()
+    r = ready.fit(p.pop("max_iter"), **p)
+    at = M.best_rounds(r, valid)
+    return rounded(M.ndcg_by_rounds(r, valid).select(
+        "trees", "mean_ndcg", "n_searches", (F.col("trees") == at).alias("is_chosen")))
+
+
+@register("ranker_weight_label")
+def q_weight_label(spark, sf):
+    """R2 as training label: a ranker fitted on 5 * booking + click, judged by NDCG@5 of the grades."""
+    train, valid = split.mod_split(labels.relevance_weight(_engineered(spark, sf)))
+    r = M.fit_ranker(train, label="weight")
+    return _result(metrics.mean_ndcg(r.score(valid), score="pred"), "gbt_weight_label")
+
+
+@register("ranker_cluster_feature")
+def q_cluster_feature(spark, sf):
+    """F17 in a model: the k-means cluster id (k=10) as a feature of the ranker."""
+    log = fixture.search_log(spark, sf)
+    eng = labels.relevance_grade(FE.build(cluster.assign(cluster.fit(log, k=10, seed=0), log)))
+    train, valid = split.mod_split(materialize(eng, "engineered-clusters"))
+    r = M.fit_ranker(train)
+    return _result(metrics.mean_ndcg(r.score(valid), score="pred"), "gbt_with_cluster").withColumn(
+        "cluster_used", F.lit("cluster" in r.usable))
 
 
 def _equal(before, after, df):

@@ -247,6 +247,8 @@ def test_collocations_equal_brute_force(spark, bits):
     got = sorted(tuple(x[c] for c in names) for x in collocations.collocations(df, min_count=5, top=40, bits=bits).collect())
     assert got == slow_collocations(docs, 5, 40)
     assert collocations.collocations(df.limit(0)).count() == 0
+    one = spark.createDataFrame([("en", "x"), ("de", ".")], "lang string, text string").repartition(2)
+    assert collocations.collocations(one, min_count=1).count() == 0
 
 
 def test_collocation_scores_pass_64_bits(spark):

@@ -86,3 +86,23 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0 and "mean_ndcg" in df.columns
     assert set(E.oracle_sql()) <= set(E.queries())
+
+
+def test_halving_stops_poor_trials(spark):
+    from searchrank.plans import tune
+    calls = []
+
+    def objective(p, rounds):
+        calls.append((p["trial"], rounds))
+        return -abs(p["eta"] - 0.05) + rounds / 1000
+
+    t = {r["trial"]: r for r in tune.halving_search(spark, objective, n_trials=50, rungs=((3, 0.25), (8, 0.25), (20, 0.0))).collect()}
+    assert len(t) == 50 and [sum(1 for c in calls if c[1] == n) for n in (3, 8, 20)] == [50, 13, 4]
+    near = sorted(t, key=lambda k: abs(t[k]["eta"] - 0.05))
+    assert {k for k in t if not t[k]["stopped"]} == set(near[:4]) and {k for k in t if t[k]["rung"] >= 2} == set(near[:13])
+    assert [k for k in t if t[k]["is_best"]] == near[:1] and all(t[k]["rounds"] == (3, 8, 20)[t[k]["rung"] - 1] for k in t)
+    for name, (lo, hi) in tune.SPACE.items():
+        assert all(lo <= r[name] <= hi for r in t.values())
+    assert tune.halving_search(spark, objective, n_trials=0).count() == 0
+    one = tune.halving_search(spark, lambda p, n: 1.0, n_trials=1).first()
+    assert one["is_best"] and not one["stopped"]

@@ -4,12 +4,13 @@ import os
 
 import numpy as np
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from searchrank import session
 from searchrank.functions import labels
 from searchrank.operators import features as FE
-from searchrank.operators import profile, split, stats, submit
+from searchrank.operators import metrics, profile, split, stats, submit
 from searchrank.plans import model as M
 from searchrank.plans import tune
 from searchrank.sources import fixture, io
@@ -173,11 +174,23 @@ def test_boosting_prefixes_and_round_trip(spark, tmp_path):
         F.when(F.sin("id") > 0.7, 5).when(F.sin("id") > 0.3, 1).otherwise(0).cast("double").alias("relevance_grade"))
     train, valid = split.mod_split(df)
     r = M.fit_ranker(train, ["x", "z"], max_iter=6, max_depth=3)
-    assert M.gbt_stage(M.first_trees(r, 2)).getNumTrees == 2
-    whole, cut = r.score(valid, "a"), M.first_trees(r, 6)
-    assert cut.score(whole, "b").where("abs(a - b) > 1e-12").count() == 0
-    n = M.best_rounds(r, valid, step=2, patience=2)
-    assert 2 <= n <= 6
+    whole = r.score(valid, "a")
+    assert M.prefix_scores(r, whole).where("size(preds) <> 6 or abs(a - preds[5]) > 1e-9").count() == 0
+    # every prefix: the sum of MLlib's own trees, scored and ranked one after the other
+    gbt, ready = M.gbt_stage(r), M.prefix_scores(r, valid)
+    x = PipelineModel(stages=r.model.stages[:-1]).transform(M._with_flags(valid, r.usable, r.flagged)).select("prop_id", "features")
+    vectors = {v["prop_id"]: v["features"] for v in x.collect()}
+    for row in ready.collect():
+        sums = np.cumsum([w * t.predict(vectors[row["prop_id"]]) for w, t in zip(gbt.treeWeights, gbt.trees)])
+        assert row["preds"] == pytest.approx(sums, abs=1e-9)
+    table = {t["trees"]: t["mean_ndcg"] for t in M.ndcg_by_rounds(r, valid).collect()}
+    assert sorted(table) == [1, 2, 3, 4, 5, 6]
+    for n in (1, 4, 6):
+        one = metrics.mean_ndcg(ready.withColumn("pred", F.col("preds")[n - 1]), score="pred").first()["mean_ndcg"]
+        assert table[n] == pytest.approx(one, abs=1e-12)
+    for step, patience in ((1, 10), (2, 2)):
+        n = M.best_rounds(r, valid, step=step, patience=patience)
+        assert 1 <= n <= 6 and (patience < 10 or table[n] == max(table.values()))
     r.save(str(tmp_path / "m"))
     assert M.Ranker.load(str(tmp_path / "m")).score(whole, "b").where("abs(a - b) > 1e-12").count() == 0
     assert M.importance(r).first()["feature"] == "x"
