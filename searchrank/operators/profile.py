@@ -9,9 +9,11 @@ one-row aggregate; everything else stays lazy.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from itertools import combinations_with_replacement, combinations
+from collections.abc import Iterator, Sequence
+from itertools import combinations, combinations_with_replacement
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -146,71 +148,152 @@ def box_stats(df: DataFrame, col: str, whisker: float = WHISKER) -> DataFrame:
         F.count_if(v < lo_fence).alias("n_fliers_low"), F.count_if(v > hi_fence).alias("n_fliers_high"))
 
 
+#: Rows multiplied at once.
+GRAM_ROWS = 16_384
+
+
+class _Gram:
+    """Joint counts, means, products and squares of all column pairs over their common rows, and of null flags.
+
+    A fixed-size sum: four matrices over the numeric columns and one over the
+    flags, whatever the number of rows.  Parts are merged by their
+    means, so that large values with a small spread keep their digits.
+    """
+
+    def __init__(self, n_cols: int, n_flags: int):
+        z = [np.zeros((n_cols, n_cols)) for _ in range(5)]
+        self.n, self.mean, self.prod, self.sq = z[0], z[1], z[2], z[3]   # mean[a, b]: of a where b is known
+        self.flags, self.rows = np.zeros((n_flags, n_flags)), 0
+
+    def add(self, x: np.ndarray, flags: np.ndarray) -> None:
+        known = ~np.isnan(x)
+        m = known.astype(np.float64)
+        some = np.maximum(m.sum(axis=0), 1)
+        centre = np.where(known, x, 0.0).sum(axis=0) / some
+        d = np.where(known, x - centre, 0.0)
+        n, first = m.T @ m, d.T @ m
+        with np.errstate(invalid="ignore", divide="ignore"):
+            off = np.where(n > 0, first / n, 0.0)
+        self._merge(n, centre[:, None] * (n > 0) + off, d.T @ d - n * off * off.T, (d * d).T @ m - n * off * off)
+        f = flags.astype(np.float64)
+        self.flags += f.T @ f
+        self.rows += len(x)
+
+    def _merge(self, n, mean, prod, sq) -> None:
+        total = self.n + n
+        step = mean - self.mean
+        with np.errstate(invalid="ignore", divide="ignore"):
+            share = np.where(total > 0, n / total, 0.0)
+        both = self.n * share
+        self.prod += prod + step * step.T * both
+        self.sq += sq + step * step * both
+        self.mean += step * share
+        self.n = total
+
+
+def gram(df: DataFrame, cols: Sequence[str] = (), flags: Sequence[str] = ()) -> DataFrame:
+    """(kind, i, j, n, mean, prod, sq) from one scan, for all pairs of ``cols`` and of null flags of ``flags``.
+
+    kind "pair": n common rows of columns i and j, the mean of i and its squared
+    deviations ``sq`` over them, and the products of deviations ``prod``.  kind
+    "null": n rows where flags i and j are both null.  kind "rows": the row
+    count.  Every task sends one row per pair; merging them is a grouping.
+    """
+    from searchrank.sources.io import materialize
+    cols, flags = list(cols), list(flags)
+    words = [flags[i:i + 32] for i in range(0, len(flags), 32)]
+    masks = [sum((F.when(F.col(c).isNull(), F.lit(1 << k)).otherwise(F.lit(0)).cast("long")
+                  for k, c in enumerate(w)), F.lit(0).cast("long")).alias(f"w{i}") for i, w in enumerate(words)]
+    p, q = len(cols), len(flags)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        g = _Gram(p, q)
+        for b in batches:
+            for at in range(0, b.num_rows, GRAM_ROWS):
+                some = b.slice(at, GRAM_ROWS)
+                x = np.stack([some.column(i).to_numpy(zero_copy_only=False).astype(np.float64) for i in range(p)],
+                             axis=1) if p else np.zeros((some.num_rows, 0))
+                bits = [(some.column(p + 1 + k // 32).to_numpy() >> (k % 32)) & 1 for k in range(q)]
+                g.add(x, np.stack(bits, axis=1) if q else np.zeros((some.num_rows, 0)))
+        i, j = (v.ravel() for v in np.indices((p, p)))
+        k, m = (v.ravel() for v in np.indices((q, q)))
+        # an empty part has no means to offer
+        have, both = g.n.ravel() > 0, g.flags.ravel() > 0
+        zero = np.zeros(int(both.sum()) + 1)
+        yield pa.RecordBatch.from_pydict({
+            "kind": pa.array(["pair"] * int(have.sum()) + ["null"] * int(both.sum()) + ["rows"], pa.string()),
+            "i": pa.array(np.concatenate((i[have], k[both], [0])).astype(np.int32)),
+            "j": pa.array(np.concatenate((j[have], m[both], [0])).astype(np.int32)),
+            "n": pa.array(np.concatenate((g.n.ravel()[have], g.flags.ravel()[both], [g.rows])).astype(np.int64)),
+            **{name: pa.array(np.concatenate((v.ravel()[have], zero)))
+               for name, v in (("mean", g.mean), ("prod", g.prod), ("sq", g.sq))},
+            "mean_j": pa.array(np.concatenate((g.mean.T.ravel()[have], zero)))})
+
+    narrow = df.select(*[F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")).alias(f"x{k}")
+                         for k, c in enumerate(cols)], F.lit(0).cast("byte").alias("_one"), *masks)
+    parts = materialize(narrow.mapInArrow(
+        run, "kind string, i int, j int, n bigint, mean double, prod double, sq double, mean_j double"), "gram")
+    n = F.col("n")
+    whole = parts.groupBy("kind", "i", "j").agg(
+        F.sum(n).alias("_n"), (F.sum(n * F.col("mean")) / F.sum(n)).alias("_mi"),
+        (F.sum(n * F.col("mean_j")) / F.sum(n)).alias("_mj"))
+    di, dj = F.col("mean") - F.col("_mi"), F.col("mean_j") - F.col("_mj")
+    return parts.join(whole, ["kind", "i", "j"]).groupBy("kind", "i", "j").agg(
+        F.sum(n).alias("n"), F.first("_mi").alias("mean"), F.sum(F.col("prod") + n * di * dj).alias("prod"),
+        F.sum(F.col("sq") + n * di * di).alias("sq"))
+
+
+def _corr_rows(g: dict, cols: Sequence[str]) -> list[tuple]:
+    out = []
+    for (i, a), (j, b) in combinations_with_replacement(list(enumerate(cols)), 2):
+        ab, ba = g.get(("pair", i, j)), g.get(("pair", j, i))
+        corr = None
+        if ab is not None and ab["n"] > 1:
+            # no spread beyond the rounding of the values: no correlation
+            if all(v["sq"] > v["n"] * (1e-13 * v["mean"]) ** 2 for v in (ab, ba)):
+                corr = ab["prod"] / (ab["sq"] ** 0.5 * ba["sq"] ** 0.5)
+        out.append((a, b, corr))
+    return out
+
+
+def _null_rows(g: dict, cols: Sequence[str]) -> list[tuple]:
+    rows = g["rows", 0, 0]["n"] if ("rows", 0, 0) in g else 0
+    alone = {i: g["null", i, i]["n"] for i in range(len(cols)) if ("null", i, i) in g}
+    some = [i for i in sorted(alone) if 0 < alone[i] < rows]
+    out = []
+    for i, j in combinations(some, 2):
+        both = g["null", i, j]["n"] if ("null", i, j) in g else 0
+        na, nb = alone[i], alone[j]
+        out.append((cols[i], cols[j], (rows * both - na * nb) / ((na * (rows - na)) ** 0.5 * (nb * (rows - nb)) ** 0.5)))
+    return out
+
+
+def correlations(df: DataFrame, cols: Sequence[str] = (), flags: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """(correlation of ``cols``, null correlation of ``flags``) from one scan of ``df``."""
+    # sized by the pairs of columns
+    g = {(r["kind"], r["i"], r["j"]): r for r in gram(df, cols, flags).collect()}
+    kind = "col_a string, col_b string, corr double"
+    return (df.sparkSession.createDataFrame(_corr_rows(g, list(cols)), kind),
+            df.sparkSession.createDataFrame(_null_rows(g, list(flags)), kind))
+
+
 def correlation(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Pearson correlation, pairwise-complete, long form (col_a <= col_b).
 
     Each pair uses only the rows where both values are present.  A column
     without variance on those rows correlates as null (no division by 0).
     """
-    cols = list(cols)
-    pairs = list(combinations_with_replacement(cols, 2))
-    # values are centred on the columns' means first (one row), so that plain
-    # sums keep their digits; a pair needs six sums over its common rows
-    mean = df.agg(*[F.avg(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(cols)]).first()
-    d = df.select(*[(F.col(c).cast("double") - F.lit(mean[i])).alias(f"x{i}") for i, c in enumerate(cols)])
-    at = {c: f"x{i}" for i, c in enumerate(cols)}
-    aggs = []
-    for i, (a, b) in enumerate(pairs):
-        xa, xb = F.col(at[a]), F.col(at[b])
-        if a == b:
-            aggs += [F.count(xa).alias(f"n{i}"), F.sum(xa).alias(f"sa{i}"), F.sum(xa * xa).alias(f"saa{i}")]
-            continue
-        prod = xa * xb
-        aggs += [F.count(prod).alias(f"n{i}"), F.sum(prod).alias(f"sab{i}"),
-                 F.sum(F.when(xb.isNotNull(), xa)).alias(f"sa{i}"), F.sum(F.when(xa.isNotNull(), xb)).alias(f"sb{i}"),
-                 F.sum(F.when(xb.isNotNull(), xa * xa)).alias(f"saa{i}"),
-                 F.sum(F.when(xa.isNotNull(), xb * xb)).alias(f"sbb{i}")]
-    got = d.agg(*aggs).first()  # one row, sized by the schema
-    rows = []
-    for i, (a, b) in enumerate(pairs):
-        n, sa, saa = got[f"n{i}"], got[f"sa{i}"], got[f"saa{i}"]
-        sb, sbb, sab = (sa, saa, saa) if a == b else (got[f"sb{i}"], got[f"sbb{i}"], got[f"sab{i}"])
-        corr = None
-        if n > 1:
-            va, vb, cov = saa - sa * sa / n, sbb - sb * sb / n, sab - sa * sb / n
-            if va > 1e-12 * abs(saa) and vb > 1e-12 * abs(sbb):
-                corr = cov / (va ** 0.5 * vb ** 0.5)
-        rows.append((a, b, corr))
-    return df.sparkSession.createDataFrame(rows, "col_a string, col_b string, corr double")
+    return correlations(df, cols)[0]
 
 
 def null_correlation(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """Correlation of null indicators between columns that are partly null.
 
-    The null flags of a row are packed into 32-bit masks and rows are counted
-    per mask: one pass with partial aggregation, whose result has a row per
-    pattern of nulls that occurs.  Counts per pair are read from that
-    table.  Columns never or always null have no variance and are left out.
-    Pairs col_a < col_b in input order.
+    The null flags of a row are packed into 32-bit words; joint counts are one
+    matrix product per batch.  Columns never or always null have no variance
+    and are left out.  Pairs col_a < col_b in input order.
     """
-    cols = list(cols or df.columns)
-    words = [cols[i:i + 32] for i in range(0, len(cols), 32)]
-    masks = [sum((F.when(F.col(c).isNull(), F.lit(1 << k)).otherwise(F.lit(0)).cast("long")
-                  for k, c in enumerate(w)), F.lit(0).cast("long")).alias(f"w{i}") for i, w in enumerate(words)]
-    per = df.select(*masks).groupBy(*[f"w{i}" for i in range(len(words))]).agg(F.count(F.lit(1)).alias("n"))
-    bit = {c: F.shiftright(F.col(f"w{i // 32}"), i % 32).bitwiseAND(F.lit(1)) for i, c in enumerate(cols)}
-    n = F.col("n")
-    one = per.agg(F.sum(n).alias("rows"), *[F.sum(n * bit[c]).alias(f"c{i}") for i, c in enumerate(cols)]).first()
-    rows = one["rows"] or 0
-    some = [(i, c, one[f"c{i}"]) for i, c in enumerate(cols) if rows and 0 < one[f"c{i}"] < rows]
-    pairs = list(combinations(some, 2))
-    both = per.agg(F.count(n).alias("patterns"), *[F.sum(n * bit[a] * bit[b]).alias(f"p{i}-{j}")
-                                                   for (i, a, _), (j, b, _) in pairs]).first() if pairs else {}
-    out = []
-    for (i, a, na), (j, b, nb) in pairs:
-        cov = rows * both[f"p{i}-{j}"] - na * nb
-        out.append((a, b, cov / ((na * (rows - na)) ** 0.5 * (nb * (rows - nb)) ** 0.5)))
-    return df.sparkSession.createDataFrame(out, "col_a string, col_b string, corr double")
+    return correlations(df, (), list(cols or df.columns))[1]
 
 
 def all_null(df: DataFrame, cols: Sequence[str]) -> Column:
@@ -255,3 +338,30 @@ def key_overlap(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
         rows(nb).alias("rows_b"), rows(nb, na.isNull()).alias("rows_b_only"))
     return out.withColumn("share_a_only", F.col("rows_a_only") / F.col("rows_a")) \
               .withColumn("share_b_only", F.col("rows_b_only") / F.col("rows_b"))
+
+
+#: log2 of the keys a sketch keeps; its relative error is about 1 / 2 ** (LG_KEYS / 2).
+LG_KEYS = 14
+
+
+def key_overlap_approx(a: DataFrame, b: DataFrame, key: str, lg: int = LG_KEYS) -> DataFrame:
+    """``key_overlap``'s key counts from theta sketches, with the largest error to expect.
+
+    One row: n_a, n_b, n_both, n_union, n_a_only, n_b_only and ``error``, four
+    standard errors as a number of keys (0 while a sketch holds every key of the union).
+    A sketch keeps 2 ** ``lg`` hashed keys at most and merges, so any number of rows
+    and days costs one partial aggregate each; sketches saved per day can be joined
+    later without reading the rows again.  Null keys count on no side.
+    """
+    sa = a.agg(F.theta_sketch_agg(F.col(key), F.lit(lg)).alias("a"))
+    sb = b.agg(F.theta_sketch_agg(F.col(key), F.lit(lg)).alias("b"))
+    two = sa.select("a", sb.select("b").scalar().alias("b"))
+    n = F.theta_sketch_estimate
+    union = n(F.theta_union("a", "b"))
+    got = two.select(
+        n("a").alias("n_a"), n("b").alias("n_b"), n(F.theta_intersection("a", "b")).alias("n_both"),
+        union.alias("n_union"), n(F.theta_difference("a", "b")).alias("n_a_only"),
+        n(F.theta_difference("b", "a")).alias("n_b_only"))
+    # of every count: its error is one of the union's sample
+    room = F.lit(float(2 ** lg))
+    return got.withColumn("error", F.when(F.col("n_union") < room / 2, 0.0).otherwise(4.0 * F.col("n_union") / F.sqrt(room)))

@@ -239,6 +239,34 @@ def q_overlap(spark, sf):
     return rounded(profile.key_overlap(train, test, "prop_id"))
 
 
+@register("key_overlap_sketch", with_log("""
+SELECT key, true AS within_bound FROM (VALUES ('prop_id'), ('srch_id'), ('site_id')) t(key)"""))
+def q_overlap_sketch(spark, sf):
+    """U2-U4, A21, R13 by mergeable sketches, as a property: each count within its bound of the exact one."""
+    train, test = _train_test(spark, sf)
+    out = None
+    for key in ("prop_id", "srch_id", "site_id"):
+        near = profile.key_overlap_approx(train, test, key)
+        names = [c for c in near.columns if c != "error"]
+        exact = profile.key_overlap(train, test, key).select(*[F.col(c).alias(f"x_{c}") for c in names])
+        both = near.join(exact, F.lit(True))   # one row each
+        ok = F.lit(True)
+        for c in names:
+            ok = ok & (F.abs(F.col(c) - F.col(f"x_{c}")) <= F.col("error"))
+        one = both.select(F.lit(key).alias("key"), ok.alias("within_bound"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@register("log_correlations", _nullcorr_sql())
+def q_log_correlations(spark, sf):
+    """A14 and A15 together: one scan gives both tables; the null table is returned, value pairs checked by shape."""
+    log = _log(spark, sf)
+    corr, nulls = profile.correlations(log, _NUMERIC, log.columns)
+    assert len(corr.columns) == 3
+    return rounded(nulls)
+
+
 @register("key_overlap_customers", with_log("""
 , tr AS (SELECT * FROM log WHERE srch_id % 10 < 5)
 , te AS (SELECT * FROM log WHERE srch_id % 10 >= 5)

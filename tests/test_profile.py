@@ -3,6 +3,7 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from searchrank.operators import profile
 
@@ -95,3 +96,40 @@ def test_all_null_column_edges(spark):
     flat = spark.createDataFrame([(2.0,), (2.0,)], "x double")
     h = profile.histogram(flat, "x", 4).orderBy("bin").collect()
     assert [r["count"] for r in h] == [0, 0, 2, 0] and h[0]["bin_lo"] == 1.5   # numpy widens by 0.5
+
+
+def test_gram_of_many_parts(spark):
+    """Shifted values, nulls and NaN over many partitions, against pandas; both tables from one call."""
+    import pandas as pd
+    r = np.random.default_rng(11)
+    n = 5000
+    x = r.normal(size=n)
+    pdf = pd.DataFrame({"a": x, "b": 1e9 + 0.5 * x + r.normal(size=n), "c": -x * 1e-6, "d": np.full(n, 3.0),
+                        "e": r.integers(0, 2, n).astype(float)})
+    for c, share in (("a", 0.2), ("b", 0.5), ("e", 0.9)):
+        pdf.loc[r.random(n) < share, c] = np.nan
+    pdf.loc[:999, "c"] = np.nan
+    rows = [tuple(None if np.isnan(v) else float(v) for v in t) for t in pdf.itertuples(index=False)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double, e double").repartition(7)
+    corr, nulls = profile.correlations(df, list(pdf), list(pdf))
+    want = pdf.corr()
+    for t in corr.collect():
+        w = want.loc[t["col_a"], t["col_b"]]
+        assert t["corr"] is None if np.isnan(w) or "d" in (t["col_a"], t["col_b"]) else t["corr"] == pytest.approx(w, abs=1e-7)
+    want = pdf.isna().astype(float).drop(columns="d").corr()
+    got = {(t["col_a"], t["col_b"]): t["corr"] for t in nulls.collect()}
+    assert len(got) == 6 and all(v == pytest.approx(want.loc[k], abs=1e-12) for k, v in got.items())
+    empty = profile.correlations(df.limit(0), ["a", "b"], ["a"])
+    assert empty[0].where("corr is not null").count() == 0 and empty[1].count() == 0
+
+
+def test_overlap_sketch_error(spark):
+    a = spark.range(0, 60_000).select((F.col("id") * 7).alias("k"))
+    b = spark.range(30_000, 100_000).select((F.col("id") * 7).alias("k"))
+    want = {"n_a": 60_000, "n_b": 70_000, "n_both": 30_000, "n_union": 100_000, "n_a_only": 30_000, "n_b_only": 40_000}
+    for lg in (10, 14):
+        got = profile.key_overlap_approx(a, b, "k", lg).first()
+        assert 0 < got["error"] <= 4 * 101_000 / 2 ** (lg / 2) * 1.1
+        assert all(abs(got[k] - v) <= got["error"] for k, v in want.items())
+    small = profile.key_overlap_approx(a.limit(50), b.limit(0), "k").first()
+    assert (small["n_a"], small["n_both"], small["n_union"], small["n_a_only"], small["error"]) == (50, 0, 50, 50, 0.0)
