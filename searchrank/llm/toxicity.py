@@ -12,9 +12,11 @@ the non-negative estimator asks.  The prior is the share of toxic among
 the labelled training rows.  Scores are calibrated (Platt) on training rows
 kept out of the fit: a fifth of all rows, by hash.
 
-The fit uses a bounded sample, in order of a hash: ``max_positive`` positives
-and ``max_unlabelled`` unlabelled texts, and at most as many labelled rows
-for calibration.  Scoring reads every whole text.
+The fit uses a bounded sample of documents, in order of a hash: ``max_positive``
+positives, ``max_unlabelled`` of all rows and ``max_calibration`` labelled rows.
+Documents count as they come, copies included, in both expectations as
+in the prior.  Texts never reach the driver, only numbers of chosen features.
+Scoring reads every whole text.
 
 Defined cases: null and empty texts get the score of a text without words;
 without a positive in the training rows every score is 0; several labels
@@ -26,8 +28,6 @@ ignored; an empty table gives no rows.
 from __future__ import annotations
 
 import re
-import sys
-import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -87,63 +87,67 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.scale * self.raw(texts) + self.shift, -30, 30)))
 
 
-def _once(docs: Iterable[tuple[str, ...]]) -> list[tuple[str, ...]]:
-    """Copies and most near copies count once: texts with the same three smallest word hashes."""
-    first: dict[tuple[int, ...], tuple[str, ...]] = {}
-    for d in docs:
-        first.setdefault(tuple(sorted(zlib.crc32(x.encode()) for x in d)[:3]), d)
-    return list(first.values())
-
-
 def _sum_by(values: np.ndarray, lens: np.ndarray) -> np.ndarray:
     ends = np.cumsum(lens)
     total = np.concatenate(([0.0], np.cumsum(values)))
     return total[ends] - total[ends - lens]
 
 
-def nn_pu(pos: list[Iterable[str]], unl: list[Iterable[str]], prior: float, rounds: int = 800, rate: float = 0.05,
-          l2: float = 1e-4, beta: float = 0.0) -> tuple[dict[str, float], float]:
-    """Feature weights and bias that minimise the non-negative PU risk.
+def features_of(words: Iterable[str]) -> list[str]:
+    """The features of a text's distinct words; a feature of several words stands several times."""
+    return [p for word in words for p in parts_of(word)]
 
-    ``pos`` and ``unl`` hold the distinct words of each text; a feature's
-    value is the number of words that have it.
-    """
-    counts: list[dict[str, int]] = [{}, {}]
-    for side, docs in zip(counts, (pos, unl)):
-        for d in docs:
-            for x in {p for word in d for p in parts_of(word)}:
-                side[x] = side.get(x, 0) + 1
-
-    def apart(x: str) -> float:
-        """Log ratio of a word's shares in the two sets, in standard errors (smoothed)."""
-        a, c = counts[0].get(x, 0) + 0.5, counts[1].get(x, 0) + 0.5
-        return abs(np.log(a / len(pos)) - np.log(c / len(unl))) / np.sqrt(1 / a + 1 / c)
-
-    at = {x: i for i, x in enumerate(sorted(x for x in counts[0].keys() | counts[1].keys()
-          if counts[0].get(x, 0) + counts[1].get(x, 0) >= MIN_DOCS and apart(x) >= APART))}
-    rows = [[at[x] for word in d for x in parts_of(word) if x in at] for d in (*pos, *unl)]
+
+def apart(in_pos: np.ndarray, in_unl: np.ndarray, n_pos: int, n_unl: int) -> np.ndarray:
+    """Log ratio of a feature's shares in the two sets, in standard errors (smoothed)."""
+    a, c = in_pos + 0.5, in_unl + 0.5
+    return np.abs(np.log(a / n_pos) - np.log(c / n_unl)) / np.sqrt(1 / a + 1 / c)
+
+
+def risk(z: np.ndarray, is_pos: np.ndarray, prior: float, beta: float = 0.0) -> tuple[float, np.ndarray]:
+    """The non-negative PU risk of raw scores, and the direction of the next step by score."""
+    n_pos, n_unl = max(1, int(is_pos.sum())), max(1, int((~is_pos).sum()))
+    p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+    loss_neg = np.logaddexp(0, z)
+    rest = loss_neg[~is_pos].sum() / n_unl - prior * loss_neg[is_pos].sum() / n_pos
+    value = prior * np.logaddexp(0, -z)[is_pos].sum() / n_pos + max(0.0, rest)
+    if rest >= -beta:
+        return value, np.where(is_pos, prior * (p - 1) / n_pos - prior * p / n_pos, p / n_unl)
+    # step back from the overfitted part
+    return value, np.where(is_pos, prior * p / n_pos, -p / n_unl)
+
+
+def minimise(rows: list[np.ndarray], is_pos: np.ndarray, n_features: int, prior: float, rounds: int = 800,
+             rate: float = 0.05, l2: float = 1e-4, beta: float = 0.0) -> np.ndarray:
+    """Feature weights and, last, the bias that minimise the risk; ``rows`` hold each text's feature numbers."""
     lens = np.array([len(r) for r in rows])
-    idx = np.fromiter((i for r in rows for i in r), dtype=np.int64, count=int(lens.sum()))
-    is_pos = np.arange(len(rows)) < len(pos)
-    n_pos, n_unl = max(1, len(pos)), max(1, len(unl))
-    w, mean = np.zeros(len(at) + 1), np.zeros(len(at) + 1)
+    idx = np.concatenate([np.zeros(0, dtype=np.int64), *rows]).astype(np.int64)
+    w, mean = np.zeros(n_features + 1), np.zeros(n_features + 1)
     m1, m2 = np.zeros_like(w), np.zeros_like(w)
     for t in range(1, rounds + 1):
-        z = _sum_by(w[idx], lens) + w[-1]
-        p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-        loss_neg = np.logaddexp(0, z)
-        rest = loss_neg[~is_pos].sum() / n_unl - prior * loss_neg[is_pos].sum() / n_pos
-        if rest >= -beta:
-            d = np.where(is_pos, prior * (p - 1) / n_pos - prior * p / n_pos, p / n_unl)
-        else:  # step back from the overfitted part
-            d = np.where(is_pos, prior * p / n_pos, -p / n_unl)
-        g = np.concatenate((np.bincount(idx, np.repeat(d, lens), len(at)), [d.sum()]))
+        d = risk(_sum_by(w[idx], lens) + w[-1], is_pos, prior, beta)[1]
+        g = np.concatenate((np.bincount(idx, np.repeat(d, lens), n_features), [d.sum()]))
         g[:-1] += l2 * w[:-1]
         m1, m2 = 0.9 * m1 + 0.1 * g, 0.999 * m2 + 0.001 * g * g
         w = w - rate * (m1 / (1 - 0.9 ** t)) / (np.sqrt(m2 / (1 - 0.999 ** t)) + 1e-8)
         if 2 * t > rounds:  # the later half is averaged: steps to and fro cancel out
             mean += w / (rounds - rounds // 2)
-    return {x: float(mean[i]) for x, i in at.items()}, float(mean[-1])
+    return mean
+
+
+def nn_pu(pos: list[Iterable[str]], unl: list[Iterable[str]], prior: float, **steps) -> tuple[dict[str, float], float]:
+    """Feature weights and bias from the distinct words of texts held in memory (``train`` does it for tables)."""
+    have = [sorted(features_of(d)) for d in (*pos, *unl)]
+    counts: dict[str, list[int]] = {}
+    for k, fs in enumerate(have):
+        for f in set(fs):
+            counts.setdefault(f, [0, 0])[k >= len(pos)] += 1
+    chosen = [f for f, (a, c) in sorted(counts.items()) if a + c >= MIN_DOCS
+              and apart(np.array(a), np.array(c), len(pos), len(unl)) >= APART]
+    at = {f: i for i, f in enumerate(chosen)}
+    rows = [np.array([at[f] for f in fs if f in at], dtype=np.int32) for fs in have]
+    w = minimise(rows, np.arange(len(rows)) < len(pos), len(at), prior, **steps)
+    return {f: float(w[i]) for f, i in at.items()}, float(w[-1])
 
 
 def _platt(z: np.ndarray, y: np.ndarray) -> tuple[float, float]:
@@ -163,23 +167,53 @@ def _platt(z: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 
 def train(sample: DataFrame, prior: float) -> Model | None:
-    """``sample`` (part: pos / unl / cal, toxic, text), bounded by the caller -> model, None without positives."""
-    # words are interned: the driver holds every distinct word once, and texts only in passing
-    words: dict[str, list[tuple[str, ...]]] = {"pos": [], "unl": []}
-    cal: list[tuple[int, str | None]] = []
-    for b in sample.toArrow().to_batches(max_chunksize=256):
-        for part, toxic, text in zip(*(b.column(c).to_pylist() for c in ("part", "toxic", "text"))):
-            if part == "cal":
-                cal.append((toxic, text))
-            else:
-                words[part].append(tuple(map(sys.intern, sorted(words_of(text)))))
-    if not words["pos"] or not words["unl"]:
+    """``sample`` (part: pos / unl / cal, toxic, text), bounded by the caller -> model, None without positives.
+
+    Texts stay in the tasks.  Features are counted and chosen there; the
+    driver gets each text's numbers of chosen features, and the raw score of each
+    calibration text.
+    """
+    def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in text_chunks(batches, 64):
+            got = [features_of(sorted(words_of(t))) for t in b.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(got, pa.list_(pa.string()))], names=["part", "fs"])
+
+    fit_rows = sample.where("part <> 'cal'").select("part", "toxic", "text").mapInArrow(
+        features, "part string, fs array<string>")
+    fit_rows = stage(fit_rows, "toxicity-features")
+    size = {r["part"]: r["n"] for r in fit_rows.groupBy("part").agg(F.count("*").alias("n")).collect()}
+    n_pos, n_unl = size.get("pos", 0), size.get("unl", 0)
+    if not n_pos or not n_unl:
         return None
-    model = Model(*nn_pu(_once(words["pos"]), _once(words["unl"]), prior))
-    del words
-    y = np.array([x for x, _ in cal], dtype=float)
-    z = model.raw([t for _, t in cal])
-    model.words.clear()  # the remembered words do not travel to the tasks
+    counts = fit_rows.select("part", F.explode(F.array_distinct("fs")).alias("f")).groupBy("f").agg(
+        F.count_if(F.col("part") == "pos").alias("a"), F.count_if(F.col("part") == "unl").alias("c"))
+    a, c = F.col("a") + 0.5, F.col("c") + 0.5
+    far = F.abs(F.log(a / n_pos) - F.log(c / n_unl)) / F.sqrt(1 / a + 1 / c)
+    # features that MIN_DOCS texts of the bounded sample have and that tell the sets apart
+    chosen = sorted(r["f"] for r in counts.where((F.col("a") + F.col("c") >= MIN_DOCS) & (far >= APART)).select("f").collect())
+    at = {f: i for i, f in enumerate(chosen)}
+
+    def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            got = [[at[f] for f in fs if f in at] for fs in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(got, pa.list_(pa.int32()))], names=["part", "ns"])
+
+    rows, parts = [], []
+    for part, ns in fit_rows.mapInArrow(numbered, "part string, ns array<int>").collect():
+        parts.append(part == "pos")
+        rows.append(np.array(ns, dtype=np.int32))
+    # a defined order of summation, however the tasks returned
+    order = sorted(range(len(rows)), key=lambda i: (not parts[i], rows[i].tobytes()))
+    w = minimise([rows[i] for i in order], np.array([parts[i] for i in order]), len(at), prior)
+    model = Model({f: float(w[i]) for f, i in at.items()}, float(w[-1]))
+
+    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in text_chunks(batches):
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(model.raw(b.column(1).to_pylist()))], names=["y", "z"])
+
+    cal = sample.where("part = 'cal'").select(F.col("toxic").cast("int").alias("toxic"), "text").mapInArrow(
+        scored, "y int, z double").orderBy("z", "y").collect()
+    y, z = (np.array([r[k] for r in cal], dtype=float) for k in ("y", "z"))
     if len(y) and 0 < y.sum() < len(y):
         model.scale, model.shift = _platt(z, y)
     return model
@@ -218,7 +252,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_positive: int = MAX_POSITIVE, ma
     # at most 13,000 ids are broadcast; of repeated ids one text is taken
     rows = d.join(F.broadcast(picked), "doc_id").groupBy("doc_id", "part").agg(
         F.first("toxic").alias("toxic"), F.min("text").alias("text"))
-    return train(rows.orderBy("doc_id", "part").select("part", "toxic", "text"), n_toxic / n)
+    return train(stage(rows.select("part", "toxic", "text"), "toxicity-texts"), n_toxic / n)
 
 
 def score(docs: DataFrame, model: Model | None) -> DataFrame:
