@@ -12,6 +12,8 @@ from searchrank.sources.io import materialize
 
 #: A side is broadcast only when its measured rows stay under this bound.
 BROADCAST_ROWS = 1_000_000
+#: ... and its measured text under this one.
+BROADCAST_BYTES = 64_000_000
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 

@@ -13,7 +13,7 @@ that occur).
 
 The lookups of documents are narrow rows (ids, place, hash).  The
 benchmark's fingerprints are broadcast to them when their measured rows are at
-most ``BROADCAST_ROWS`` (each row is bounded: 15 words of context); above that
+most ``BROADCAST_ROWS`` and their words at most ``BROADCAST_BYTES``; above that
 the lookups are shuffled and AQE splits hot ones.  Only documents with a
 matching lookup are cut into words a second time, for the extension.
 
@@ -30,7 +30,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from searchrank.llm.common import BROADCAST_ROWS, az_lower, stage
+from searchrank.llm.common import BROADCAST_BYTES, BROADCAST_ROWS, az_lower, stage
 
 GRAM, WINDOW = 5, 6
 SPAN = GRAM + WINDOW - 1
@@ -163,7 +163,8 @@ def _covered(spans: Column) -> Column:
         (a["n"] + F.greatest(x["e"] - F.greatest(a["end"], x["s"]), F.lit(0))).alias("n")), lambda a: a["n"])
 
 
-def find_contamination(docs: DataFrame, items: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+def find_contamination(docs: DataFrame, items: DataFrame, broadcast_rows: int = BROADCAST_ROWS,
+                       broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """(doc_id, text) against (item_id, text) -> a row per document row.
 
     Columns: doc_id, n_words, spans (sorted (s, e) word ranges that hit),
@@ -173,9 +174,12 @@ def find_contamination(docs: DataFrame, items: DataFrame, broadcast_rows: int =
     """
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text")).withColumn("tk", F.xxhash64("text"))
     fps = stage(benchmark_fingerprints(items), "benchmark")
-    by_len = {r["len"]: r["count"] for r in fps.groupBy("len").count().collect()}  # at most 10 rows
+    # at most 10 rows; a word may be as long as a paragraph, so the words' bytes are measured too
+    size = F.octet_length(F.array_join("ctx", " ")).cast("long")
+    by_len = {r["len"]: (r["n"], r["bytes"] or 0) for r in fps.groupBy("len").agg(
+        F.count("*").alias("n"), F.sum(size).alias("bytes")).collect()}
     rows = _windows(docs, sorted(n for n in by_len if n))
-    if sum(by_len.values()) <= broadcast_rows:
+    if sum(n for n, _ in by_len.values()) <= broadcast_rows and sum(b for _, b in by_len.values()) <= broadcast_bytes:
         # one pass: bare rows and matches leave the same broadcast join
         met = rows.join(F.broadcast(fps), ["fp", "len"], "left").where("len = -1 or ctx is not null")
     else:
