@@ -11,8 +11,8 @@ rows and no order is exploded on its own.
   under ``min_count`` proves its phrases infrequent, and windows stop there;
   infrequent words only add to the total.  A full bucket proves nothing and
   keeps its rows, so the result is exact at any sketch size.  A sketch has a
-  bucket for some eight words or more, and never more than 2^28, one bit each
-  (32 MB) when it is shared: far beyond that corpus size it prunes less.
+  bucket for some eight words or more, and never more than 2^27, one bit each
+  (16 MB) when it is shared: far beyond that corpus size it prunes less.
 * Tasks sum equal windows in bounded buffers before the shuffle, and the
   rollup sums partially before it deals its groups, so a very common word or
   phrase arrives as one row per task.
@@ -29,6 +29,7 @@ gives no rows; other columns are ignored.
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -46,7 +47,9 @@ COVERED = 80
 TOP, SALTS = 2000, 64
 SCALE = 2_000_000
 #: log2 of the sketch's buckets, at least and at most.
-LEAST_BITS, MOST_BITS = 12, 28
+LEAST_BITS, MOST_BITS = 12, 27
+#: Buckets sent together.
+CHUNK = 1 << 16
 #: Tokens a task holds before it sums and hands on; words it remembers ids of.
 HELD, KNOWN = 300_000, 100_000
 #: A word, or a mark at which a piece ends.
@@ -153,24 +156,50 @@ def _readers(batches: Iterator[pa.RecordBatch]) -> Iterator[_Reader]:
 
 
 def _sketch(texts: DataFrame, sketches: _Sketches, least: int, most: int, min_count: int) -> np.ndarray:
-    """A bit per bucket (low bits first): phrases of ``least`` to ``most`` words in it may be frequent."""
+    """A bit per bucket (low bits first): phrases of ``least`` to ``most`` words in it may be frequent.
+
+    A task counts in one array of a byte a bucket (255 stands for more) and sends
+    it in compressed chunks; chunks of one place are added up as they stream by.
+    """
     shared = texts.sparkSession.sparkContext.broadcast(sketches)
+    size = 1 << sketches.bits
+    chunk = min(CHUNK, size)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(size, dtype=np.uint8)
         for r in _readers(batches):
             orders = list(shared.value.open(*r.take(), most))[least - 1:]
             bucket, n = np.unique(np.concatenate([b[may] for may, b in orders]), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(bucket), pa.array(n)], names=["bucket", "n"])
-
-    full = texts.mapInArrow(run, "bucket bigint, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")).where(
-        F.col("n") >= min_count)
-    # one bit a bucket: at most 2^28 bits in blocks of 4 KB (Spark numbers bits from 1)
-    rows = full.groupBy(F.expr("bitmap_bucket_number(bucket + 1)").alias("block")).agg(
-        F.expr("bitmap_construct_agg(bitmap_bit_position(bucket + 1))").alias("bits")).toLocalIterator()
-    may = np.zeros(max(1 << sketches.bits, 32768) // 8, dtype=np.uint8)
-    for r in rows:
-        at = (r["block"] - 1) * 4096
-        may[at:at + 4096] = np.frombuffer(bytes(r["bits"]), dtype=np.uint8)
+            seen[bucket] = np.minimum(seen[bucket] + n, 255)
+        for k in range(size // chunk):
+            part = seen[k * chunk:(k + 1) * chunk]
+            if part.any():
+                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([zlib.compress(part.tobytes(), 1)])],
+                                                 names=["chunk", "counts"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, total = None, np.zeros(chunk, dtype=np.int64)
+
+        def full() -> pa.RecordBatch:
+            bits = np.packbits(total >= min_count, bitorder="little").tobytes()
+            return pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([bits])], names=["chunk", "bits"])
+
+        for b in batches:
+            for i in range(b.num_rows):
+                k = b.column(0)[i].as_py()
+                if at is not None and k != at:
+                    yield full()
+                    total[:] = 0
+                at = k
+                total += np.frombuffer(zlib.decompress(b.column(1)[i].as_py()), dtype=np.uint8)
+        if at is not None:
+            yield full()
+
+    parts = texts.mapInArrow(count, "chunk int, counts binary")
+    whole = parts.repartition("chunk").sortWithinPartitions("chunk").mapInArrow(add, "chunk int, bits binary")
+    may = np.zeros(size // 8, dtype=np.uint8)
+    for r in whole.toLocalIterator():  # the bits, chunk by chunk
+        may[r["chunk"] * chunk // 8:(r["chunk"] + 1) * chunk // 8] = np.frombuffer(bytes(r["bits"]), dtype=np.uint8)
     return may
 
 
@@ -210,6 +239,8 @@ def phrase_counts(docs: DataFrame, min_count: int = MIN_COUNT, longest: int = LO
                     names=["lang", *columns, "n"])
 
     rows = texts.mapInArrow(windows, "lang string, " + ", ".join(f"{c} string" for c in columns) + ", n bigint")
+    # equal windows first, so that the rollup multiplies distinct ones only
+    rows = rows.groupBy("lang", *columns).agg(F.sum("n").alias("n"))
     # grouping_id: the columns a prefix leaves out
     sums = rows.rollup("lang", *columns).agg(F.sum("n").alias("f"), F.grouping_id().alias("g"))
     k = F.lit(longest) - F.bit_count("g")
