@@ -157,6 +157,33 @@ def test_parts_outside_base_findings(spark):
     assert got == {0: [(4, 24), (48, 68)], 1: [], 2: []}
 
 
+def slow_risk(z, is_pos, prior):
+    """The estimator by its definition, text by text."""
+    pos, unl = [x for x, p in zip(z, is_pos) if p], [x for x, p in zip(z, is_pos) if not p]
+    plus = sum(np.log(1 + np.exp(-x)) for x in pos) / len(pos)
+    minus = sum(np.log(1 + np.exp(x)) for x in pos) / len(pos)
+    rest = sum(np.log(1 + np.exp(x)) for x in unl) / len(unl) - prior * minus
+    return prior * plus + max(0.0, rest), rest
+
+
+def test_risk_and_its_direction():
+    r = np.random.default_rng(3)
+    for prior, shift in ((0.1, 0.0), (0.4, -1.0), (0.9, 3.0)):
+        is_pos = np.arange(90) < 30
+        z = r.normal(size=90) + np.where(is_pos, shift, -shift)
+        value, step = toxicity.risk(z, is_pos, prior)
+        want, rest = slow_risk(z, is_pos, prior)
+        assert value == pytest.approx(want, abs=1e-12)
+        for i in (0, 7, 40, 89):
+            h = np.zeros(90)
+            h[i] = 1e-6
+            if rest >= 0:   # the gradient of the risk
+                slope = (slow_risk(z + h, is_pos, prior)[0] - slow_risk(z - h, is_pos, prior)[0]) / 2e-6
+            else:           # the way out of the overfitted part
+                slope = -(slow_risk(z + h, is_pos, prior)[1] - slow_risk(z - h, is_pos, prior)[1]) / 2e-6
+            assert step[i] == pytest.approx(slope, abs=1e-7)
+
+
 def test_nn_pu_needs_no_negative_labels():
     r = np.random.default_rng(0)
     common = [f"w{i}" for i in range(200)]
@@ -173,6 +200,36 @@ def test_nn_pu_needs_no_negative_labels():
     assert sum(i % 10 == 0 for i in top) >= 95
 
 
+def test_fitted_weights_lower_the_risk():
+    r = np.random.default_rng(2)
+    rows = [np.concatenate((r.choice(40, 6), [40] if i < 100 or i % 10 == 0 else [41])) for i in range(600)]
+    is_pos = np.arange(600) < 100
+    w = toxicity.minimise(rows, is_pos, 42, 0.1, l2=0.0)
+
+    def at(v):
+        return slow_risk(np.array([v[-1] + v[x].sum() for x in rows]), is_pos, 0.1)[0]
+
+    assert at(w) < at(np.zeros(43)) and w[40] > w[41]
+    for _ in range(20):  # no step around it is much better
+        assert at(w + 0.1 * r.normal(size=43)) > at(w) - 2e-3
+
+
+def test_chosen_features_equal_a_direct_count(spark):
+    r = random.Random(8)
+    rows = [("pos" if i % 4 == 0 else "unl", int(i % 4 == 0), " ".join(
+        [r.choice(["vileness", "Vile"] if i % 4 == 0 or i % 9 == 0 else ["kind", "kindly"]) for _ in range(3)]
+        + [f"w{r.randrange(50)}" for _ in range(8)])) for i in range(400)] + [("unl", 0, None), ("pos", 1, "")]
+    model = toxicity.train(spark.createDataFrame(rows, "part string, toxic int, text string"), 0.25)
+    have = [(p, set(toxicity.features_of(toxicity.words_of(t)))) for p, _, t in rows]
+    n = {p: sum(x == p for x, _ in have) for p in ("pos", "unl")}
+    want = set()
+    for f in set().union(*(fs for _, fs in have)):
+        a, c = (sum(f in fs for x, fs in have if x == p) for p in ("pos", "unl"))
+        if a + c >= toxicity.MIN_DOCS and toxicity.apart(np.array(a), np.array(c), n["pos"], n["unl"]) >= toxicity.APART:
+            want.add(f)
+    assert set(model.weights) == want and "vileness" in want
+
+
 def test_toxicity_query(spark):
     sf = "/root/testdata/sf0.1"
     got = queries.QUERIES["op8_toxicity"](spark, sf)
@@ -230,6 +287,51 @@ def test_pipeline_stages(spark):
     assert last.where("decoded <> coalesce(text, '')").count() == 0
 
 
+def test_one_document_of_each_group_stays(spark):
+    base = " ".join(f"word{i}" for i in range(3000))
+    near = base.replace("word1500", "other")
+    far = " ".join(f"else{i}" for i in range(400))
+    rows = [(5, base), (7, base), (7, far), (None, near), (None, "only here, without an id"), (9, far), (9, far), (11, None), (12, "")]
+    df = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows],
+                               "doc_id long, text string, lang string, source string, n_chars long")
+    got = sorted(((r["doc_id"], r["text"]) for r in corpus_pipeline.simhash_stage(spark, df, SF).collect()), key=str)
+    assert got == sorted([(5, base), (7, far), (None, "only here, without an id"), (11, None)], key=str)
+
+
+def test_simhash_stage_equals_brute_force(spark):
+    from searchrank.llm import simhash_dedup
+    r = random.Random(12)
+    base = [" ".join(r.choice("abcdefghijklmnop") * 3 for _ in range(300)) for _ in range(12)]
+    rows = []
+    for i in range(120):
+        t = r.choice(base)
+        if r.random() < 0.4:
+            w = t.split()
+            w[r.randrange(300)] = "changed"
+            t = " ".join(w)
+        rows.append((r.choice([None, i, i % 30]), t))
+    df = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows],
+                               "doc_id long, text string, lang string, source string, n_chars long")
+    texts = sorted({t for _, t in rows})
+    own = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    fp = {x["doc_id"]: x["fp"] & (2**64 - 1) for x in simhash_dedup.fingerprints(own).collect()}
+    part = {t: i for i, t in enumerate(texts)}
+    for _ in texts:  # spread the smallest number over links until nothing moves
+        for i, a in enumerate(texts):
+            for j, b in enumerate(texts):
+                if (fp[i] ^ fp[j]).bit_count() <= 4:
+                    part[a] = part[b] = min(part[a], part[b])
+    import xxhash
+    want = {}
+    for d, t in rows:
+        h = xxhash.xxh64_intdigest(t.encode(), seed=42)
+        key = (d is None, d or 0, h - 2**64 if h >> 63 else h)
+        if part[t] not in want or key < want[part[t]][0]:
+            want[part[t]] = (key, d, t)
+    got = [(x["doc_id"], x["text"]) for x in corpus_pipeline.simhash_stage(spark, df, SF).collect()]
+    assert sorted(got, key=str) == sorted(((d, t) for _, d, t in want.values()), key=str)
+
+
 def test_pipeline_runs(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     out = corpus_pipeline.run(spark, SF)
