@@ -3,6 +3,7 @@
 Each query takes ``(spark, sf_dir)``, reads the driver's tables under
 ``sf_dir`` and returns a DataFrame.  Derived doubles are rounded to six
 digits on both sides so that summation order cannot change the result.
+A query frees the tables it staged, but for those its lazy result reads.
 """
 
 from __future__ import annotations
@@ -13,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from searchrank.session import tidy
+
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, QueryFn] = {}
@@ -24,7 +27,7 @@ def register(name: str, oracle: str | None = None):
     def deco(fn: QueryFn) -> QueryFn:
         if name in QUERIES:
             raise ValueError(f"duplicate query {name}")
-        QUERIES[name] = fn
+        QUERIES[name] = tidy(fn)
         if oracle is not None:
             ORACLES[name] = oracle
         return fn

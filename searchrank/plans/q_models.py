@@ -20,7 +20,7 @@ from searchrank.plans import cluster, partitioned, tune
 from searchrank.plans import model as M
 from searchrank.plans.catalog import register, rounded
 from searchrank.plans.q_ranking import GRADE_SQL
-from searchrank.session import scratch_path
+from searchrank.session import scratch_path, shared_table
 from searchrank.sources import fixture
 from searchrank.sources.fixture_sql import with_log, with_test
 from searchrank.sources.io import materialize
@@ -28,9 +28,11 @@ from searchrank.sources.io import materialize
 
 def _engineered(spark, sf):
     # models read their input many times (null counts, imputer, boosting
-    # iterations, scoring): stage the engineered table once
-    return materialize(labels.relevance_grade(FE.build(fixture.search_log(spark, sf))),
-                       "engineered")
+    # iterations, scoring), and every model query needs the same table: it is
+    # staged once for all of them
+    inputs = [f"{sf}/{t}.parquet" for t in ("lineitem", "orders", "customer", "part", "supplier")]
+    return shared_table(spark, "engineered", inputs, "relevance_grade(build(search_log)), version 3",
+                        lambda: labels.relevance_grade(FE.build(fixture.search_log(spark, sf))))
 
 
 def _result(df, name):

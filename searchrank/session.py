@@ -8,14 +8,20 @@ tests and the bench.
 from __future__ import annotations
 
 import atexit
+import hashlib
+import io
 import os
 import re
 import shutil
 import tempfile
-from collections.abc import Iterator
-from contextlib import contextmanager
+from collections.abc import Callable, Iterable, Iterator
+from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager, redirect_stdout
+from contextvars import ContextVar, copy_context
+from functools import wraps
+from threading import Lock
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job of the library assumes.  AQE re-plans joins at run
 # time: a join side whose *measured* size is under the threshold becomes a
@@ -81,13 +87,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path for an intermediate table inside the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark)
     path = os.path.join(base, "tables", name)
-    for open_scope in _SCOPES:
-        open_scope.append(path)
+    for scope in _SCOPES.get():
+        scope.append(path)
     return path
 
 
-#: Paths handed out inside every open ``staging`` block.
-_SCOPES: list[list[str]] = []
+#: Paths handed out inside every ``staging`` block open in this context.  A block of one
+#: thread does not see another thread's tables, unless ``in_threads`` runs them for it.
+_SCOPES: ContextVar[tuple[list[str], ...]] = ContextVar("staged", default=())
 
 
 def release(spark: SparkSession, paths: list[str]) -> None:
@@ -104,12 +111,87 @@ def staging(spark: SparkSession) -> Iterator[list[str]]:
     """Delete every table staged inside the block when it ends.
 
     For callers that write their result inside the block; a lazy frame that
-    reads staged tables must not leave it.
+    reads staged tables must not leave it, unless its tables are taken out of the
+    list (``read_by``).
     """
     paths: list[str] = []
-    _SCOPES.append(paths)
+    token = _SCOPES.set((*_SCOPES.get(), paths))
     try:
         yield paths
     finally:
-        _SCOPES.remove(paths)
+        _SCOPES.reset(token)
         release(spark, paths)
+
+
+def in_threads(fn: Callable, items: Iterable, parallelism: int) -> list:
+    """``[fn(x) for x in items]``, a few at once; what they stage belongs to the caller's ``staging`` blocks."""
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        return [f.result() for f in [pool.submit(copy_context().run, fn, x) for x in items]]
+
+
+def read_by(df: DataFrame, paths: Iterable[str]) -> list[str]:
+    """Those of the staged ``paths`` that the plan of ``df`` reads, in subqueries too."""
+    conf = df.sparkSession.conf
+    key, old = "spark.sql.maxMetadataStringLength", conf.get("spark.sql.maxMetadataStringLength")
+    conf.set(key, "1000000")
+    try:
+        with io.StringIO() as text, redirect_stdout(text):
+            df.explain("formatted")
+            plan = text.getvalue()
+    finally:
+        conf.set(key, old)
+    files = df.inputFiles()
+    # staged folders end in a random name, so the name alone tells them
+    return [p for p in paths if os.path.basename(p) in plan or any(os.path.basename(p) in f for f in files)]
+
+
+def tidy(fn: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """A query that frees what it staged, but for the tables its lazy result still reads."""
+    @wraps(fn)
+    def run(spark: SparkSession, *args, **kw) -> DataFrame:
+        with staging(spark) as paths:
+            got = fn(spark, *args, **kw)
+            for p in read_by(got, paths) if paths else ():
+                paths.remove(p)
+        return got
+
+    return run
+
+
+#: Shared tables of this application, by path.
+_SHARED: dict[str, SparkSession] = {}
+
+
+def shared_table(spark: SparkSession, name: str, inputs: Iterable[str], spec: str,
+                 build: Callable[[], DataFrame]) -> DataFrame:
+    """``build()`` as a staged table that later callers with the same inputs and ``spec`` find again.
+
+    The key is a digest of every input file's path, size and time and of ``spec``,
+    which names the recipe and its settings.  A table counts once Spark's commit
+    marker stands in its folder; a half-written one is written anew.
+    ``release_shared`` deletes what this application wrote.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(list(inputs)).select(
+        "path", "length", "modificationTime")   # the content is not read
+    listed = sorted((r[0], r[1], str(r[2])) for r in files.collect())
+    digest = hashlib.sha256(repr((listed, spec)).encode()).hexdigest()[:32]
+    path = os.path.join(ensure_checkpoint_dir(spark), "tables", f"shared-{name}-{digest}")
+    marker = spark._jvm.org.apache.hadoop.fs.Path(os.path.join(path, "_SUCCESS"))  # noqa: SLF001
+    with _SHARE:
+        if not marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker):  # noqa: SLF001
+            with staging(spark):
+                build().write.mode("overwrite").parquet(path)
+            _SHARED[path] = spark
+    return spark.read.parquet(path)
+
+
+#: One builder at a time: a second caller finds the first one's table.
+_SHARE = Lock()
+
+
+def release_shared(spark: SparkSession) -> None:
+    """Delete the shared tables that this application wrote."""
+    mine = [p for p, s in _SHARED.items() if s is spark]
+    release(spark, mine)
+    for p in mine:
+        del _SHARED[p]
