@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from searchrank.functions import labels
@@ -19,6 +20,7 @@ from searchrank.operators import metrics, pairs, partition, split, submit
 from searchrank.plans import cluster, partitioned, tune
 from searchrank.plans import model as M
 from searchrank.plans.catalog import register, rounded
+from searchrank.plans.q_features import ENGINEERED_DROP, FEATURE_CTES
 from searchrank.plans.q_ranking import GRADE_SQL
 from searchrank.session import scratch_path, shared_table
 from searchrank.sources import fixture
@@ -316,3 +318,48 @@ def q_compare_orderings(spark, sf):
         .withColumn("model", F.lit("price_asc"))
     c = metrics.mean_ndcg(valid, score="prop_starrating").withColumn("model", F.lit("stars_desc"))
     return rounded(a.unionByName(b).unionByName(c).select("model", "mean_ndcg", "n_searches"))
+
+
+_FEATURE_NON = ", ".join(f"'{c}'" for c in M.NON_FEATURES)
+
+
+@register("feature_list", with_log(FEATURE_CTES + f"""
+, e AS (SELECT * EXCLUDE ({ENGINEERED_DROP}) FROM p)
+, c AS (SELECT count(COLUMNS(lambda x: x NOT IN ({_FEATURE_NON}))) AS '\\0' FROM e)
+UNPIVOT c ON COLUMNS(*) INTO NAME feature VALUE n_values"""))
+def q_feature_list(spark, sf):
+    """P5: the columns a ranker may use, with the number of rows that have them."""
+    eng = _engineered(spark, sf)
+    names = M.feature_columns(eng)
+    one = eng.agg(*[F.count(c).alias(c) for c in names])
+    return one.select(F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("n_values"))
+                                          for c in names])).alias("f")).select("f.feature", "f.n_values")
+
+
+@register("log_preview", with_log("""
+, n AS (SELECT count(*) AS n_rows FROM log)
+SELECT srch_id, prop_id, position, supp_id, round(price_usd, 6) AS price_usd, n_rows
+FROM log, n ORDER BY srch_id, prop_id, position, supp_id LIMIT 5"""))
+def q_preview(spark, sf):
+    """The first five rows and the row count."""
+    log = fixture.search_log(spark, sf).select("srch_id", "prop_id", "position", "supp_id", "price_usd")
+    n = log.agg(F.count(F.lit(1)).alias("n_rows")).scalar()
+    return rounded(log.orderBy("srch_id", "prop_id", "position", "supp_id").limit(5).withColumn("n_rows", n))
+
+
+@register("feature_importance_checks", """
+SELECT 15 AS n_features, true AS gain_falls, true AS splits_counted, true AS shares_fit""")
+def q_importance_checks(spark, sf):
+    """O4, M6 as properties: 15 features by falling gain; split counts are those of the trees; shares within 1."""
+    train, _ = split.mod_split(_engineered(spark, sf))
+    r = M.fit_ranker(train)
+    top = M.importance(r, top=15)
+    # a tree of n nodes has (n - 1) / 2 splits
+    splits = sum((t.numNodes - 1) // 2 for t in M.gbt_stage(r).trees)
+    whole = M.importance(r, top=len(r.feature_names)).agg(F.sum("weight").alias("w")).select("w").scalar()
+    place = Window.orderBy(F.col("gain").desc(), "feature")   # 15 rows
+    return top.withColumn("before", F.lag("gain").over(place)).agg(
+        F.count(F.lit(1)).cast("int").alias("n_features"),
+        F.bool_and(F.coalesce(F.col("before") >= F.col("gain"), F.lit(True))).alias("gain_falls"),
+        (whole == splits).alias("splits_counted"),
+        ((F.sum("importance") <= 1 + 1e-9) & (F.min("importance") >= 0)).alias("shares_fit"))
