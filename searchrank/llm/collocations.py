@@ -28,8 +28,8 @@ gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
-import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -52,45 +52,47 @@ LEAST_BITS, MOST_BITS = 12, 27
 CHUNK = 1 << 16
 #: Tokens a task holds before it sums and hands on; words it remembers ids of.
 HELD, KNOWN = 300_000, 100_000
-#: A word, or a mark at which a piece ends.
-_TOKEN = re.compile(r"[^ \t.,;:!?\x0A-\x0D]+|[.,;:!?\x0A-\x0D]")
-_MARKS = frozenset(".,;:!?\n\x0b\x0c\r")
+# Bytes of UTF-8: the marks at which a piece ends become full stops, the tabulator a space.
+_TABLE = bytes.maketrans(b",;:!?\n\x0b\x0c\r\t", b"......... ")
+
+
+class _Words(dict):
+    """Numbers of the words met so far; 0 is the end of a piece."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = n = len(self)
+        return n
 
 
 class _Reader:
-    """Turns texts of one language into word numbers; 0 ends a piece."""
+    """Turns texts of one language into word numbers."""
 
     def __init__(self, lang: str):
         self.lang, self.seed = lang, xxhash.xxh64_intdigest(lang.encode())
         self.reset()
 
     def reset(self) -> None:
-        self.known: dict[str, int] = dict.fromkeys(_MARKS, 0)
-        self.words = [""]
-        self.held: list[list[int]] = []
-        self.n_held = 0
+        self.known = _Words({b".": 0})
+        self.held = array("i")
 
     def read(self, text: str) -> None:
-        known, words = self.known, self.words
-        # bytes.lower() changes A-Z only
-        tokens = _TOKEN.findall(text.encode().lower().decode())
-        for w in set(tokens).difference(known):
-            known[w] = len(words)
-            words.append(w)
-        got = list(map(known.__getitem__, tokens))
-        got.append(0)
-        self.held.append(got)
-        self.n_held += len(got)
+        # bytes.lower() changes A-Z only; what is white space then is a space
+        tokens = text.encode().lower().translate(_TABLE).replace(b".", b" . ").split()
+        self.held.extend(map(self.known.__getitem__, tokens))
+        self.held.append(0)
 
     def full(self) -> bool:
-        return self.n_held >= HELD or len(self.words) >= KNOWN
+        return len(self.held) >= HELD or len(self.known) >= KNOWN
+
+    def words(self) -> list[str]:
+        return ["", *(w.decode() for w in list(self.known)[1:])]
 
     def take(self) -> tuple[np.ndarray, np.ndarray]:
         """The numbers held so far, and the hash of each word number."""
-        ids = np.fromiter((k for part in self.held for k in part), dtype=np.int32, count=self.n_held)
-        self.held, self.n_held = [], 0
+        ids = np.frombuffer(self.held, dtype=np.int32)
+        self.held = array("i")
         digest, seed = xxhash.xxh64_intdigest, self.seed
-        hashes = np.fromiter((digest(w.encode(), seed) for w in self.words), dtype=np.uint64, count=len(self.words))
+        hashes = np.fromiter((digest(w, seed) for w in self.known), dtype=np.uint64, count=len(self.known))
         return ids, hashes
 
 
@@ -147,11 +149,11 @@ def _readers(batches: Iterator[pa.RecordBatch]) -> Iterator[_Reader]:
                     r.reset()
         if len(by) > 64:  # many languages: do not hold a buffer for each
             for r in by.values():
-                if r.n_held:
+                if len(r.held):
                     yield r
             by.clear()
     for r in by.values():
-        if r.n_held:
+        if len(r.held):
             yield r
 
 
@@ -229,7 +231,7 @@ def phrase_counts(docs: DataFrame, min_count: int = MIN_COUNT, longest: int = LO
             cols = [np.where(may, np.roll(ids, -k), 0)[word]
                     for k, (may, _) in enumerate(shared.value.open(ids, hashes, longest))]
             counted = pa.table(dict(zip(columns, map(pa.array, cols)))).group_by(columns).aggregate([([], "count_all")])
-            names = pa.array(r.words, pa.string())
+            names = pa.array(r.words(), pa.string())
             parts = [names.take(counted.column(c).combine_chunks()) for c in columns]
             n = counted.column("count_all").combine_chunks()
             for at in range(0, len(n), 50_000):
