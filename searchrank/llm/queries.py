@@ -11,13 +11,13 @@ from pyspark.sql import functions as F
 from searchrank.llm import (bpe, chat_format, collocations, decontaminate, line_dedup, packing, quality_rules,
                             secrets_scan, simhash_dedup, spelling_variants, toxicity, url_filter, warc)
 from searchrank.llm.oracles import ORACLES  # noqa: F401  (the driver reads it from here)
-from searchrank.session import scratch_path
+from searchrank.session import scratch_path, tidy
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
 def _register(fn):
-    QUERIES[fn.__name__] = fn
+    QUERIES[fn.__name__] = tidy(fn)
     return fn
 
 
@@ -73,10 +73,14 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = line_dedup.deduplicate(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return got.select(
-        "doc_id", F.col("n_lines").cast("long").alias("n_lines"), F.array_size("gone").cast("long").alias("n_removed"),
+        "doc_id", F.col("n_lines").cast("long").alias("n_lines"),
+        (F.array_size("gone") + F.array_size("gone_parts")).cast("long").alias("n_removed"),
         F.transform("gone", lambda g: g["line_no"]).alias("removed_lines"),
         F.transform("gone", lambda g: g["class_id"]).alias("class_ids"),
-        F.array_sort(F.array_distinct(F.transform("gone", lambda g: g["first_doc"]))).alias("first_doc_ids"),
+        F.transform("gone_parts", lambda g: g["part_no"]).alias("removed_sentences"),
+        F.transform("gone_parts", lambda g: g["class_id"]).alias("sentence_class_ids"),
+        F.array_sort(F.array_distinct(F.concat(F.transform("gone", lambda g: g["first_doc"]), F.transform(
+            "gone_parts", lambda g: g["first_doc"])))).alias("first_doc_ids"),
         _sha(F.coalesce("clean_text", F.lit(""))).alias("clean_sha256"))
 
 
