@@ -8,9 +8,11 @@ tasks).
 Features: lengths of url, host and path; depth; number of host labels;
 digit ratio; character entropy; number of parameters; fragment; and of the
 host's suffix (last label) its share of all urls and its smoothed share of
-blocked labels.  Suffix statistics count all rows.  Only the fit uses a
-sample: at most ``train_rows`` distinct labelled urls, the first in order
-of a hash.
+blocked labels.  Suffix statistics count all rows; a labelled url is given the
+share of the other ``FOLDS`` - 1 folds of urls, so that the trees do not read
+their answer there.  Only the fit uses a sample: at most ``train_rows`` distinct labelled
+urls, the first in order of a hash.  ``evaluate`` fits without a fifth of the
+labelled urls and tells the area under the curve on them.
 
 Defined cases: null url, or one without ``://``, has empty host and path
 (no rule fits); without any labelled url every remaining verdict is
@@ -23,8 +25,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from searchrank.llm.common import az_lower, stage
@@ -35,6 +38,8 @@ Rule = tuple[str, str]
 TRAIN_ROWS = 20_000
 #: Pseudo-counts that draw the block share of rare suffixes to the overall one.
 SMOOTH = 20.0
+#: Parts of the urls; one part's labels are left out of the statistic its own urls get.
+FOLDS = 5
 FEATURES = ["f_len", "f_host", "f_path", "f_depth", "f_labels", "f_digits", "f_entropy", "f_params", "f_fragment",
             "f_suffix_share", "f_suffix_block"]
 
@@ -85,31 +90,59 @@ def _lexical(d: DataFrame) -> DataFrame:
     })
 
 
-def judge(pages: DataFrame, rules: Sequence[Rule], train_rows: int = TRAIN_ROWS, rounds: int = 20, depth: int = 4,
-          seed: int = 7, block_at: float = 0.5) -> DataFrame:
-    """(page_id, url) -> page_id, host, path, rule, verdict, block_score (null where a rule decides)."""
+def _ruled(pages: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """page_id, url, host, path, rule, said (its verdict), suffix."""
     d = pages.select("page_id", F.col("url").cast("string").alias("url"))
     d = d.withColumn("host", host_of(F.col("url"))).withColumn("path", path_of(F.col("url")))
     rule, said = rule_of(F.col("host"), F.col("path"), rules)
-    d = d.withColumn("rule", rule).withColumn("said", said).withColumn("suffix", F.substring_index("host", ".", -1))
-    blocked = (F.col("said") == "block").cast("double")
-    by_suffix = stage(d.groupBy("suffix").agg(F.count("*").alias("n"), F.count("said").alias("n_said"),
-                                              F.coalesce(F.sum(blocked), F.lit(0.0)).alias("n_block")), "suffixes")
-    n, n_said, n_block = by_suffix.agg(F.sum("n"), F.sum("n_said"), F.sum("n_block")).first()
+    return d.withColumn("rule", rule).withColumn("said", said).withColumn("suffix", F.substring_index("host", ".", -1))
+
+
+def _blocked() -> Column:
+    return (F.col("said") == "block").cast("double")
+
+
+def _featured(d: DataFrame) -> tuple[DataFrame | None, str]:
+    """All features of the urls of ``_ruled``; without labels of both kinds None, and the one verdict there is."""
+    d = d.withColumn("fold", F.pmod(F.xxhash64("url", F.lit("suffix")), F.lit(FOLDS)))
+    part = stage(d.groupBy("suffix", "fold").agg(F.count("*").alias("n"), F.count("said").alias("n_said"),
+                                                 F.coalesce(F.sum(_blocked()), F.lit(0.0)).alias("n_block")), "suffixes")
+    n, n_said, n_block = part.agg(F.sum("n"), F.sum("n_said"), F.sum("n_block")).first()
     if not n_said or n_block in (0, n_said):
-        only = "block" if n_said and n_block else "allow"
+        return None, "block" if n_said and n_block else "allow"
+    of = Window.partitionBy("suffix")   # FOLDS rows
+    part = part.select("suffix", "fold", (F.sum("n").over(of) / F.lit(float(n))).alias("f_suffix_share"),
+                       F.sum("n_said").over(of).alias("all_said"), F.sum("n_block").over(of).alias("all_block"),
+                       "n_said", "n_block")
+    # a labelled url is given the share of the other folds
+    mine = F.col("said").isNotNull().cast("double")
+    share = (F.col("all_block") - mine * F.col("n_block") + SMOOTH * n_block / n_said) / (
+        F.col("all_said") - mine * F.col("n_said") + SMOOTH)
+    return _lexical(d.join(part, ["suffix", "fold"])).withColumn("f_suffix_block", share), ""
+
+
+def _fit(sample: DataFrame, features: Sequence[str], rounds: int, depth: int, seed: int):
+    assemble = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep")
+    return assemble, GBTClassifier(maxIter=rounds, maxDepth=depth, seed=seed).fit(assemble.transform(sample))
+
+
+def _labelled(d: DataFrame, train_rows: int) -> DataFrame:
+    """Distinct labelled urls with their features, the first ``train_rows`` in order of a hash."""
+    some = (d.where("said is not null").select("url", _blocked().alias("label"), *FEATURES).distinct()
+            .orderBy(F.xxhash64("url"), "url").limit(train_rows))
+    return stage(some, "url-sample")
+
+
+def judge(pages: DataFrame, rules: Sequence[Rule], train_rows: int = TRAIN_ROWS, rounds: int = 20, depth: int = 4,
+          seed: int = 7, block_at: float = 0.5) -> DataFrame:
+    """(page_id, url) -> page_id, host, path, rule, verdict, block_score (null where a rule decides)."""
+    d = _ruled(pages, rules)
+    full, only = _featured(d)
+    if full is None:
         return d.select("page_id", "host", "path", "rule", F.coalesce("said", F.lit(only)).alias("verdict"),
                         F.lit(None).cast("double").alias("block_score"))
-    shares = by_suffix.select(
-        "suffix", (F.col("n") / F.lit(float(n))).alias("f_suffix_share"),
-        ((F.col("n_block") + SMOOTH * n_block / n_said) / (F.col("n_said") + SMOOTH)).alias("f_suffix_block"))
-    d = _lexical(d.join(shares, "suffix"))
-    sample = (d.where("said is not null").select("url", blocked.alias("label"), *FEATURES).distinct()
-              .orderBy(F.xxhash64("url"), "url").limit(train_rows))
-    sample = stage(sample.drop("url"), "url-sample")
-    assemble = VectorAssembler(inputCols=FEATURES, outputCol="features", handleInvalid="keep")
-    fit = GBTClassifier(maxIter=rounds, maxDepth=depth, seed=seed).fit(assemble.transform(sample))
-    scored = fit.setProbabilityCol("p").transform(assemble.transform(d))
+    assemble, fit = _fit(_labelled(full, train_rows).drop("url"), FEATURES, rounds, depth, seed)
+    scored = fit.setProbabilityCol("p").transform(assemble.transform(full))
     # element 1 of MLlib's probability vector
     p = F.when(F.col("said").isNull(), F.get(_to_array("p"), F.lit(1)))
     return scored.select("page_id", "host", "path", "rule",
@@ -117,6 +150,19 @@ def judge(pages: DataFrame, rules: Sequence[Rule], train_rows: int = TRAIN_ROWS,
                          p.alias("block_score"))
 
 
+def evaluate(pages: DataFrame, rules: Sequence[Rule], features: Sequence[str] = FEATURES, train_rows: int = TRAIN_ROWS,
+             rounds: int = 20, depth: int = 4, seed: int = 7) -> float | None:
+    """Area under the curve on a fifth of the labelled urls, by hash, that the trees have not seen; None without both kinds."""
+    full, _ = _featured(_ruled(pages, rules))
+    if full is None:
+        return None
+    sample = _labelled(full, train_rows)
+    out = F.pmod(F.xxhash64("url", F.lit("fold")), F.lit(5)) == 0
+    assemble, fit = _fit(sample.where(~out).drop("url"), features, rounds, depth, seed)
+    held = fit.setProbabilityCol("p").transform(assemble.transform(sample.where(out)))
+    return BinaryClassificationEvaluator(rawPredictionCol="p", labelCol="label").evaluate(held)
+
+
 def _to_array(name: str) -> Column:
     from pyspark.ml.functions import vector_to_array
     return vector_to_array(F.col(name))
