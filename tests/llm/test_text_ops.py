@@ -151,3 +151,22 @@ def test_url_rules(spark):
     only = url_filter.judge(df, [("block", "net/")])
     assert {r["verdict"] for r in only.collect()} == {"block"}
     assert {r["verdict"] for r in url_filter.judge(df, []).collect()} == {"allow"}
+
+
+def test_url_trees_decide_where_no_rule_fits(spark):
+    rules = (("allow", "good.com/"), ("block", "evil.com/"))
+    words = ["news", "sport", "about", "house"]
+    rows = []
+    for i in range(400):
+        plain, odd = f"/{words[i % 4]}/{words[i // 4 % 4]}", f"/x{i * 7919 % 100003}{i}/{i * 31}?a={i}&b=2&c=9"
+        rows += [(f"https://good.com{plain}{'a' * (i % 9)}",), (f"https://evil.com{odd}",),
+                 (f"https://free.com{plain}{'b' * (i % 9)}",), (f"https://free.com{odd}",)]
+    rows += [rows[0], rows[0], ("https://free.com/" + "a" * 200_000,), (None,)]
+    df = spark.createDataFrame([(i, u) for i, (u,) in enumerate(rows)], "page_id long, url string")
+    got = {x["page_id"]: x["verdict"] for x in url_filter.judge(df, rules).collect()}
+    assert len(got) == len(rows)
+    free = [i for i, (u,) in enumerate(rows[:1600]) if "free.com" in u]
+    assert all(got[i] == ("block" if "?a=" in rows[i][0] else "allow") for i in free)
+    lexical = [f for f in url_filter.FEATURES if not f.startswith("f_suffix")]
+    assert url_filter.evaluate(df, rules, lexical) > 0.99
+    assert url_filter.evaluate(df, (("allow", "com/"),)) is None
