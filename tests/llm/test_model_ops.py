@@ -147,6 +147,43 @@ def test_negatives_do_not_crowd_out_positives(spark):
     assert sum(x["n"] for x in got if x["doc_id"] < 300) <= 600
 
 
+def test_secret_network_reads_all_documents(spark):
+    r = random.Random(9)
+    docs = [(i, f"number {r.randrange(10**17, 10**18)} and {r.randrange(10**17, 10**18)} here") for i in range(400)]
+    docs += [(1000 + i, f"x token = {r.randrange(16**31, 16**32):x} y") for i in range(6)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    want = {}
+    for _, t in docs:
+        for s, met in secrets_scan.meetings(secrets_scan.candidates(t), secrets_scan.base_spans(t)):
+            for w in secrets_scan.windows(t, *s):
+                want[w] = want.get(w, False) or bool(met)
+    n_pos, n_neg = sum(want.values()), len(want) - sum(want.values())
+    parts = secrets_scan.dealt(secrets_scan.labelled(df), n_pos, n_neg, 100).collect()
+    assert len(parts) == -(-n_neg // 100) > 1
+    # every window of every document once, in parts of bounded size, both kinds in each
+    assert sorted((x["window"], not x["neg"]) for p in parts for x in p["rows"] if not x["copy"]) == sorted(want.items())
+    for p in parts:
+        assert len({x["neg"] for x in p["rows"]}) == 2
+        assert sum(x["neg"] for x in p["rows"]) <= 100 + secrets_scan.DEAL
+    net = secrets_scan.train(df, train_rows=100, train_docs=10)
+    assert net.rows == (n_pos, n_neg)
+    bare = spark.createDataFrame([(0, f"a bare {r.randrange(16**31, 16**32):x} one")], "doc_id long, text string")
+    assert secrets_scan.scan(bare, net).count() == 1
+
+
+def test_secret_calibration_counts_all_rows(spark):
+    r = np.random.default_rng(5)
+    y = (np.arange(4000) % 10 == 0).astype(np.int64)
+    z = r.normal(0, 1, 4000) + 3 * y
+    net = secrets_scan.Network()
+    net.calibrate(spark.createDataFrame([(float(a), int(b)) for a, b in zip(z, y)], "z double, y long"), 0.9)
+    # at the optimum scores sum to the targets, and the threshold is the score of a positive
+    t = np.where(y == 1, (y.sum() + 1) / (y.sum() + 2), 1 / (len(y) - y.sum() + 2))
+    assert abs((net.calibrated(z) - t).sum()) < 1e-6
+    kept = np.sort(net.calibrated(z)[y == 1])
+    assert abs(net.threshold - kept[int((1 - 0.9) * len(kept))]) < 1e-12
+
+
 def test_parts_outside_base_findings(spark):
     net = secrets_scan.Network()
     net.threshold = 0.0  # every candidate
