@@ -384,3 +384,18 @@ def test_edge_batches_of_arrow():
     b = pa.RecordBatch.from_arrays([pa.array(range(600))], names=["x"])
     assert [c.num_rows for c in text_chunks(iter([b]))] == [256, 256, 88]
     assert pytest
+
+
+def test_simhash_stage_reads_texts_without_a_shuffle(spark, monkeypatch):
+    seen, whole = [], corpus_pipeline.simhash_dedup.near_duplicates
+
+    def spy(texts):
+        seen.append(texts._jdf.queryExecution().executedPlan().toString())
+        return whole(texts)
+
+    monkeypatch.setattr(corpus_pipeline.simhash_dedup, "near_duplicates", spy)
+    rows = [(1, "a b c d e f"), (2, "a b c d e f"), (None, "a b c d e f"), (2, "quite another text of some words"), (3, None), (4, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = corpus_pipeline.simhash_stage(spark, df, SF).collect()
+    assert len(seen) == 1 and "Exchange" not in seen[0]
+    assert sorted(map(tuple, got), key=str) == sorted([(1, "a b c d e f"), (2, "quite another text of some words"), (3, None)], key=str)
