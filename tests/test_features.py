@@ -100,3 +100,26 @@ def test_build_on_fixture_has_expected_columns(spark):
     assert eng.count() == 6000
     v = eng.agg(F.min("normalized_hotel_quality"), F.max("normalized_hotel_quality")).collect()[0]
     assert math.isclose(v[0], 0.0) and math.isclose(v[1], 1.0)
+
+
+def test_build_shuffles_wide_rows_once(spark):
+    import io
+    import re
+    from contextlib import redirect_stdout
+
+    from searchrank.operators import features
+    from searchrank.sources import fixture
+    key, old = "spark.sql.autoBroadcastJoinThreshold", spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set(key, "-1")
+    try:
+        log = fixture.search_log(spark, "/root/testdata/sf0.001")
+        got = features.build(log)
+        with io.StringIO() as text, redirect_stdout(text):
+            got.explain("formatted")
+            plan = text.getvalue()
+        dealt = re.findall(r"\(\d+\) Exchange\nInput \[\d+\]: \[(.*)\]", plan)
+        # a column that only whole rows have
+        assert sum("total_price" in x for x in dealt) == 1, dealt
+        assert got.count() == log.count()
+    finally:
+        spark.conf.set(key, old)
