@@ -30,10 +30,6 @@ def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
 
 
-def nan_to_null(c: Column) -> Column:
-    return F.when(F.isnan(c), F.lit(None).cast("double")).otherwise(c)
-
-
 def null_tokens(df: DataFrame, tokens: Iterable[str] = ("NULL",),
                 cols: Sequence[str] | None = None) -> DataFrame:
     """Replace sentinel strings by null in string columns (S3)."""
@@ -44,12 +40,21 @@ def null_tokens(df: DataFrame, tokens: Iterable[str] = ("NULL",),
     return df.select(*out)
 
 
+def text_to_double(s: Column) -> Column:
+    """String -> double; junk and NaN become null.
+
+    A number has a digit and an infinity an ``i``; only such text is cast, since
+    a cast that fails throws and catches an exception inside Spark, which costs
+    far more than the cast of a number.
+    """
+    return F.when(s.rlike("[0-9iI]"), s.try_cast("double"))
+
+
 def parse_double(c: Column, tokens: Iterable[str] = DEFAULT_NULL_TOKENS) -> Column:
     """Lenient string -> double: tokens and junk become null, NaN too."""
     tokens = list(tokens)
     s = F.trim(c.cast("string"))
-    parsed = s.try_cast("double")
-    return F.when(s.isin(tokens), F.lit(None).cast("double")).otherwise(nan_to_null(parsed))
+    return F.when(s.isin(tokens), F.lit(None).cast("double")).otherwise(text_to_double(s))
 
 
 def to_double(df: DataFrame, cols: Sequence[str],
@@ -78,10 +83,11 @@ def replace_then_cast(df: DataFrame, cols: Sequence[str] | None = None,
             e = F.col(c)
             for a, b in replacements:
                 e = F.replace(e, F.lit(a), F.lit(b))
-            out.append(nan_to_null(F.trim(e).try_cast("double")).alias(c))
+            out.append(F.trim(e).alias(c))
         else:
             out.append(F.col(c))
-    return df.select(*out)
+    # two steps: the text is made once and then read by the test and by the cast
+    return df.select(*out).select(*[text_to_double(F.col(c)).alias(c) if c in cols else F.col(c) for c in df.columns])
 
 
 def fill_null(df: DataFrame, values: dict[str, object]) -> DataFrame:

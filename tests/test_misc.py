@@ -106,3 +106,18 @@ def test_halving_stops_poor_trials(spark):
     assert tune.halving_search(spark, objective, n_trials=0).count() == 0
     one = tune.halving_search(spark, lambda p, n: 1.0, n_trials=1).first()
     assert one["is_best"] and not one["stopped"]
+
+
+def test_text_to_double_casts_only_what_can_be_a_number(spark):
+    text = ["1", " -2.5 ", "1e3", ".5", "0x1p3", "NaN", "nan", "+NaN", "inf", "-Infinity", "+INF", "Infinity", "", " ",
+            "NA", "NULL", "N/A", "junk", "i", "1x", "-", "NULL1", "\t7\t", "\u0663", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(text)], "i int, t string")
+    plain = F.trim("t").try_cast("double")
+    want = F.when(~F.isnan(plain), plain)
+    got = df.select("i", want.alias("want"), clean.text_to_double(F.trim("t")).alias("got")).collect()
+    assert [r["got"] for r in got] == [r["want"] for r in got]
+    both = clean.replace_then_cast(df.withColumn("u", F.col("t")), ["t"])
+    assert {r["i"]: r["t"] for r in both.collect()} == {r["i"]: r["want"] for r in got}
+    # text that cannot be a number never reaches the cast, which would throw inside
+    plan = both._jdf.queryExecution().optimizedPlan().toString()  # noqa: SLF001
+    assert "RLIKE" in plan and plan.count("replace(") == 2
