@@ -85,6 +85,35 @@ def test_fill_within_forward_backward(spark):
         assert (got.dropna() == want.dropna()).all()
 
 
+def test_fill_within_key_over_many_partitions(spark):
+    from searchrank.operators.sequence import fill_within
+    # a key with one value far off, a null key, and NaN, which is a value
+    rows = [(1, i, float(i) if i in (3, 700) else None, "a" if i == 500 else None) for i in range(900)]
+    rows += [(None, i, 5.0 if i == 2 else None, None) for i in range(40)]
+    rows += [(2, i, float("nan") if i == 1 else None, "b") for i in range(5)] + [(3, 0, None, None)]
+    df = spark.createDataFrame(rows, "k long, id long, v double, w string")
+    for direction in ("forward", "backward"):
+        got = {(r["k"], r["id"]): (r["v_f"], r["w_f"])
+               for r in fill_within(df, "k", ["id"], ["v", "w"], direction, "_f").collect()}
+        assert len(got) == len(rows)
+        last = {}
+        for k, i, v, w in sorted(rows, key=lambda r: r[1], reverse=direction == "backward"):
+            was = last.get(k, (None, None))
+            last[k] = tuple(x if x is not None else y for x, y in zip((v, w), was))
+            assert str(got[k, i]) == str(last[k])
+
+
+def test_fill_within_sorts_once_and_keeps_tied_rows(spark):
+    from searchrank.operators.sequence import fill_within
+    # rows tied on the order, some without a value: none is multiplied
+    df = spark.createDataFrame([(1, 0, v) for v in (None, 4.0, None, None, 6.0)] * 3, "k long, id long, v double")
+    out = fill_within(df, "k", ["id"], ["v"], "forward", "_f")
+    assert out.count() == 15
+    # the one wide shuffle is behind it: what is left joins a small table
+    plan = out._jdf.queryExecution().optimizedPlan().toString()  # noqa: SLF001
+    assert plan.count("Join") == 1
+
+
 BIG = 2 ** 53
 
 
