@@ -4,17 +4,19 @@ Each query takes ``(spark, sf_dir)``, reads the driver's tables under
 ``sf_dir`` and returns a DataFrame.  Derived doubles are rounded to six
 digits on both sides so that summation order cannot change the result.
 A query frees the tables it staged, but for those its lazy result reads.
+Queries run on wide rows, so the session gets ``session.METHOD_LIMIT`` first.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from searchrank.session import tidy
+from searchrank.session import limit_methods, tidy
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -27,7 +29,12 @@ def register(name: str, oracle: str | None = None):
     def deco(fn: QueryFn) -> QueryFn:
         if name in QUERIES:
             raise ValueError(f"duplicate query {name}")
-        QUERIES[name] = tidy(fn)
+        @wraps(fn)
+        def run(spark: SparkSession, *args, **kw) -> DataFrame:
+            limit_methods(spark)   # stays set: the lazy result runs after the query returned
+            return fn(spark, *args, **kw)
+
+        QUERIES[name] = tidy(run)
         if oracle is not None:
             ORACLES[name] = oracle
         return fn

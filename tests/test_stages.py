@@ -103,3 +103,17 @@ def test_blocks_of_two_threads(spark):
         assert [d.count() for d in inner] == [1, 2] and len(paths) == 2
     assert kept[0].count() == 3   # the other thread's table outlives this block
     assert not any("ours" in p for p in _folder(spark))
+
+
+def test_queries_limit_generated_methods(spark):
+    """A query of the log keeps its generated methods to what HotSpot compiles, and leaves a session's own limit alone."""
+    from searchrank.plans import q_clean, q_models, q_profile  # noqa: F401
+    from searchrank.plans.catalog import QUERIES
+    key = "spark.sql.codegen.hugeMethodLimit"
+    spark.conf.unset(key)
+    QUERIES["null_counts"](spark, "/root/testdata/sf0.001")
+    assert spark.conf.get(key) == "8000"
+    spark.conf.set(key, "7000")
+    QUERIES["null_counts"](spark, "/root/testdata/sf0.001")
+    assert spark.conf.get(key) == "7000"
+    spark.conf.unset(key)
