@@ -4,7 +4,7 @@ Each query takes ``(spark, sf_dir)``, reads the driver's tables under
 ``sf_dir`` and returns a DataFrame.  Derived doubles are rounded to six
 digits on both sides so that summation order cannot change the result.
 A query frees the tables it staged, but for those its lazy result reads.
-Queries run on wide rows, so the session gets ``session.METHOD_LIMIT`` first.
+Queries run on wide rows, so the session gets ``session.METHOD_LIMIT`` and ``session.TASK_SIZE`` first.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from searchrank.session import limit_methods, tidy
+from searchrank.session import limit_methods, limit_tasks, tidy
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -31,7 +31,8 @@ def register(name: str, oracle: str | None = None):
             raise ValueError(f"duplicate query {name}")
         @wraps(fn)
         def run(spark: SparkSession, *args, **kw) -> DataFrame:
-            limit_methods(spark)   # stays set: the lazy result runs after the query returned
+            limit_methods(spark)   # both stay set: the lazy result runs after the query returned
+            limit_tasks(spark)
             return fn(spark, *args, **kw)
 
         QUERIES[name] = tidy(run)
