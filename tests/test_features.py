@@ -192,7 +192,13 @@ def test_build_shuffles_rows_and_not_their_statistics(spark):
         assert diff.count() == 0
 
 
-def test_staged_tables_are_compressed(spark):
+def test_staged_wide_rows_are_compact(spark):
+    from searchrank import session
+    from searchrank.sources import fixture
     from searchrank.sources.io import materialize
-    files = materialize(spark.range(10), "small").inputFiles()
+    with session.staging(spark) as paths:
+        FE.build(fixture.search_log(spark, "/root/testdata/sf0.001"))
+        files = spark.read.parquet(next(p for p in paths if "features-rows" in p)).inputFiles()
     assert files and all(".zstd." in f for f in files)
+    # others keep the session's codec: their sizes decide how files are dealt to tasks
+    assert not any(".zstd." in f for f in materialize(spark.range(10), "small").inputFiles())
